@@ -5,9 +5,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from captionlake.llm.common import table
 from captionlake.llm.hostrules import host_quality
+from captionlake.llm.packing import concatenate_and_cut
+from captionlake.llm.secretscan import BASE_PATTERNS, scan_secrets, spans_string
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return concatenate_and_cut(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), with_ids=False)
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    of = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("bigint")
+    counts = [of(kind).alias(f"n_{kind}") for kind in BASE_PATTERNS]
+    return found.select("doc_id", *counts, F.sha2(spans_string(F.col("base")), 256).alias("base_sha256"), spans_string(F.col("spans")).alias("spans"))
 
 
 def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +35,7 @@ def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_host_quality": op10_host_quality}
+    return {"op2_concatenate_and_cut": op2_concatenate_and_cut, "op4_secret_scan": op4_secret_scan, "op10_host_quality": op10_host_quality}
 
 
 def oracle_sql() -> dict[str, str]:
