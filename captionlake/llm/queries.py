@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from captionlake.llm.common import table
+from captionlake.llm.decontam import decontaminate
 from captionlake.llm.hostrules import host_quality
+from captionlake.llm.langid import identify, learn
 from captionlake.llm.packing import concatenate_and_cut
 from captionlake.llm.secretscan import BASE_PATTERNS, scan_secrets, spans_string
+from captionlake.llm.simple8b import read_token_files, write_token_files
 
 
 def tokenizer_file(name: str) -> str:
@@ -19,10 +22,28 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def held_out(folds: int):
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(False))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = identify(docs.select("doc_id", "text"), learn(docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)))
+    return found.select("row.doc_id", "lang_pred", "score").select("doc_id", held_out(5).alias("held_out"), "lang_pred", "score")
+
+
 def op2_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return concatenate_and_cut(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), with_ids=False)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "row.doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
     of = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("bigint")
@@ -30,12 +51,17 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(spans_string(F.col("base")), 256).alias("base_sha256"), spans_string(F.col("spans")).alias("spans"))
 
 
+def op8_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_token_files(write_token_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")))
+
+
 def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_quality(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_concatenate_and_cut": op2_concatenate_and_cut, "op4_secret_scan": op4_secret_scan, "op10_host_quality": op10_host_quality}
+    found = (op1_language_id, op2_concatenate_and_cut, op3_decontaminate, op4_secret_scan, op8_simple8b, op10_host_quality)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
