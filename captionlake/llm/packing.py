@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from captionlake.llm.common import materialize
-from captionlake.llm.tokens import encoder
+from captionlake.llm.tokens import encoder, with_end
 
 END_ID = 1
 #: Partitions whose offsets (16 bytes each) may be broadcast; with more they are joined by a shuffle.
@@ -33,26 +33,28 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
     """Ids of every document (null text: empty) with the end id, as packed bytes, with the input partition and the ids before it there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer_path), np.array([END_ID], "<u4").tobytes()
-        before: dict[int, int] = {}
+        encode, before = encoder(tokenizer_path), {}
         for batch in batches:
-            keys, parts, out, starts, counts = batch.column(0), batch.column(2).to_pylist(), [], [], []
-            for text, part in zip(batch.column(1), parts):
-                text = text.as_py()
-                ids = (encode(text) if text else b"") + end
-                starts.append(before.get(part, 0))
-                counts.append(len(ids) // 4)
-                before[part] = starts[-1] + counts[-1]
-                wide = np.frombuffer(ids, "<u4")
-                out.append(wide.astype("<u2").tobytes() if wide.max() < 65_536 else b"\0" + ids)
-            yield pa.RecordBatch.from_arrays([keys, batch.column(2), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(out, pa.binary())], names=_IDS.names)
+            for a, b, ids, counts in encode.units(batch.column(1)):
+                ids, counts = with_end(ids, counts, END_ID)
+                keys, parts = batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a)
+                starts, ends, part = np.zeros(b - a, np.int64), np.cumsum(counts), parts[0].as_py()
+                starts[:] = before.get(part, 0) + ends - counts
+                before[part] = int(starts[-1] + counts[-1])
+                out = [narrow(ids[e - n : e]) for n, e in zip(counts.tolist(), ends.tolist())]
+                yield pa.RecordBatch.from_arrays([keys, parts, pa.array(starts), pa.array(counts), pa.array(out, pa.binary())], names=_IDS.names)
 
     read = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), F.spark_partition_id().cast("bigint").alias("part"))
     return read.mapInArrow(run, _IDS)
 
 
+def narrow(ids: np.ndarray) -> bytes:
+    """Two bytes an id if all are small enough, or else a zero byte and four bytes an id."""
+    return ids.astype("<u2").tobytes() if not len(ids) or ids.max() < 65_536 else b"\0" + ids.astype("<u4").tobytes()
+
+
 def wide_ids(packed: bytes, n: int) -> np.ndarray:
-    """Ids as unsigned 32-bit integers from either packed form (two bytes an id, or a zero byte and four bytes an id)."""
+    """Ids as unsigned 32-bit integers from what :func:`narrow` returned."""
     return np.frombuffer(packed, "<u2").astype("<u4") if len(packed) == 2 * n else np.frombuffer(packed, "<u4", offset=1)
 
 

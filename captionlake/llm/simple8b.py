@@ -27,14 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from captionlake.llm.common import materialize
-from captionlake.llm.tokens import encoder
+from captionlake.llm.tokens import encoder, with_end
 
 MAGIC = b"S8B1"
 BLOCK = 256
 #: Fixed values of Simple-8b: ids in a word and bits of each, by selector. Selector 0 is the escape.
 COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
-#: Ids after which a segment ends, at the next end of a document.
+#: Ids after which a segment ends, at the end of the unit of documents being encoded.
 SEGMENT_IDS = 1 << 20
 END_ID = 1
 #: Segments whose offsets may be broadcast; with more they are joined by a shuffle.
@@ -145,25 +145,26 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_i
     rows = rows.repartitionByRange(n, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text", F.spark_partition_id().cast("bigint").alias("part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_text, end = encoder(tokenizer_path), np.array([END_ID], "<u4").tobytes()
-        seq, part = 0, 0
-        keys: list[int] = []
-        sizes: list[int] = []
-        held: list[bytes] = []
+        encode_text, seq, part = encoder(tokenizer_path), 0, 0
+        keys: list[pa.Array] = []
+        sizes: list[np.ndarray] = []
+        held: list[np.ndarray] = []
         total = 0
 
         def segment() -> pa.RecordBatch:
-            payload = encode(np.frombuffer(b"".join(held), "<u4"))
-            cols = [pa.array([part], pa.int64()), pa.array([seq], pa.int64()), pa.array([total], pa.int64()), pa.array([keys], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())), pa.array([payload], pa.binary())]
+            ids, counts = np.concatenate(held), np.concatenate(sizes)
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), values) for values in (pa.concat_arrays(keys), pa.array(counts))]
+            cols = [pa.array([part], pa.int64()), pa.array([seq], pa.int64()), pa.array([len(ids)], pa.int64()), *lists, pa.array([encode(ids)], pa.binary())]
             return pa.RecordBatch.from_arrays(cols, names=["part", "seq", "n_ids", "doc_ids", "doc_tokens", "payload"])
 
         for batch in batches:
-            for key, text, part in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):  # noqa: B007
-                ids = encode_text(text.as_py()) + end
-                keys.append(key)
-                sizes.append(len(ids) // 4)
+            for a, b, ids, counts in encode_text.units(batch.column(1)):
+                ids, counts = with_end(ids, counts, END_ID)
+                part = batch.column(2)[a].as_py()
+                keys.append(batch.column(0).slice(a, b - a))
+                sizes.append(counts)
                 held.append(ids)
-                total += sizes[-1]
+                total += len(ids)
                 if total >= SEGMENT_IDS:
                     yield segment()
                     seq, keys, sizes, held, total = seq + 1, [], [], [], 0

@@ -49,10 +49,10 @@ _powers = _Powers()
 
 
 class Words:
-    """Words of a run of texts: ``starts``/``ends`` as byte offsets in ``data``, ``hashes`` of the lower-cased bytes, ``texts`` the text of each word."""
+    """Words of a run of texts: ``starts``/``ends`` as byte offsets in ``data``, ``hashes`` of their bytes, ``texts`` the text of each word."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, inside: np.ndarray):
-        """``offsets``: len(texts) + 1 ascending byte offsets in ``data``."""
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, fold: bool = True):
+        """``offsets``: len(texts) + 1 ascending byte offsets in ``data``; ``fold``: hash A-Z like a-z."""
         n = len(data)
         word = inside[data]
         edge = np.empty(n + 1, bool)
@@ -68,10 +68,10 @@ class Words:
         self.first = np.searchsorted(self.starts, offsets[:-1])  # of each text
         self.counts = np.diff(np.append(self.first, np.searchsorted(self.starts, offsets[-1])))
         self.texts = np.repeat(np.arange(len(self.counts)), self.counts)
-        self._hash()
+        self._hash(_VALUE[_LOWER] if fold else _VALUE)
 
-    def _hash(self) -> None:
-        """Polynomial hashes of the words' lower-cased bytes, block by block."""
+    def _hash(self, values: np.ndarray) -> None:
+        """Polynomial hashes of the words' bytes, block by block."""
         out = np.zeros(len(self.starts), np.uint64)
         a = 0
         while a < len(self.starts):
@@ -79,7 +79,7 @@ class Words:
             lo, hi = int(self.starts[a]), int(self.ends[b - 1])
             up, down = _powers(hi - lo + 1)
             total = np.zeros(hi - lo + 1, np.uint64)
-            np.cumsum(_VALUE[_LOWER[self.data[lo:hi]]] * up[: hi - lo], out=total[1:])
+            np.cumsum(values[self.data[lo:hi]] * up[: hi - lo], out=total[1:])
             s, e = self.starts[a:b] - lo, self.ends[a:b] - lo
             out[a:b] = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
             a = b

@@ -1,74 +1,126 @@
-"""Token ids of whole texts by the tokenizers library, with a memo of words in each Python worker.
+"""Token ids of whole texts by the tokenizers library, with a table of known words in each Python worker.
 
 Both vocabularies here cut a text before every single space, and around every line end, that stands
-between other characters, so the ids of a text are those of its space-led words in turn. Words come
-from a memo; a text with any other arrangement of white space, or with a special token's string, is
-encoded whole by the library. The memo only saves time: it never changes the ids.
+between other characters, so the ids of a text are those of its words in turn, each with the space or
+line end before it. Distinct words of a unit of texts are looked up together; new ones are encoded by
+the library and kept. A text with any other arrangement of white space, with a special token's string
+or with a very long word is encoded whole by the library. The table only saves time.
 """
 
 from __future__ import annotations
 
 import os
 from array import array
+from collections.abc import Iterator
 
-#: Entries that a worker's memo may hold; it starts anew when they are exceeded.
-MEMO_ENTRIES = 1_500_000
-#: Longer words are not kept.
-MEMO_WORD = 64
+import numpy as np
+import pyarrow as pa
 
-_encoders: dict[str, WordEncoder] = {}
-
-
-class _Whole(Exception):
-    """This text must be encoded whole."""
+from captionlake.llm.textkit import Words, blocks_of
 
+#: Words that the table may hold, about 30 bytes each; beyond that it starts anew with those of the present unit.
+KNOWN_WORDS = 3_000_000
+#: Longer words (in bytes) are not looked up by hash.
+LONGEST_WORD = 256
+_BETWEEN = np.ones(256, bool)
+_BETWEEN[[10, 32]] = False
+_AFTER_SPACE, _AFTER_LINE = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFA5A4E15)
+_WHOLE = -1
+#: New words that the library encodes in one call.
+_AT_ONCE = 4096
 
-class _Memo(dict):
-    def __init__(self, encode, lead: str):
-        super().__init__()
-        self.encode, self.lead = encode, lead
-
-    def __missing__(self, word: str) -> bytes:
-        if "<|" in word or word.split() != [word]:
-            raise _Whole
-        ids = array("I", self.encode(self.lead + word)).tobytes()
-        if len(word) <= MEMO_WORD:
-            if len(self) >= MEMO_ENTRIES:
-                self.clear()
-            self[word] = ids
-        return ids
+_encoders: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
-    """Ids as little-endian unsigned 32-bit integers in bytes."""
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        self._encode = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
-        keeps_space = bool(self._encode("\n"))
-        self._line_end = array("I", self._encode("\n")).tobytes()
-        self._first = _Memo(self._encode, "")
-        self._later = _Memo(self._encode, " ") if keeps_space else self._first
-
-    def whole(self, text: str) -> bytes:
-        return array("I", self._encode(text)).tobytes()
-
-    def __call__(self, text: str) -> bytes:
-        first, later, parts = self._first, self._later.__getitem__, []
-        try:
-            for line in text.split("\n"):
-                words = line.split(" ")
-                parts.append(first[words[0]])
-                del words[0]
-                parts.append(b"".join(map(later, words)))
-                parts.append(self._line_end)
-        except _Whole:
-            return self.whole(text)
-        parts.pop()
-        return b"".join(parts)
+        self._tokenizer = Tokenizer.from_file(path)
+        self._line_end = self.whole("\n")
+        self._keeps_space = len(self._line_end) > 0
+        self._forget()
+
+    def _forget(self) -> None:
+        self._keys, self._at, self._size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self._store, self._used = np.zeros(1 << 16, np.uint32), 0
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _learn(self, keys: np.ndarray, words: list[tuple[str, str]]) -> None:
+        """Encode new words, given with what stands before them, and keep their ids."""
+        plain = [not ("<|" in word or word.split() != [word]) for _, word in words]
+        lead = lambda before: before if before == " " else ""
+        at_once = [lead(b) + w for (b, w), ok in zip(words, plain) if ok]
+        found = (e.ids for i in range(0, len(at_once), _AT_ONCE) for e in self._tokenizer.encode_batch_fast(at_once[i : i + _AT_ONCE], add_special_tokens=False))
+        sizes, new, line_end = np.full(len(words), _WHOLE, np.int32), array("I"), self._line_end.tolist()
+        for i, ((before, _), ok) in enumerate(zip(words, plain)):
+            if ok:
+                ids = line_end + next(found) if before == "\n" else next(found)
+                new.extend(ids)
+                sizes[i] = len(ids)
+        new = np.frombuffer(new, np.uint32)
+        if self._used + len(new) > len(self._store):
+            self._store = np.concatenate([self._store[: self._used], np.zeros(max(len(new), len(self._store) // 2), np.uint32)])
+        self._store[self._used : self._used + len(new)] = new
+        at = self._used + np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0)
+        self._used += len(new)
+        where = np.searchsorted(self._keys, keys)
+        self._keys, self._at, self._size = np.insert(self._keys, where, keys), np.insert(self._at, where, at), np.insert(self._size, where, sizes)
+
+    def _unit(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a run of texts, and how many each text has."""
+        words = Words(data, offsets, _BETWEEN, fold=False)
+        n = len(offsets) - 1
+        # separators single and inside: as many bytes lie outside words as there are words less one
+        inside = np.bincount(words.texts, words.ends - words.starts, n)
+        simple = (words.counts > 0) & (np.diff(offsets) - inside == words.counts - 1)
+        simple[words.texts[words.ends - words.starts > LONGEST_WORD]] = False
+        keys = words.hashes
+        first = np.zeros(len(keys), bool)
+        first[words.first[words.counts > 0]] = True
+        after_line = ~first & (data[np.maximum(words.starts - 1, 0)] == 10)
+        if self._keeps_space:
+            keys = np.where(first, keys, keys ^ np.where(after_line, _AFTER_LINE, _AFTER_SPACE))
+        distinct, example, which = np.unique(keys, return_index=True, return_inverse=True)
+        if len(self._keys) + len(distinct) > KNOWN_WORDS:
+            self._forget()
+        at = np.searchsorted(self._keys, distinct)
+        known = self._keys[np.minimum(at, len(self._keys) - 1)] == distinct if len(self._keys) else np.zeros(len(distinct), bool)
+        if not known.all():
+            new = np.flatnonzero(~known)
+            told = []
+            for i in example[new].tolist():
+                before = "" if first[i] or not self._keeps_space else "\n" if after_line[i] else " "
+                told.append((before, data[words.starts[i] : words.ends[i]].tobytes().decode() if words.ends[i] - words.starts[i] <= LONGEST_WORD else ""))
+            self._learn(distinct[new], told)
+            at = np.searchsorted(self._keys, distinct)
+        size, place = self._size[at][which], self._at[at][which]
+        simple[words.texts[size == _WHOLE]] = False
+        size = np.where(simple[words.texts], size, 0).astype(np.int64)
+        before = np.cumsum(size) - size
+        ids = self._store[np.repeat(place - before, size) + np.arange(int(size.sum()))]
+        counts = np.bincount(words.texts, size, n).astype(np.int64)
+        odd = np.flatnonzero(~simple & (np.diff(offsets) > 0))
+        if len(odd):
+            parts, ends, last = [], np.cumsum(counts), 0
+            for i in odd.tolist():
+                parts += [ids[last : ends[i]], self.whole(data[offsets[i] : offsets[i + 1]].tobytes().decode())]
+                last, counts[i] = ends[i], len(parts[-1])
+            ids = np.concatenate([*parts, ids[last:]])
+        return ids, counts
+
+    def units(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """For runs of texts (null: empty): first row, row after the last, all their ids, and how many each has."""
+        for a, b, data, offsets in blocks_of(column, 2 << 20):
+            yield a, b, *self._unit(data, offsets)
+
+
+def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same with an end id after each text."""
+    return np.insert(ids, np.cumsum(counts), np.uint32(end)), counts + 1
 
 
 def encoder(path: str) -> WordEncoder:
