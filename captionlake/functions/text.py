@@ -82,7 +82,7 @@ def utc_timestamp(text: Column) -> Column:
 
 
 def age_seconds(then: Column, as_of: Column) -> Column:
-    return (F.unix_micros(as_of) - F.unix_micros(then)) / F.lit(1e6)
+    return (F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(then.cast("timestamp"))) / F.lit(1e6)
 
 
 def redact_secrets(message: Column, secrets: list[str]) -> Column:

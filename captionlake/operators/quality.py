@@ -24,7 +24,7 @@ def line_coverage(windows: DataFrame, sizes: DataFrame) -> DataFrame:
     """(file_id, idx, coverage) of every line: windows are spread to lines, so the range join is one by equal keys."""
     spread = windows.select("file_id", F.explode(F.sequence("window_start", F.col("window_start") + F.col("num_entries") - 1)).alias("idx"))
     counted = spread.groupBy("file_id", "idx").agg(F.count("*").alias("coverage"))
-    lines = sizes.where("n > 0").select("file_id", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).cast("int").alias("idx"))
+    lines = sizes.where("n > 0").select("file_id", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("idx"))
     return lines.join(counted, ["file_id", "idx"], "left").select("file_id", "idx", F.coalesce("coverage", F.lit(0).cast("bigint")).alias("coverage"))
 
 
