@@ -16,14 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from captionlake.llm.common import materialize
 from captionlake.llm.tokens import encoder, with_end
 
 END_ID = 1
-#: Partitions whose offsets (16 bytes each) may be broadcast; with more they are joined by a shuffle.
-BROADCAST_PARTITIONS = 500_000
 
 _IDS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("part", T.LongType()), T.StructField("before", T.LongType()), T.StructField("n", T.LongType()), T.StructField("ids", T.BinaryType())])
 _PIECES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("doc_tokens", T.LongType()), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()), T.StructField("ids", T.BinaryType())])
@@ -67,26 +64,26 @@ def concatenate_and_cut(docs: DataFrame, tokenizer_path: str, length: int = 2048
     input partitions; it is fixed once pass one is written, so lost executors cannot change it.
     """
     encoded = materialize(encode_documents(docs, tokenizer_path, id_col, text_col), "packing-ids")
-    totals = encoded.groupBy("part").agg(F.sum("n").alias("total"))
-    totals = materialize(totals, "packing-totals")
-    # one row for each input partition: the only thing here that is ordered as a whole
-    offsets = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("offset_before"))
-    offsets = F.broadcast(offsets) if totals.count() <= BROADCAST_PARTITIONS else offsets
+    # one total for each input partition, 16 bytes each: summed in order on the driver, and known to every task
+    totals = encoded.groupBy("part").agg(F.sum("n").alias("total")).orderBy("part").collect()
+    sums = np.cumsum([0, *(r["total"] for r in totals)])
+    shared = docs.sparkSession.sparkContext.broadcast({r["part"]: int(n) for r, n in zip(totals, sums)})
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cols: list[list] = [[] for _ in _PIECES.names]
-            for key, n, at, packed in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "at", "ids"))):
-                ids, start = wide_ids(packed, n), 0
-                while start < n:
-                    sequence, offset = divmod(at + start, length)
-                    took = min(length - offset, n - start)
-                    raw = ids[start : start + took].tobytes()
-                    for c, v in zip(cols, (key, start, took, zlib.crc32(raw), n, sequence, offset, raw if with_ids else None)):
-                        c.append(v)
-                    start += took
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if name == "ids" else pa.int64()) for c, name in zip(cols, _PIECES.names)], names=_PIECES.names)
-
-    placed = encoded.join(offsets, "part").select("doc_id", "n", (F.col("offset_before") + F.col("before")).alias("at"), "ids")
-    pieces = placed.mapInArrow(cut, _PIECES)
+        offsets = shared.value
+        for rows in batches:
+            for batch in (rows.slice(i, 512) for i in range(0, rows.num_rows, 512)):
+                cols: list[list] = [[] for _ in _PIECES.names]
+                for key, part, before, n, packed in zip(*(batch.column(c).to_pylist() for c in _IDS.names)):
+                    ids, start, at = wide_ids(packed, n), 0, offsets[part] + before
+                    while start < n:
+                        sequence, offset = divmod(at + start, length)
+                        took = min(length - offset, n - start)
+                        raw = ids[start : start + took].tobytes()
+                        for c, v in zip(cols, (key, start, took, zlib.crc32(raw), n, sequence, offset, raw if with_ids else None)):
+                            c.append(v)
+                        start += took
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if name == "ids" else pa.int64()) for c, name in zip(cols, _PIECES.names)], names=_PIECES.names)
+
+    pieces = encoded.mapInArrow(cut, _PIECES)
     return pieces if with_ids else pieces.drop("ids")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from captionlake.llm.textkit import Words, blocks_of
 
 #: Words that the table may hold, about 30 bytes each; beyond that it starts anew with those of the present unit.
-KNOWN_WORDS = 3_000_000
+KNOWN_WORDS = 1_500_000
 #: Longer words (in bytes) are not looked up by hash.
 LONGEST_WORD = 256
 _BETWEEN = np.ones(256, bool)
