@@ -17,6 +17,7 @@ from captionlake.llm.packing import concatenate_and_cut
 from captionlake.llm.secretscan import BASE_PATTERNS, scan_secrets, spans_string
 from captionlake.llm.simhash import near_duplicates
 from captionlake.llm.simple8b import read_token_files, write_token_files
+from captionlake.llm.suffix import remove_repeats
 
 
 def tokenizer_file(name: str) -> str:
@@ -65,6 +66,10 @@ def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_conversations(write_windows(format_conversations(turns, tokenizer_file("byte_bpe_50k.json"))))
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op8_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")))
 
@@ -80,7 +85,7 @@ def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_language_id, op2_concatenate_and_cut, op3_decontaminate, op4_secret_scan, op5_simhash, op6_chat_windows, op8_simple8b, op9_context_tree, op10_host_quality)
+    found = (op1_language_id, op2_concatenate_and_cut, op3_decontaminate, op4_secret_scan, op5_simhash, op6_chat_windows, op7_suffix_array, op8_simple8b, op9_context_tree, op10_host_quality)
     return {f.__name__: f for f in found}
 
 
