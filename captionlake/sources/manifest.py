@@ -12,7 +12,7 @@ from captionlake.sources.srt import numbered
 
 
 def list_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """Paths only: contents are pruned from the scan."""
+    """Paths of files that are not empty; contents are pruned from the scan."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path).select("path")
 
 

@@ -17,13 +17,14 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str = "chunk_id", re
 
 
 class VersionedTable:
-    """Parquet versions ``v=N`` in a folder and a pointer file ``_CURRENT``; readers see whole versions only."""
+    """Parquet versions ``v=N`` in a folder and a pointer file ``CURRENT``; readers see whole versions only."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
         jvm = spark._jvm
-        self._pointer = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_CURRENT")
-        self._fs = self._pointer.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        self._conf = spark._jsparkSession.sessionState().newHadoopConf()
+        self._pointer = jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT")
+        self._fs = self._pointer.getFileSystem(self._conf)
 
     def version(self) -> int:
         """0 before the first write."""
@@ -38,17 +39,19 @@ class VersionedTable:
         return self.spark.read.parquet(f"{self.path}/v={v}")
 
     def write(self, rows: DataFrame, expected: int | None = None) -> int:
-        """Write the next version and move the pointer by a rename; fails if another writer was first."""
+        """Write the next version and move the pointer by one rename; fails if another writer was first."""
         v = self.version() if expected is None else expected
         rows.write.parquet(f"{self.path}/v={v + 1}")
         if self.version() != v:
             raise GateError("the table has changed meanwhile")
-        fresh = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_CURRENT.{v + 1}")
+        fresh = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT.{v + 1}")
         out = self._fs.create(fresh, True)
         out.writeBytes(str(v + 1))
         out.close()
-        self._fs.delete(self._pointer, False)
-        self._fs.rename(fresh, self._pointer)
+        fs = self.spark._jvm.org.apache.hadoop.fs
+        how = self.spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 1)
+        how[0] = getattr(fs, "Options$Rename").OVERWRITE
+        fs.FileContext.getFileContext(self._pointer.toUri(), self._conf).rename(fresh, self._pointer, how)
         return v + 1
 
     def upsert(self, source: DataFrame, key: str = "chunk_id", replace_within: str | None = None) -> int:
