@@ -13,6 +13,7 @@ from captionlake.llm.ctw import score_documents
 from captionlake.llm.decontam import decontaminate
 from captionlake.llm.hostrules import host_quality
 from captionlake.llm.langid import identify, learn
+from captionlake.llm.oracle import ORACLES
 from captionlake.llm.packing import concatenate_and_cut
 from captionlake.llm.secretscan import BASE_PATTERNS, scan_secrets, spans_string
 from captionlake.llm.simhash import near_duplicates
@@ -90,4 +91,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
