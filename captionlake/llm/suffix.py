@@ -30,11 +30,11 @@ from captionlake.llm.textkit import mix
 
 LENGTH = 50
 GRAM = 16
-UNIT_BYTES, UNIT_DOCS = 8 << 20, 1 << 16
+UNIT_BYTES, UNIT_DOCS = 4 << 20, 1 << 16
 #: Bytes hashed at a time; a longer text is taken in overlapping pieces of this size.
-BLOCK = 1 << 20
+BLOCK = 1 << 17
 #: Bytes of pieces that one transform takes; a gram's pieces are never parted.
-TRANSFORM_BYTES = 1 << 20
+TRANSFORM_BYTES = 1 << 18
 UNIQUE, SETTLED, OPEN = 0, 1, 2
 _SEPARATOR = 0xFF  # never in UTF-8
 _NO_ID = np.iinfo(np.int64).max
@@ -47,7 +47,14 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
     n = len(data) - GRAM + 1
     raw = np.ascontiguousarray(data)
     a, b = (np.ndarray((n,), "<u8", raw, at, (1,)) for at in (0, 8))
-    return mix((a * np.uint64(0x9E3779B97F4A7C15)) ^ mix(b + np.uint64(0xC2B2AE3D27D4EB4F)))
+    h = a * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    h += b
+    h *= np.uint64(0xC2B2AE3D27D4EB4F)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xFF51AFD7ED558CCD)
+    h ^= h >> np.uint64(32)
+    return h
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -88,10 +95,14 @@ class Pieces:
         place = np.arange(len(hashes), dtype=np.uint64)
         least = _sliding_min((hashes & ~np.uint64(BLOCK - 1)) | place, self.length - GRAM + 1)
         at = (least & np.uint64(BLOCK - 1)).astype(np.int64)
-        starts = np.arange(len(at), dtype=np.int64) + a
-        text = np.searchsorted(offsets, starts, "right") - 1
-        inside = starts + self.length <= offsets[text + 1]
-        starts, at, text = starts[inside], at[inside], text[inside]
+        i, j = int(np.searchsorted(offsets, a, "right")) - 1, int(np.searchsorted(offsets, b, "left"))
+        sizes = np.minimum(offsets[i + 1 : j + 1], b) - np.maximum(offsets[i:j], a)
+        # of each text, the starts of strings that end in it
+        inside = np.repeat(np.tile([True, False], len(sizes)), np.stack([np.maximum(sizes - self.length + 1, 0), np.minimum(sizes, self.length - 1)], 1).ravel())
+        starts = np.flatnonzero(inside[: len(at)])
+        at = at[starts]
+        text = np.repeat(np.arange(i, j), np.maximum(sizes - self.length + 1, 0))
+        starts = starts + a
         if not len(starts):
             return none
         new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (text[1:] != text[:-1])]))
@@ -139,19 +150,19 @@ def equal_prefixes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
     order = _rotations(text)
     before = text[order - 1]
     by_byte = np.argsort(before, kind="stable")
-    lf = np.empty(n, np.int64)
-    lf[by_byte] = np.arange(n)
+    lf = np.empty(n, np.int32)
+    lf[by_byte] = np.arange(n, dtype=np.int32)
     # the rows with the same byte before and after each row
     same = before[by_byte][1:] == before[by_byte][:-1]
-    following, previous = np.full(n, n), np.full(n, -1)
+    following, previous = np.full(n, n, np.int32), np.full(n, -1, np.int32)
     following[by_byte[:-1][same]] = by_byte[1:][same]
     previous[by_byte[1:][same]] = by_byte[:-1][same]
     parted = np.zeros(n + 1, bool)
     parted[0] = parted[n] = True
-    lo, hi = np.array([0]), np.array([n])
+    lo, hi = np.array([0], np.int32), np.array([n], np.int32)
     for _ in range(length):
         size = hi - lo
-        rows = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        rows = np.repeat(lo - (np.cumsum(size, dtype=np.int32) - size), size) + np.arange(int(size.sum()), dtype=np.int32)
         begins = np.sort(lf[rows[previous[rows] < np.repeat(lo, size)]])
         ends = np.sort(lf[rows[following[rows] >= np.repeat(hi, size)]]) + 1
         fresh = ~parted[ends]
@@ -162,13 +173,32 @@ def equal_prefixes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
     return order, parted[:n]
 
 
+def can_share(text: np.ndarray, begin: np.ndarray, size: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Whether a piece's gram, with half of what else a string takes on one side of it, is in another piece too.
+
+    Every string around the gram (``at`` in the piece) has that on its left or on its right, so a piece
+    without it shares no string. ``text`` holds all pieces and at least seven bytes more.
+    """
+    half = (length - GRAM) // 2
+    words = np.ndarray((len(text) - 7,), "<u8", np.ascontiguousarray(text), 0, (1,))
+    out = np.zeros(len(begin), bool)
+    for first, last in ((begin + at - half, begin + at + GRAM), (begin + at, begin + at + GRAM + half)):
+        whole = np.flatnonzero((first >= begin) & (last <= begin + size))
+        h = np.zeros(len(whole), np.uint64)
+        for k in range(0, GRAM + half, 8):
+            h = mix(h ^ words[np.minimum(first[whole] + k, last[whole] - 8)])
+        _, which, times = np.unique(h, return_inverse=True, return_counts=True)
+        out[whole[times[which] > 1]] = True
+    return out
+
+
 def least_owners(pieces: list[bytes], owners: np.ndarray, length: int) -> list[np.ndarray]:
     """For every string of ``length`` bytes in every piece, the least owner of a piece that holds it."""
     sizes = np.array([len(p) for p in pieces])
     text = np.frombuffer(bytes([_SEPARATOR]).join(pieces) + bytes([_SEPARATOR]), np.uint8)
     starts = np.cumsum(sizes + 1) - sizes - 1
     order, parted = equal_prefixes(text, length)
-    piece = np.searchsorted(starts, order, "right") - 1
+    piece = np.repeat(np.arange(len(sizes)), sizes + 1)[order]
     whole = order + length <= starts[piece] + sizes[piece]
     least = np.minimum.reduceat(np.where(whole, owners[piece], _NO_ID), np.flatnonzero(parted))
     out = np.empty(len(text), np.int64)
@@ -180,42 +210,44 @@ def least_owners(pieces: list[bytes], owners: np.ndarray, length: int) -> list[n
 
 
 def _units(docs: DataFrame, buckets: int, id_col: str, text_col: str) -> DataFrame:
-    """A table bucketed by unit: ``unit``, ``ids``, ``texts``."""
+    """A table bucketed by unit: ``unit``, ``ids``, ``sizes`` (bytes of each text) and ``texts`` (all of them, compressed)."""
     spark = docs.sparkSession
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, ids, texts, size, n = [], [], [], 0, 0
+        unit, ids, texts, size, n = 0, [], [], 0, 0
 
         def out() -> pa.RecordBatch:
-            lists = [pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.concat_arrays(x)) for x in (ids, texts)]
-            return pa.RecordBatch.from_arrays([pa.array([keys[0]], pa.int64()), *lists], names=["unit", "ids", "texts"])
+            data = b"".join(texts)
+            packed = pa.compress(data, codec="zstd", asbytes=True)
+            lengths = np.fromiter(map(len, texts), "<u4", n).tobytes()
+            keys = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.concat_arrays(ids))
+            return pa.RecordBatch.from_arrays([pa.array([unit], pa.int64()), keys, pa.array([lengths], pa.binary()), pa.array([packed], pa.binary())], names=["unit", "ids", "sizes", "texts"])
 
         for rows in batches:
             for batch in (rows.slice(i, 256) for i in range(0, rows.num_rows, 256)):
-                keys.append(batch.column(2)[0].as_py())
+                unit = unit if n else batch.column(2)[0].as_py()
                 ids.append(batch.column(0))
-                texts.append(batch.column(1))
-                size, n = size + batch.column(1).nbytes, n + batch.num_rows
+                some = [t.as_py().encode() for t in batch.column(1)]
+                texts += some
+                size, n = size + sum(map(len, some)), n + len(some)
                 if size >= UNIT_BYTES or n >= UNIT_DOCS - 256:
                     yield out()
-                    keys, ids, texts, size, n = [], [], [], 0, 0
+                    ids, texts, size, n = [], [], 0, 0
         if n:
             yield out()
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
     name = f"captionlake_units_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/captionlake/{name}"
-    rows.mapInArrow(gather, "unit bigint, ids array<bigint>, texts array<string>").write.bucketBy(buckets, "unit").sortBy("unit").option("path", path).format("parquet").saveAsTable(name)
+    units = rows.mapInArrow(gather, "unit bigint, ids array<bigint>, sizes binary, texts binary")
+    units.write.bucketBy(buckets, "unit").sortBy("unit").option("path", path).format("parquet").saveAsTable(name)
     return spark.table(name)
 
 
-def _open_unit(ids: pa.Scalar, texts: pa.Scalar, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Pieces]:
+def _open_unit(ids: pa.Scalar, sizes: pa.Scalar, texts: pa.Scalar, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Pieces]:
     """Document ids (the largest integer for null), bytes, offsets and pieces of a unit."""
-    values = texts.values.cast(pa.large_string())
-    _, raw_offsets, raw = values.buffers()
-    offsets = np.frombuffer(raw_offsets, np.int64)[values.offset : values.offset + len(values) + 1]
-    data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
-    offsets = offsets - offsets[0]
+    offsets = np.cumsum(np.concatenate([[0], np.frombuffer(sizes.as_py(), "<u4")]), dtype=np.int64)
+    data = np.frombuffer(pa.decompress(texts.as_buffer(), int(offsets[-1]), codec="zstd", asbytes=True), np.uint8)
     keys = ids.values.fill_null(_NO_ID).to_numpy(zero_copy_only=False)
     return keys, data, offsets, Pieces(data, offsets, length)
 
@@ -262,8 +294,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for unit, ids, texts in zip(*(batch.column(c) for c in ("unit", "ids", "texts"))):
-                keys, _, _, found = _open_unit(ids, texts, length)
+            for unit, ids, sizes, texts in zip(*(batch.column(c) for c in ("unit", "ids", "sizes", "texts"))):
+                keys, _, _, found = _open_unit(ids, sizes, texts, length)
                 piece, rows = found.hashes(), []
                 for b, at in enumerate(_split(found.gram, n_buckets)):
                     if len(at):
@@ -302,8 +334,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def open_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for unit, ids, texts, told in zip(*(batch.column(c) for c in ("unit", "ids", "texts", "codes"))):
-                keys, data, _, found = _open_unit(ids, texts, length)
+            for unit, ids, sizes, texts, told in zip(*(batch.column(c) for c in ("unit", "ids", "sizes", "texts", "codes"))):
+                keys, data, _, found = _open_unit(ids, sizes, texts, length)
                 at = np.flatnonzero(codes_of(found, told) == OPEN)
                 rows = []
                 for b, of in enumerate(_split(found.gram[at], n_buckets)):
@@ -311,24 +343,27 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                         some = at[of]
                         size = found.last[some] - found.first[some] + length
                         text = data[np.repeat(found.first[some] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
-                        rows.append((b, (found.gram[some] >> np.uint64(32)).astype("<u4").tobytes(), some.astype("<u4").tobytes(), keys[found.text[some]].tobytes(), size.astype(np.uint8).tobytes(), text.tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([unit.as_py()] * len(rows), pa.int64()), *(pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 6))], names=["bucket", "unit", "gram", "place", "doc", "size", "text"])
+                        rows.append((b, (found.gram[some] >> np.uint64(32)).astype("<u4").tobytes(), some.astype("<u4").tobytes(), keys[found.text[some]].tobytes(), size.astype(np.uint8).tobytes(), (found.start - found.first)[some].astype(np.uint8).tobytes(), text.tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([unit.as_py()] * len(rows), pa.int64()), *(pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 7))], names=["bucket", "unit", "gram", "place", "doc", "size", "at", "text"])
 
     def transform(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def out() -> Iterator[pa.RecordBatch]:
             unit = np.concatenate([np.full(len(r[2]) // 4, r[1]) for r in held])
-            gram, place, doc, size = (np.concatenate([np.frombuffer(r[i], t) for r in held]) for i, t in ((2, "<u4"), (3, "<u4"), (4, np.int64), (5, np.uint8)))
-            text = np.frombuffer(b"".join(r[6] for r in held), np.uint8)
-            begin = np.cumsum(size.astype(np.int64)) - size
-            order = np.argsort(gram, kind="stable")
+            gram, place, doc, size, at = (np.concatenate([np.frombuffer(r[i], t) for r in held]).astype(t if i == 2 else np.int64) for i, t in ((2, "<u4"), (3, "<u4"), (4, np.int64), (5, np.uint8), (6, np.uint8)))
+            text = np.frombuffer(b"".join([*(r[7] for r in held), bytes(8)]), np.uint8)
+            begin = np.cumsum(size) - size
+            order = np.flatnonzero(can_share(text, begin, size, at, length))
+            if not len(order):
+                return
+            order = order[np.argsort(gram[order], kind="stable")]
             # cuts between grams, about every TRANSFORM_BYTES
-            filled = np.cumsum(size[order].astype(np.int64) + 1) // TRANSFORM_BYTES
+            filled = np.cumsum(size[order] + 1) // TRANSFORM_BYTES
             ends_gram = np.append(gram[order][1:] != gram[order][:-1], True)
             group = np.cumsum(np.append(False, ends_gram[:-1]))
             block = np.minimum.reduceat(filled, np.flatnonzero(np.append(True, ends_gram[:-1])))[group]
-            masks = np.zeros(len(order), np.uint64)
+            masks = np.zeros(len(gram), np.uint64)
             for some in np.split(order, np.flatnonzero(np.diff(block)) + 1):
                 least = least_owners([text[begin[i] : begin[i] + size[i]].tobytes() for i in some.tolist()], doc[some], length)
                 for i, owners in zip(some.tolist(), least):
@@ -338,10 +373,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
             some = np.flatnonzero(masks)
             some = some[np.argsort(unit[some], kind="stable")]
             for of in np.split(some, np.flatnonzero(np.diff(unit[some])) + 1) if len(some) else []:
-                yield pa.RecordBatch.from_arrays([pa.array([int(unit[of[0]])], pa.int64()), pa.array([place[of].tobytes()], pa.binary()), pa.array([masks[of].tobytes()], pa.binary())], names=["unit", "place", "mask"])
+                yield pa.RecordBatch.from_arrays([pa.array([int(unit[of[0]])], pa.int64()), pa.array([place[of].astype("<u4").tobytes()], pa.binary()), pa.array([masks[of].tobytes()], pa.binary())], names=["unit", "place", "mask"])
 
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(7))):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(8))):
                 if held and row[0] != held[0][0]:
                     yield from out()
                     held = []
@@ -349,15 +384,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         if held:
             yield from out()
 
-    opened = units.join(verdicts, "unit", "left").select("unit", "ids", "texts", "codes").mapInArrow(open_pieces, "bucket int, unit bigint, gram binary, place binary, doc binary, size binary, text binary")
+    opened = units.join(verdicts, "unit", "left").select("unit", "ids", "sizes", "texts", "codes").mapInArrow(open_pieces, "bucket int, unit bigint, gram binary, place binary, doc binary, size binary, at binary, text binary")
     found = opened.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(transform, "unit bigint, place binary, mask binary")
     masks = materialize(found, "repeats-masks").groupBy("unit").agg(F.collect_list(F.struct("place", "mask")).alias("masks"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
-            for ids, texts, told, marked in zip(*(batch.column(c) for c in ("ids", "texts", "codes", "masks"))):
-                _, data, offsets, found = _open_unit(ids, texts, length)
+            for ids, sizes, texts, told, marked in zip(*(batch.column(c) for c in ("ids", "sizes", "texts", "codes", "masks"))):
+                _, data, offsets, found = _open_unit(ids, sizes, texts, length)
                 edges = np.zeros(len(data) + 1, np.int32)
 
                 def cover(first: np.ndarray, last: np.ndarray, edges: np.ndarray = edges) -> None:
@@ -371,7 +406,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                     for k in range(length - GRAM + 1):
                         at = found.first[place[(mask >> np.uint64(k)) & np.uint64(1) > 0]] + k
                         cover(at, at)
-                gone = np.cumsum(edges[:-1]) > 0
+                gone = np.cumsum(edges[:-1], dtype=np.int32) > 0
                 out = []
                 for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
                     own = gone[a:b]
@@ -381,5 +416,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                     out.append((b - a, n, len(turns) // 2, hashlib.sha256(kept.tobytes()).hexdigest(), [{"start": s, "end": e} for s, e in zip(turns[0::2], turns[1::2])]))
                 yield pa.RecordBatch.from_arrays([ids.values, *(pa.array([r[i] for r in out], t) for i, t in ((0, pa.int64()), (1, pa.int64()), (2, pa.int64()), (3, pa.string()), (4, spans_type)))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    told = units.join(verdicts, "unit", "left").join(masks, "unit", "left").select("ids", "texts", "codes", "masks")
+    told = units.join(verdicts, "unit", "left").join(masks, "unit", "left").select("ids", "sizes", "texts", "codes", "masks")
     return told.mapInArrow(remove, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start:bigint,end:bigint>>")
