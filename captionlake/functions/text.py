@@ -95,10 +95,17 @@ def resolve_path(template: Column, data_dir: str, root: str) -> Column:
     return F.replace(F.replace(template, F.lit("{SRT_DATA_DIR}"), F.lit(data_dir)), F.lit("{SRT_PROJECT_ROOT}"), F.lit(root))
 
 
-def report_label(path: Column) -> Column:
-    """Label of a report by its file name: what follows the first two parts between underscores, or the stem."""
+def report_label(path: Column, file_id: Column) -> Column:
+    """Label of a report by its file name: what follows its first two parts between underscores.
+
+    A name of fewer than four parts, or whose rest is only the last part of the name without
+    ``_test_report`` and the file's id, says nothing: ``unknown``.
+    """
     parts = F.split(stem(path), "_")
-    return F.when(F.size(parts) > 2, F.array_join(F.slice(parts, 3, F.size(parts)), "_")).otherwise(stem(path))
+    rest = F.array_join(F.slice(parts, 3, F.size(parts)), "_")
+    name = F.replace(F.replace(stem(path), F.lit("_test_report"), F.lit("")), F.concat(F.lit("_"), file_id.cast("string")), F.lit(""))
+    last = F.element_at(F.split(F.ltrim(name, F.lit("_")), "_"), -1)
+    return F.when((F.size(parts) >= 4) & (rest != "") & (rest != last), rest).otherwise("unknown")
 
 
 def round_robin(models: Column, k: Column) -> Column:

@@ -61,7 +61,8 @@ def test_text_functions(spark):
     assert (one(spark, fx.stem(lit("/a/b.c.srt"))), one(spark, fx.parent_name(lit("/a/x/b.srt"))), one(spark, fx.base_name(lit("/a/b.srt")))) == ("b.c", "x", "b.srt")
     assert one(spark, fx.utc_timestamp(lit("2026-05-01T10:11:12Z"))) == one(spark, fx.utc_timestamp(lit("2026-05-01T10:11:12"))) and one(spark, fx.utc_timestamp(lit("soon"))) is None
     assert one(spark, fx.redact_secrets(lit("key abc123 abc123"), ["abc123"])) == "key ***REDACTED*** ***REDACTED***"
-    assert one(spark, fx.report_label(lit("/r/0_test_report_20260513.json"))) == "report_20260513"
+    label = lambda name, i: one(spark, fx.report_label(lit(name), lit(i)))
+    assert (label("/r/0_test_report_20260513_123228.json", 0), label("/r/a_b.json", 1), label("x_y_z_9.json", 3)) == ("report_20260513_123228", "unknown", "z_9")
     assert one(spark, fx.round_robin(F.array(lit("a"), lit("b")), lit(3))) == "b"
     assert [one(spark, fx.grade(lit(s))) for s in (95, 85, 75, 55, 10)] == list("ABCDF")
     assert one(spark, fx.resolve_path(lit("{SRT_DATA_DIR}/x"), "/d", "/r")) == "/d/x"
