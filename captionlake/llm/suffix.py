@@ -323,7 +323,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
             yield out()
 
     asked = units.mapInArrow(grams, "bucket int, unit bigint, gram binary, piece binary, doc binary, ids binary")
-    settled = asked.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(settle, "unit bigint, bucket int, codes binary")
+    settled = asked.repartitionById(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(settle, "unit bigint, bucket int, codes binary")
     verdicts = materialize(settled, "repeats-verdicts").groupBy("unit").agg(F.collect_list(F.struct("bucket", "codes")).alias("codes"))
 
     def codes_of(found: Pieces, told: pa.Scalar) -> np.ndarray:
@@ -385,7 +385,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
             yield from out()
 
     opened = units.join(verdicts, "unit", "left").select("unit", "ids", "sizes", "texts", "codes").mapInArrow(open_pieces, "bucket int, unit bigint, gram binary, place binary, doc binary, size binary, at binary, text binary")
-    found = opened.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(transform, "unit bigint, place binary, mask binary")
+    found = opened.repartitionById(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(transform, "unit bigint, place binary, mask binary")
     masks = materialize(found, "repeats-masks").groupBy("unit").agg(F.collect_list(F.struct("place", "mask")).alias("masks"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
