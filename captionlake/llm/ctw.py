@@ -199,7 +199,7 @@ def count_training(train: DataFrame, buckets: int) -> DataFrame:
             yield out(bucket)
 
     schema = "bucket int, keys binary, counts binary"
-    dealt = train.mapInArrow(read, schema).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    dealt = train.mapInArrow(read, schema).repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
     return materialize(dealt.mapInArrow(merge, schema), "lm-counts")
 
 
@@ -304,7 +304,7 @@ def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", t
 
     asked = units.where(F.col("bucket") >= 0).select("bucket", "unit", "x", "y", "z")
     known = counts.where(F.col("bucket") < buckets).select("bucket", F.lit(None).cast("bigint").alias("unit"), F.col("keys").alias("x"), F.col("counts").alias("y"), F.lit(None).cast("binary").alias("z"))
-    partial = asked.unionByName(known).repartition(buckets, "bucket").sortWithinPartitions("bucket", F.col("unit").asc_nulls_first()).mapInArrow(add, "unit bigint, sums binary, known binary")
+    partial = asked.unionByName(known).repartitionById(buckets, "bucket").sortWithinPartitions("bucket", F.col("unit").asc_nulls_first()).mapInArrow(add, "unit bigint, sums binary, known binary")
 
     own = units.where(F.col("bucket") == -1).select("unit", F.col("y").alias("sums"), F.col("z").alias("known"), "docs")
     log_all = math.log10(total + 0.1 * (distinct + 1))
