@@ -29,15 +29,22 @@ def line_coverage(windows: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def merge_votes(flags: DataFrame) -> DataFrame:
-    """One flag per (file, group, window, line) of all models': any ``major`` wins, then the first model by name."""
+    """One flag per (file, group, window, line) of all models': any ``major`` wins, then the first model by name.
+
+    Windows are told apart by ``num_entries`` too, where flags have it: two windows may start at one line.
+    """
     pick = F.min_by(F.struct("severity", "issue"), F.struct((F.col("severity") != "major").alias("a"), F.col("model").alias("b")))
-    return flags.groupBy("file_id", "group_label", "window_start", "line_no").agg(pick.alias("p")).select("file_id", "group_label", "window_start", "line_no", "p.severity", "p.issue")
+    key = ["file_id", "group_label", "window_start", *(c for c in ("num_entries",) if c in flags.columns), "line_no"]
+    return flags.groupBy(*key).agg(pick.alias("p")).select(*key, "p.severity", "p.issue")
+
 
+def absolute_flags(flags: DataFrame, windows: DataFrame | None = None) -> DataFrame:
+    """Flags with ``idx`` from 1-based ``line_no`` strings in their window; numbers that are none or out of range go.
 
-def absolute_flags(flags: DataFrame, windows: DataFrame) -> DataFrame:
-    """Flags with ``idx`` from 1-based ``line_no`` strings in their window; numbers that are none or out of range go."""
+    Flags without ``num_entries`` belong to every one of ``windows`` with their start.
+    """
     k = F.col("line_no").try_cast("int")
-    rows = flags.join(windows, ["file_id", "window_start"]).where((k >= 1) & (k <= F.col("num_entries")))
+    rows = (flags if "num_entries" in flags.columns else flags.join(windows, ["file_id", "window_start"])).where((k >= 1) & (k <= F.col("num_entries")))
     return rows.withColumn("idx", F.col("window_start") + k - 1).drop("num_entries")
 
 
@@ -68,13 +75,13 @@ def review_grid(windows: DataFrame, groups: DataFrame) -> DataFrame:
 
 def window_prompt(windows: DataFrame, entries: DataFrame) -> DataFrame:
     """Windows with their numbered lines (F14), by equal keys over the lines they cover."""
-    spread = windows.select("file_id", "window_start", F.posexplode(F.sequence("window_start", F.col("window_start") + F.col("num_entries") - 1)).alias("k", "idx"))
+    spread = windows.select("file_id", "window_start", "num_entries", F.posexplode(F.sequence("window_start", F.col("window_start") + F.col("num_entries") - 1)).alias("k", "idx"))
     from captionlake.functions.text import numbered_line
     from captionlake.operators.chunking import joined_text
 
     rows = spread.join(entries, ["file_id", "idx"])
     line = numbered_line(F.col("k") + 1, F.col("start_time"), F.col("end_time"), F.col("text"))
-    return rows.groupBy("file_id", "window_start").agg(joined_text(F.col("k"), line, "\n").alias("prompt"))
+    return rows.groupBy("file_id", "window_start", "num_entries").agg(joined_text(F.col("k"), line, "\n").alias("prompt"))
 
 
 def consensus_listing(flags: DataFrame, entries: DataFrame, groups: list[str]) -> DataFrame:

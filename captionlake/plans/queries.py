@@ -554,3 +554,50 @@ def breaker_fold(spark, d):
     e = b.table(spark, d, "events")
     calls = e.select(F.col("user_id").alias("key"), F.col("event_id").alias("seq"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("at_sec"), (F.col("value") * 25).alias("latency_ms"), (F.col("event_type") != "error").alias("ok"))
     return resilience.replay_calls(calls)
+
+
+@query(f"""WITH {b.CHUNKS}, m AS (SELECT model_used AS model, count(*) FILTER (WHERE status = 'failed') AS fail FROM chunks GROUP BY model_used) SELECT model, fail FROM m WHERE fail > 0""")
+def top_failed_models(spark, d):
+    return diagnostics.top_failed_models(diagnostics.model_performance(b.chunk_facts(spark, d))).select("model", "fail")
+
+
+@query(f"""WITH {_WINDOWS} SELECT w.file_id, w.window_start, w.num_entries, string_agg('[' || CAST(l.idx - w.window_start + 1 AS VARCHAR) || '] a → b: ' || l.text, chr(10) ORDER BY l.idx) AS prompt
+FROM windows w JOIN lines l ON l.file_id = w.file_id AND l.idx >= w.window_start AND l.idx < w.window_start + w.num_entries GROUP BY w.file_id, w.window_start, w.num_entries""")
+def window_prompts(spark, d):
+    entries = b.lines(spark, d).select("file_id", "idx", F.lit("a").alias("start_time"), F.lit("b").alias("end_time"), "text")
+    return quality.window_prompt(quality.quality_windows(b.sizes(spark, d)), entries)
+
+
+@query(f"""WITH {_WINDOWS}, g(group_label, model) AS (VALUES ('g1', 'm1'), ('g1', 'm2'), ('g2', 'm1')) SELECT file_id, group_label, model, count(*) AS calls FROM windows, g GROUP BY file_id, group_label, model""")
+def review_grid(spark, d):
+    groups = spark.sql("SELECT * FROM VALUES ('g1', 'm1'), ('g1', 'm2'), ('g2', 'm1') AS g(group_label, model)")
+    return quality.review_grid(quality.quality_windows(b.sizes(spark, d)), groups).groupBy("file_id", "group_label", "model").agg(F.count("*").alias("calls"))
+
+
+@query(f"""WITH {b.CHUNKS}, r AS (SELECT file_id, chunk_id, retry_count, chunk_id % 2 = 0 AS ok FROM chunks WHERE status = 'failed' AND retry_count < 3)
+SELECT file_id, chunk_id, CASE WHEN ok THEN 'done' ELSE 'failed_permanent' END AS new_status, retry_count + CASE WHEN ok THEN 1 ELSE 2 END AS new_retry_count, bool_and(NOT ok) OVER (PARTITION BY file_id) AS file_failed FROM r""")
+def chunk_retry_outcome(spark, d):
+    tried = status.retry_candidates(b.chunk_facts(spark, d)).select("file_id", "chunk_id", "retry_count", (F.col("chunk_id") % 2 == 0).alias("succeeded"), F.lit(2).alias("attempts"))
+    return status.chunk_retry_outcome(tried).select("file_id", "chunk_id", "new_status", "new_retry_count", "file_failed")
+
+
+@query("""WITH r AS (SELECT doc_id FROM labels WHERE quality = 1) SELECT CAST(doc_id AS VARCHAR) || '_0' AS chunk_id, 'id_' || CAST(doc_id AS VARCHAR) AS file_name, 'summary' AS boundary_type, 8 AS dim, 0.0::DOUBLE AS total FROM r""")
+def bypass_records(spark, d):
+    rows = b.table(spark, d, "labels").where("quality = 1")
+    results = rows.select(F.col("doc_id").alias("file_id"), F.concat_ws("_", F.col("doc_id").cast("string"), F.lit("0")).alias("chunk_id"), F.lit(0).alias("position"), F.lit("done").alias("status"), *[F.lit(None).cast("string").alias(c) for c in ("start_time", "end_time", "summary", "text_content", "boundary_type")], F.lit(None).cast("array<string>").alias("tags"))
+    made = summaries.bypass_records(results, rows.select(F.col("doc_id").alias("file_id"), F.lit(None).cast("string").alias("title")), 8)
+    return made.select("chunk_id", "file_name", "boundary_type", F.size("vector").alias("dim"), F.aggregate("vector", F.lit(0.0), lambda s, x: s + x).alias("total"))
+
+
+@query("""SELECT count(*) AS records, CAST(sum(length(text)) AS BIGINT) AS total_chars, 8.0::DOUBLE AS elapsed_sec, round_even(sum(length(text)) / 8.0::DOUBLE, 1) AS chars_per_sec FROM documents""")
+def run_summary(spark, d):
+    return diagnostics.run_summary(b.table(spark, d, "documents").select(F.col("text").alias("summary")), 8.0)
+
+
+@query("""WITH s AS (SELECT DISTINCT regexp_replace(url, '^https?://', '') AS path FROM pages), k AS (SELECT path, row_number() OVER (ORDER BY path) - 1 AS id FROM s)
+SELECT id, regexp_extract(path, '[^/]*$') AS filename_srt FROM k""")
+def manifest_ids(spark, d):
+    from captionlake.sources.manifest import build_manifest
+
+    paths = b.table(spark, d, "pages").select(F.regexp_replace("url", "^https?://", "").alias("path")).distinct()
+    return build_manifest(paths).select("id", "filename_srt")

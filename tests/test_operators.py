@@ -43,6 +43,8 @@ def test_flags_and_consensus(spark):
     assert rolled == {("g", 0): (1, 1, "problem"), ("g", 5): (1, 0, "questionable"), ("h", 5): (1, 0, "questionable")}
     found = {(r.file_id, r.idx): (r.consensus, r["class"]) for r in quality.consensus(placed, quality.line_coverage(windows, sizes), 2).collect()}
     assert found[1, 0] == (0.5, "questionable") and found[1, 5] == (0.5, "questionable") and found[1, 1] == (0.0, "clean") and found[2, 0] == (0.0, "clean")
+    sized = quality.absolute_flags(quality.merge_votes(flags.withColumn("num_entries", F.lit(12))))
+    assert sized.count() == 4 and sized.where("idx = 10").count() == 1
     entries = spark.createDataFrame([(1, 0, "a"), (1, 5, "b")], "file_id bigint, idx int, text string")
     listing = {r.idx: (r.g, r.h) for r in quality.consensus_listing(placed, entries, ["g", "h"]).collect()}
     assert listing == {0: ("major:b", "(未標記)"), 5: ("minor:e", "minor:f")}
