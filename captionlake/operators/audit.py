@@ -14,6 +14,42 @@ from captionlake.schemas import ACTIVE, CHUNK_STATES, FAILED, STATES, TERMINAL
 
 REQUIRED = ["file_id", "status", "last_updated", "retry_count", "chunks"]
 
+#: The messages of issues.
+MESSAGES = {
+    "A1": "Missing required fields: %s",
+    "A2 unknown": "Unknown file status: '%s'",
+    "A2 empty": "Empty file status",
+    "A3 missing": "Missing last_updated",
+    "A3 invalid": "Invalid timestamp: %s",
+    "A4 id": "chunks[%s] missing chunk_id",
+    "A4 status": "chunks[%s] unknown status: '%s'",
+    "B1": "Cannot compute last_updated age",
+    "B2 stuck": "Stuck in '%s' for %ss",
+    "B2 near": "Near-stuck in '%s' for %ss",
+    "B3": "Non-terminal status '%s' untouched for %ss",
+    "B4 summary": "Done but diagnostics.summary missing",
+    "B4 block": "Done but missing diagnostics block",
+    "C1": "chunks[%s] failed but has no error detail",
+    "C2": "chunks[%s] failed but model_used is empty",
+    "C3": "chunks[%s] failed but retry_count is 0",
+    "C4": "File failed_permanent but error_log is empty",
+    "C5": "Model '%s' diagnostics mismatch: diag(%s/%s) != actual(%s/%s)",
+    "D1": "total_chunks=%s != len(chunks)=%s",
+    "D2": "Duplicate chunk_id=%s",
+    "D3 file": "File retry_count=%s exceeds max %s",
+    "D3 chunk": "chunks[%s] retry_count=%s exceeds max %s",
+    "D4": "Status counts sum to %s of %s",
+    "E1": "Overall failure rate is %s%% (%s/%s)",
+    "E2": "Model '%s' success rate is %s%% (%s/%s)",
+    "F0": "Master manifest not found, skipping cross-file check",
+    "F1": "file_id %s not found in master_file_manifest",
+    "F2": "Files in manifest but not in this batch: [%s]...",
+}
+
+
+def _say(key: str, *values: Column | str) -> Column:
+    return F.format_string(MESSAGES[key], *[(v if isinstance(v, Column) else F.lit(v)).cast("string") for v in values])
+
 
 def _issue(rows: DataFrame, when: Column, severity: str | Column, check: str, msg: Column) -> DataFrame:
     severity = F.lit(severity) if isinstance(severity, str) else severity
@@ -28,50 +64,50 @@ def audit_issues(files: DataFrame, as_of: Column, manifest: DataFrame | None = N
     has_error), has_error_log, has_diagnostics, has_summary, models (map of success/fail counts).
     ``manifest``: file_id; without it dimension F says only that it was skipped.
     """
-    text = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
     files = files.withColumn("age", age_seconds(utc_timestamp(F.col("last_updated")), as_of))
-    status, age = F.col("status"), F.col("age")
-    blank = F.coalesce(status, F.lit("")) == ""
+    status, age, limit = F.col("status"), F.col("age"), str(params.max_retries)
+    blank, whole_age = F.coalesce(status, F.lit("")) == "", F.bround(age, 0).cast("bigint")
+    total, n_chunks = F.coalesce("total_chunks", F.lit(0)), F.size("chunks")
+    no_time = F.when(F.coalesce("last_updated", F.lit("")) == "", _say("A3 missing")).otherwise(_say("A3 invalid", F.col("last_updated")))
+    stuck = age > params.stuck_sec
     out = [
-        _issue(files, F.size("missing") > 0, "ERROR", "A1", text("Missing required fields: ", F.array_join(F.array_sort("missing"), ", "))),
-        _issue(files, ~blank & ~status.isin(STATES), "ERROR", "A2", text("Unknown file status: '", status, "'")),
-        _issue(files, blank, "WARN", "A2", F.lit("Empty file status")),
-        _issue(files, age.isNull(), "WARN", "A3", F.when(F.coalesce("last_updated", F.lit("")) == "", "Missing last_updated").otherwise(text("Invalid timestamp: ", F.col("last_updated")))),
-        _issue(files, age.isNull(), "WARN", "B1", F.lit("Cannot compute last_updated age")),
-        _issue(files, status.isin(ACTIVE) & (age > params.warn_sec), F.when(age > params.stuck_sec, "ERROR").otherwise("WARN"), "B2", text(F.when(age > params.stuck_sec, "Stuck in '").otherwise("Near-stuck in '"), status, "' for ", F.bround(age, 0).cast("bigint").cast("string"), "s")),
-        _issue(files, ~status.isin(TERMINAL) & (age > params.stale_sec), "WARN", "B3", text("Non-terminal status '", status, "' untouched for ", F.bround(age, 0).cast("bigint").cast("string"), "s")),
-        _issue(files, (status == "done") & age.isNotNull() & ~F.col("has_summary"), "WARN", "B4", F.when(F.col("has_diagnostics"), "Done but diagnostics.summary missing").otherwise("Done but missing diagnostics block")),
-        _issue(files, status.isin(FAILED) & ~F.col("has_error_log"), "WARN", "C4", F.lit("File failed_permanent but error_log is empty")),
-        _issue(files, F.coalesce("total_chunks", F.lit(0)) != F.size("chunks"), "ERROR", "D1", text("total_chunks=", F.coalesce("total_chunks", F.lit(0)).cast("string"), " != len(chunks)=", F.size("chunks").cast("string"))),
-        _issue(files, F.col("retry_count") > params.max_retries, "WARN", "D3", text("File retry_count=", F.col("retry_count").cast("string"), " exceeds max ", str(params.max_retries))),
+        _issue(files, F.size("missing") > 0, "ERROR", "A1", _say("A1", F.array_join(F.array_sort("missing"), ", "))),
+        _issue(files, ~blank & ~status.isin(STATES), "ERROR", "A2", _say("A2 unknown", status)),
+        _issue(files, blank, "WARN", "A2", _say("A2 empty")),
+        _issue(files, age.isNull(), "WARN", "A3", no_time),
+        _issue(files, age.isNull(), "WARN", "B1", _say("B1")),
+        _issue(files, status.isin(ACTIVE) & (age > params.warn_sec), F.when(stuck, "ERROR").otherwise("WARN"), "B2", F.when(stuck, _say("B2 stuck", status, whole_age)).otherwise(_say("B2 near", status, whole_age))),
+        _issue(files, ~status.isin(TERMINAL) & (age > params.stale_sec), "WARN", "B3", _say("B3", status, whole_age)),
+        _issue(files, (status == "done") & age.isNotNull() & ~F.col("has_summary"), "WARN", "B4", F.when(F.col("has_diagnostics"), _say("B4 summary")).otherwise(_say("B4 block"))),
+        _issue(files, status.isin(FAILED) & ~F.col("has_error_log"), "WARN", "C4", _say("C4")),
+        _issue(files, total != n_chunks, "ERROR", "D1", _say("D1", total, n_chunks)),
+        _issue(files, F.col("retry_count") > params.max_retries, "WARN", "D3", _say("D3 file", F.col("retry_count"), limit)),
     ]
     chunks = files.select("batch", "file_id", F.posexplode("chunks").alias("ci", "c")).select("batch", "file_id", "ci", "c.*")
-    at = text("chunks[", F.col("ci").cast("string"), "]")
-    failed = status.isin(FAILED)
+    ci, failed = F.col("ci"), status.isin(FAILED)
     nth = F.row_number().over(Window.partitionBy("batch", "file_id", "chunk_id").orderBy("ci"))
     out += [
-        _issue(chunks, F.col("chunk_id").isNull(), "WARN", "A4", text(at, " missing chunk_id")),
-        _issue(chunks, (F.coalesce(status, F.lit("")) != "") & ~status.isin(CHUNK_STATES), "WARN", "A4", text(at, " unknown status: '", status, "'")),
-        _issue(chunks, failed & ~F.col("has_error"), "WARN", "C1", text(at, " failed but has no error detail")),
-        _issue(chunks, failed & (F.coalesce("model_used", F.lit("")) == ""), "WARN", "C2", text(at, " failed but model_used is empty")),
-        _issue(chunks, failed & (F.coalesce("retry_count", F.lit(0)) == 0), "WARN", "C3", text(at, " failed but retry_count is 0")),
-        _issue(chunks.where("chunk_id IS NOT NULL").withColumn("nth", nth), F.col("nth") > 1, "ERROR", "D2", text("Duplicate chunk_id=", F.col("chunk_id"))),
-        _issue(chunks, F.col("retry_count") > params.max_retries, "WARN", "D3", text(at, " retry_count=", F.col("retry_count").cast("string"), " exceeds max ", str(params.max_retries))),
+        _issue(chunks, F.col("chunk_id").isNull(), "WARN", "A4", _say("A4 id", ci)),
+        _issue(chunks, (F.coalesce(status, F.lit("")) != "") & ~status.isin(CHUNK_STATES), "WARN", "A4", _say("A4 status", ci, status)),
+        _issue(chunks, failed & ~F.col("has_error"), "WARN", "C1", _say("C1", ci)),
+        _issue(chunks, failed & (F.coalesce("model_used", F.lit("")) == ""), "WARN", "C2", _say("C2", ci)),
+        _issue(chunks, failed & (F.coalesce("retry_count", F.lit(0)) == 0), "WARN", "C3", _say("C3", ci)),
+        _issue(chunks.where("chunk_id IS NOT NULL").withColumn("nth", nth), F.col("nth") > 1, "ERROR", "D2", _say("D2", F.col("chunk_id"))),
+        _issue(chunks, F.col("retry_count") > params.max_retries, "WARN", "D3", _say("D3 chunk", ci, F.col("retry_count"), limit)),
     ]
     sums = chunks.groupBy("batch", "file_id").agg(F.count("*").alias("n"), F.count_if((status == "done") | failed | status.isin("pending", "undone")).alias("known"))
-    out.append(_issue(sums, F.col("known") != F.col("n"), "WARN", "D4", text("Status counts sum to ", F.col("known").cast("string"), " of ", F.col("n").cast("string"))))
+    out.append(_issue(sums, F.col("known") != F.col("n"), "WARN", "D4", _say("D4", F.col("known"), F.col("n"))))
     actual = chunks.groupBy("batch", "file_id", F.coalesce("model_used", F.lit("?")).alias("m")).agg(F.count_if(status == "done").alias("ok"), F.count_if(failed).alias("bad")).where("ok + bad > 0")
     told = actual.join(files.where("has_summary").select("batch", "file_id", "models"), ["batch", "file_id"])
-    said = F.try_element_at("models", F.col("m"))
-    zero = F.lit(0).cast("bigint")
+    said, zero = F.try_element_at("models", F.col("m")), F.lit(0).cast("bigint")
     ok, bad = F.coalesce(said["success"], zero), F.coalesce(said["fail"], zero)
-    out.append(_issue(told, (ok != F.col("ok")) | (bad != F.col("bad")), "WARN", "C5", text("Model '", F.col("m"), "' diagnostics mismatch: diag(", ok.cast("string"), "/", bad.cast("string"), ") != actual(", F.col("ok").cast("string"), "/", F.col("bad").cast("string"), ")")))
+    out.append(_issue(told, (ok != F.col("ok")) | (bad != F.col("bad")), "WARN", "C5", _say("C5", F.col("m"), ok, bad, F.col("ok"), F.col("bad"))))
     out += _model_issues(chunks, params)
     if manifest is None:
-        out.append(files.groupBy("batch").agg(F.lit(None).cast(files.schema["file_id"].dataType).alias("file_id"), F.lit("INFO").alias("severity"), F.lit("F0").alias("check"), F.lit("Master manifest not found, skipping cross-file check").alias("msg")))
+        out.append(files.groupBy("batch").agg(F.lit(None).cast(files.schema["file_id"].dataType).alias("file_id"), F.lit("INFO").alias("severity"), F.lit("F0").alias("check"), _say("F0").alias("msg")))
     else:
         known = manifest.select("file_id").distinct()
-        out.append(_issue(files.join(known, "file_id", "left_anti"), F.col("file_id").isNotNull(), "ERROR", "F1", text("file_id ", F.col("file_id").cast("string"), " not found in master_file_manifest")))
+        out.append(_issue(files.join(known, "file_id", "left_anti"), F.col("file_id").isNotNull(), "ERROR", "F1", _say("F1", F.col("file_id"))))
         out.append(_missing_from_batch(files, known))
     return reduce(DataFrame.unionByName, out)
 
@@ -82,9 +118,9 @@ def _model_issues(chunks: DataFrame, params: AuditParams) -> list[DataFrame]:
     overall = by_model.groupBy("batch").agg(F.sum("ok").alias("ok"), F.sum("bad").alias("bad"), F.max("file_id").alias("file_id"))
     total = F.col("ok") + F.col("bad")
     pct = lambda n: F.bround(100 * n / F.greatest(total, F.lit(1)), 1).cast("string")
-    e1 = _issue(overall, F.col("bad") > params.max_failure_rate * total, "WARN", "E1", F.concat(F.lit("Overall failure rate is "), pct(F.col("bad")), F.lit("% ("), F.col("bad").cast("string"), F.lit("/"), total.cast("string"), F.lit(")")))
+    e1 = _issue(overall, F.col("bad") > params.max_failure_rate * total, "WARN", "E1", _say("E1", pct(F.col("bad")), F.col("bad"), total))
     low = (total >= params.min_model_total) & (F.col("ok") < params.min_model_success * total)
-    e2 = _issue(by_model, low, "ERROR", "E2", F.concat(F.lit("Model '"), F.col("m"), F.lit("' success rate is "), pct(F.col("ok")), F.lit("% ("), F.col("ok").cast("string"), F.lit("/"), total.cast("string"), F.lit(")")))
+    e2 = _issue(by_model, low, "ERROR", "E2", _say("E2", F.col("m"), pct(F.col("ok")), F.col("ok"), total))
     return [e1, e2]
 
 
@@ -94,7 +130,7 @@ def _missing_from_batch(files: DataFrame, known: DataFrame) -> DataFrame:
     lacking = known.join(F.broadcast(batches)).join(files.select("batch", "file_id"), ["batch", "file_id"], "left_anti")
     place = F.row_number().over(Window.partitionBy("batch").orderBy("file_id"))
     first = lacking.withColumn("place", place).where("place <= 10").groupBy("batch").agg(F.array_join(F.array_sort(F.collect_list("file_id")).cast("array<string>"), ", ").alias("ids"))
-    msg = F.concat(F.lit("Files in manifest but not in this batch: ["), F.col("ids"), F.lit("]..."))
+    msg = _say("F2", F.col("ids"))
     return first.select("batch", F.lit(None).cast(files.schema["file_id"].dataType).alias("file_id"), F.lit("INFO").alias("severity"), F.lit("F2").alias("check"), msg.alias("msg"))
 
 

@@ -14,7 +14,10 @@ from captionlake.config import ChunkParams
 from captionlake.functions.text import chunk_id
 from captionlake.functions.vectors import cosine, strength
 
+#: Labels of a file's ends, and reasons for dropping a segment.
 FILE_START, FILE_END = "檔案起點", "檔案終點"
+TOO_SHORT = "noise_too_short (<= {} lines)"
+WEAK_LINKS = "noise_weak_links (both ends below strong threshold)"
 
 
 def joined_text(idx: Column, text: Column, separator: str = " ") -> Column:
@@ -100,8 +103,8 @@ def annotate_segments(segments: DataFrame, ranked: DataFrame) -> DataFrame:
 def noise_filter(segments: DataFrame, params: ChunkParams) -> DataFrame:
     """Adds ``dropped`` and ``drop_reason`` (P02-P04). A file's ends count as strength 0."""
     weak = lambda side: F.coalesce(F.col(f"{side}_boundary.strength"), F.lit(0.0)) >= F.col("threshold")
-    reason = F.when(F.col("entry_count") <= params.noise_drop_len, f"noise_too_short (<= {params.noise_drop_len} lines)").when(
-        (F.col("entry_count") == params.noise_weak_len) & weak("left") & weak("right"), "noise_weak_links (both ends below strong threshold)"
+    reason = F.when(F.col("entry_count") <= params.noise_drop_len, TOO_SHORT.format(params.noise_drop_len)).when(
+        (F.col("entry_count") == params.noise_weak_len) & weak("left") & weak("right"), WEAK_LINKS
     )
     return segments.withColumn("drop_reason", reason).withColumn("dropped", reason.isNotNull())
 

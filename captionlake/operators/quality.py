@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from captionlake.config import QualityParams
 
+#: Fixed value: what stands where a group flagged nothing.
+UNFLAGGED = "(未標記)"
+
 
 def quality_windows(sizes: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
     """(file_id, window_start, num_entries) from (file_id, n): strided windows while at least half full, then head and tail windows."""
@@ -87,5 +90,5 @@ def window_prompt(windows: DataFrame, entries: DataFrame) -> DataFrame:
 def consensus_listing(flags: DataFrame, entries: DataFrame, groups: list[str]) -> DataFrame:
     """Per line the issues of each group, with a placeholder where a group said nothing."""
     said = flags.groupBy("file_id", "idx").pivot("group_label", groups).agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "severity", "issue"))), "; "))
-    said = said.select("file_id", "idx", *[F.coalesce(F.nullif(F.col(f"`{g}`"), F.lit("")), F.lit("(未標記)")).alias(g) for g in groups])
+    said = said.select("file_id", "idx", *[F.coalesce(F.nullif(F.col(f"`{g}`"), F.lit("")), F.lit(UNFLAGGED)).alias(g) for g in groups])
     return entries.join(said, ["file_id", "idx"])
