@@ -162,9 +162,18 @@ def _split(keys: np.ndarray, buckets: int) -> list[np.ndarray]:
 
 
 def count_training(train: DataFrame, buckets: int) -> DataFrame:
-    """Counts of words and, in bucket ``buckets``, of byte triples: one row per bucket with sorted ``keys`` and ``counts`` as bytes."""
+    """Counts of words and, in buckets from ``buckets`` on, of byte triples: one row per bucket with sorted ``keys`` and ``counts`` as bytes.
+
+    Triples are summed over a whole task before they are sent, and like words they are split among
+    the buckets, so what a bucket merges does not grow with the number of units.
+    """
+
+    def sent(keys: np.ndarray, counts: np.ndarray, first: int) -> pa.RecordBatch:
+        rows = [(first + i, keys[at].tobytes(), counts[at].astype("<u4").tobytes()) for i, at in enumerate(_split(keys, buckets)) if len(at)]
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2))], names=["bucket", "keys", "counts"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(1 << 24, np.int64)  # by triple; pages that are never touched take no memory
         for batch in batches:
             for a, b, data, offsets in _units(batch.column(0)):
                 data = np.frombuffer(data.tobytes().translate(LOWER_BYTES), np.uint8)
@@ -172,8 +181,10 @@ def count_training(train: DataFrame, buckets: int) -> DataFrame:
                 keys, counts = np.unique(np.append(words.hashes, END_TOKEN), return_counts=True)
                 counts[np.searchsorted(keys, END_TOKEN)] += b - a - 1
                 codes, n = np.unique(triples(data, offsets)[0], return_counts=True)
-                rows = [(i, keys[at], counts[at]) for i, at in enumerate(_split(keys, buckets)) if len(at)] + [(buckets, codes.astype(np.uint64), n)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1].tobytes() for r in rows], pa.binary()), pa.array([r[2].astype("<u4").tobytes() for r in rows], pa.binary())], names=["bucket", "keys", "counts"])
+                seen[codes] += n
+                yield sent(keys, counts, 0)
+        codes = np.flatnonzero(seen)
+        yield sent(codes.astype(np.uint64), seen[codes], buckets)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[list, list]] = {}
@@ -238,8 +249,9 @@ def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", t
     summed = counts.where(F.col("bucket") < buckets).select("counts").mapInArrow(totals, "n bigint, v bigint").agg(F.sum("n"), F.sum("v")).first()
     total, distinct = summed[0] or 0, summed[1] or 0
     head = _head(counts, buckets, max(-(-total // HEAD_WORDS), 1))
-    found = counts.where(F.col("bucket") == buckets).first()  # byte triples: at most 2 ** 24 of them
-    tree = ContextTree.of(*((np.frombuffer(found["keys"], np.uint64).astype(np.int64), np.frombuffer(found["counts"], "<i8")) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))))
+    found = counts.where(F.col("bucket") >= buckets).collect()  # byte triples: at most 2 ** 24 of them
+    codes, n = merge_counts([np.frombuffer(r["keys"], np.uint64) for r in found], [np.frombuffer(r["counts"], "<i8") for r in found])
+    tree = ContextTree.of(codes.astype(np.int64), n)
     shared = spark.sparkContext.broadcast((head, tree))
     id_type = docs.schema[id_col].dataType.simpleString()
 
