@@ -18,8 +18,8 @@ import pyarrow as pa
 
 from captionlake.llm.textkit import Words, blocks_of
 
-#: Words that the table may hold, about 30 bytes each; beyond that it starts anew with those of the present unit.
-KNOWN_WORDS = 1_500_000
+#: Words that the table may hold, about 35 bytes each; beyond that the half that was used longest ago goes.
+KNOWN_WORDS = 2_000_000
 #: Longer words (in bytes) are not looked up by hash.
 LONGEST_WORD = 256
 _BETWEEN = np.ones(256, bool)
@@ -40,11 +40,16 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._line_end = self.whole("\n")
         self._keeps_space = len(self._line_end) > 0
-        self._forget()
+        self._keys, self._at, self._size, self._last = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self._store, self._used, self._now = np.zeros(1 << 16, np.uint32), 0, 0
 
     def _forget(self) -> None:
-        self._keys, self._at, self._size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self._store, self._used = np.zeros(1 << 16, np.uint32), 0
+        """Keep the words that were used last, at most half."""
+        kept = np.flatnonzero(self._last > np.partition(self._last, len(self._last) // 2)[len(self._last) // 2])
+        size = np.maximum(self._size[kept], 0).astype(np.int64)
+        begin = np.cumsum(size) - size
+        self._store = self._store[np.repeat(self._at[kept] - begin, size) + np.arange(int(size.sum()))]
+        self._keys, self._at, self._size, self._last, self._used = self._keys[kept], begin, self._size[kept], self._last[kept], int(size.sum())
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -63,12 +68,13 @@ class WordEncoder:
                 sizes[i] = len(ids)
         new = np.frombuffer(new, np.uint32)
         if self._used + len(new) > len(self._store):
-            self._store = np.concatenate([self._store[: self._used], np.zeros(max(len(new), len(self._store) // 2), np.uint32)])
+            self._store = np.concatenate([self._store[: self._used], np.zeros(max(len(new), len(self._store) // 4), np.uint32)])
         self._store[self._used : self._used + len(new)] = new
         at = self._used + np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0)
         self._used += len(new)
         where = np.searchsorted(self._keys, keys)
         self._keys, self._at, self._size = np.insert(self._keys, where, keys), np.insert(self._at, where, at), np.insert(self._size, where, sizes)
+        self._last = np.insert(self._last, where, self._now)
 
     def _unit(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a run of texts, and how many each text has."""
@@ -85,8 +91,9 @@ class WordEncoder:
         if self._keeps_space:
             keys = np.where(first, keys, keys ^ np.where(after_line, _AFTER_LINE, _AFTER_SPACE))
         distinct, example, which = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self._keys) + len(distinct) > KNOWN_WORDS:
+        if len(self._keys) and len(self._keys) + len(distinct) > KNOWN_WORDS:
             self._forget()
+        self._now += 1
         at = np.searchsorted(self._keys, distinct)
         known = self._keys[np.minimum(at, len(self._keys) - 1)] == distinct if len(self._keys) else np.zeros(len(distinct), bool)
         if not known.all():
@@ -97,6 +104,7 @@ class WordEncoder:
                 told.append((before, data[words.starts[i] : words.ends[i]].tobytes().decode() if words.ends[i] - words.starts[i] <= LONGEST_WORD else ""))
             self._learn(distinct[new], told)
             at = np.searchsorted(self._keys, distinct)
+        self._last[at] = self._now
         size, place = self._size[at][which], self._at[at][which]
         simple[words.texts[size == _WHOLE]] = False
         size = np.where(simple[words.texts], size, 0).astype(np.int64)
