@@ -3,9 +3,14 @@
 A byte is eight binary decisions down a tree; each decision has a context tree over the bytes before
 it, from no context to ``DEPTH`` bytes. Every node holds a Krichevsky-Trofimov estimate, and nodes are
 mixed over all depths with the weights that the training counts give them (half the node's own
-estimate, half the product of its children, from the leaves up). Since decisions depend on at most
-``DEPTH`` bytes, training needs only counts of byte triples, and the model is a table of code lengths
-by context and byte. Texts end with byte 255, which UTF-8 never uses; it also stands before the first.
+estimate, half the product of its children, from the leaves up). Texts end with byte 255, which UTF-8
+never uses; it also stands before the first.
+
+Contexts are numbers with the nearest byte first, so a subtree is a run of sorted numbers. All contexts
+of the training documents are counted, none is dropped; they are dealt into hash buckets by their nearest
+``DEALT`` bytes, so each bucket weights its subtrees alone and only sums for contexts of one byte reach
+the driver. A unit of documents asks the buckets for its distinct contexts and bytes, and their answers
+meet the unit's text again.
 
 Word counts are summed over all training documents in hash buckets. Words that fill a fixed share of
 the corpus are few, so their counts are broadcast; the others meet the documents in their buckets,
@@ -24,15 +29,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from captionlake.llm.common import discard, materialize
-from captionlake.llm.textkit import LOWER_BYTES, SPACED, Words, blocks_of
+from captionlake.llm.textkit import LOWER_BYTES, SPACED, Words, blocks_of, mix
 
-DEPTH = 2
+#: Bytes of the longest context; with the byte itself at most eight.
+DEPTH = 5
+#: Contexts that agree in so many nearest bytes are in one bucket.
+DEALT = 2
 END = 255
 #: Bytes of text in a unit of documents, and documents in it at most.
 UNIT_BYTES, UNIT_DOCS = 4 << 20, 1 << 16
 #: A word is broadcast if it makes up one in this many training tokens, so no more than this many words are.
 HEAD_WORDS = 100_000
 END_TOKEN = np.uint64(0)
+#: Distinct contexts that a task counts before it sends them.
+HELD_CONTEXTS = 1 << 22
 
 
 def merge_counts(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -46,19 +56,26 @@ def merge_counts(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.n
     return all_keys[first], np.add.reduceat(all_counts[order], first) if len(first) else all_counts
 
 
-def triples(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For every byte of every text and its end: two bytes of context and itself as one number, text by text; and each text's first place."""
-    n = len(offsets) - 1
-    starts = offsets[:-1] + 3 * np.arange(n)
-    stream = np.full(len(data) + 3 * n, END, np.uint32)
-    stream[np.arange(len(data)) + np.repeat(3 * np.arange(n) + 2, np.diff(offsets))] = data  # two ends before, one after each text
-    codes = (stream[:-2] << 16) | (stream[1:-1] << 8) | stream[2:] if len(stream) else stream
+def contexts(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every byte of every text and its end: ``depth`` bytes of context, the nearest first, and itself as one number, text by text; and each text's first place."""
+    n, pad = len(offsets) - 1, depth + 1
+    stream = np.full(len(data) + pad * n, END, np.uint8)
+    stream[np.arange(len(data)) + np.repeat(pad * np.arange(n) + depth, np.diff(offsets))] = data  # ends before, one after each text
+    codes = np.zeros(max(len(stream) - depth, 0), np.uint64)
+    for back in [*range(1, depth + 1), 0]:
+        codes <<= np.uint64(8)
+        codes |= stream[depth - back : len(stream) - back]
     keep = np.ones(len(codes), bool)
-    inner = starts[1:]
-    keep[inner - 1] = keep[inner - 2] = False  # triples across two texts
+    inner = (offsets[:-1] + pad * np.arange(n))[1:]
+    for j in range(1, depth + 1):
+        keep[inner - j] = False  # contexts across two texts
     return codes[keep], offsets[:-1] + np.arange(n)
 
 
+def triples(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return contexts(data, offsets, 2)
+
+
 def _log_gamma(x: np.ndarray) -> np.ndarray:
     """log of the gamma function for x > 0, by Stirling's series after a shift of eight."""
     shift = np.zeros_like(x)
@@ -68,84 +85,104 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - shift
 
 
-def _tree(leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of zeros and ones at the nodes 1 to 255 of the binary tree, from counts by byte; one row for each context."""
-    sums = np.zeros((len(leaves), 512))
-    sums[:, 256:] = leaves
-    for j in range(255, 0, -1):
-        sums[:, j] = sums[:, 2 * j] + sums[:, 2 * j + 1]
-    nodes = np.arange(256)
-    zeros, ones = sums[:, 2 * nodes], sums[:, np.minimum(2 * nodes + 1, 511)]
-    zeros[:, 0] = ones[:, 0] = 0
-    return zeros, ones
+def _shorter(codes: np.ndarray) -> np.ndarray:
+    """Contexts without their farthest byte; the last byte (a byte or a node of its tree) stays."""
+    return ((codes >> 16) << 8) | (codes & 255)
 
 
-@dataclass
-class ContextTree:
-    """log10 of the probability of a byte by context: ``table[row[context]]``."""
+Level = list[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
-    row: np.ndarray
-    table: np.ndarray
 
-    @classmethod
-    def of(cls, codes: np.ndarray, counts: np.ndarray) -> ContextTree:
-        """The model of counts by triple (sorted codes); without counts every decision has probability one half."""
-        levels = []  # contexts of 2, 1 and 0 bytes: ids, and counts by byte
-        byte = (codes & 255).astype(np.int64)
-        for depth in range(DEPTH, -1, -1):
-            ids, at = np.unique((codes >> 8).astype(np.int64) & ((1 << 8 * depth) - 1), return_inverse=True)
-            leaves = np.zeros((len(ids), 256))
-            np.add.at(leaves, (at, byte), counts)
-            levels.append((ids, leaves))
-        below, share, estimates = None, [], []
-        for depth, (ids, leaves) in zip(range(DEPTH, -1, -1), levels):
-            zeros, ones = _tree(leaves)
-            own = _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1) - math.log(math.pi)
+def weigh(codes: np.ndarray, counts: np.ndarray, depth: int, least: int, below: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[dict[int, Level], tuple[np.ndarray, np.ndarray]]:
+    """Trees of sorted contexts of ``depth`` bytes and their bytes, up to contexts of ``least`` bytes.
+
+    By depth and bit: sorted nodes (context and place in the byte's tree), the estimates of a one, and
+    the share of the own estimate in the mixture. Also the nodes one byte shorter than ``least`` and the
+    sums of the logs of their children, which is what ``below`` passes to the tree above.
+    """
+    levels: dict[int, Level] = {}
+    for d in range(depth, least - 1, -1):
+        if d < depth:
+            codes, counts = merge_counts([_shorter(codes)], [counts])
+        levels[d], above = [], []
+        byte = codes & 255
+        for bit in range(8):
+            node = (codes - byte) | (byte >> (8 - bit)) | (1 << bit)  # in order, as bytes are
+            first = np.flatnonzero(np.append(True, node[1:] != node[:-1])) if len(node) else np.zeros(0, np.int64)
+            up = counts * ((byte >> (7 - bit)) & 1).astype(np.int64)
+            ones, both = (np.add.reduceat(x, first).astype(float) if len(first) else np.zeros(0) for x in (up, counts))
+            keys = node[first]
+            own = _log_gamma(both - ones + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(both + 1) - math.log(math.pi)
             if below is None:
-                weighted = own
-                share.append(np.ones_like(own))
+                weighted, share = own, np.ones(len(own))
             else:
-                kids = np.zeros_like(own)
-                np.add.at(kids, np.searchsorted(ids, below[0] & ((1 << 8 * depth) - 1)), below[1])
+                mine = (below[0] & 255) >> bit == 1
+                kids = np.bincount(np.searchsorted(keys, below[0][mine]), below[1][mine], len(keys))
                 weighted = math.log(0.5) + np.logaddexp(own, kids)
-                share.append(np.exp(math.log(0.5) + own - weighted))
-            estimates.append((ones + 0.5) / (zeros + ones + 1))
-            below = (ids, weighted)
-        # from no context to the longest: what a node's own estimate and its child's mixture make
-        blank = np.full(256, 0.5)
-
-        def mixture(contexts: np.ndarray) -> np.ndarray:
-            p = np.tile(blank, (len(contexts), 1))
-            for (ids, _), w, own, depth in zip(levels, share, estimates, range(DEPTH, -1, -1)):
-                part = contexts & ((1 << 8 * depth) - 1)
-                at = np.minimum(np.searchsorted(ids, part), max(len(ids) - 1, 0))
-                seen = ids[at] == part if len(ids) else np.zeros(len(part), bool)
-                p[seen] = w[at[seen]] * own[at[seen]] + (1 - w[at[seen]]) * p[seen]
-                p[~seen] = blank
-            return p
-
-        # rows: contexts seen, then one for each last byte, for contexts not seen
-        seen = levels[0][0]
-        unseen = np.setdiff1d(np.arange(65_536), seen, assume_unique=True)
-        rest = np.full(256, -1)
-        rest[unseen & 255] = unseen  # all contexts not seen that end alike are alike
-        stand_ins = np.where(rest >= 0, rest, 0)
-        ones = mixture(np.concatenate([seen, stand_ins]))
-        table = np.zeros((len(ones), 256))
-        values = np.arange(256)
+                share = np.exp(math.log(0.5) + own - weighted)
+            levels[d].append((keys, (ones + 0.5) / (both + 1), share))
+            above.append((_shorter(keys), weighted))
+        parents, at = np.unique(np.concatenate([x[0] for x in above]), return_inverse=True)
+        below = parents, np.bincount(at, np.concatenate([x[1] for x in above]), len(parents))
+    return levels, below
+
+
+@dataclass
+class ContextTree:
+    """Probabilities of bytes after contexts of up to ``depth`` bytes."""
+
+    levels: dict[int, Level]
+    depth: int
+
+    @classmethod
+    def of(cls, codes: np.ndarray, counts: np.ndarray, depth: int = 2) -> ContextTree:
+        """The model of counts by context and byte (sorted codes); without counts every decision has probability one half."""
+        return cls(weigh(codes.astype(np.uint64), counts, depth, 0)[0], depth)
+
+    def logs(self, codes: np.ndarray) -> np.ndarray:
+        """log10 of the probability of the last byte of each code after its other bytes."""
+        total, byte = np.zeros(len(codes)), codes & 255
         for bit in range(8):
-            node = (1 << bit) | (values >> (8 - bit))
-            up = (values >> (7 - bit)) & 1
-            table += np.log10(np.where(up, ones[:, node], 1 - ones[:, node]))
-        row = len(seen) + (np.arange(65_536) & 255)
-        row[seen] = np.arange(len(seen))
-        return cls(row.astype(np.int32), table)
+            node, p = (byte >> (8 - bit)) | (1 << bit), np.full(len(codes), 0.5)
+            for d in range(self.depth, -1, -1):
+                keys, estimates, share = self.levels[d][bit]
+                if len(keys):
+                    key = ((codes >> (8 * (self.depth - d + 1))) << 8) | node
+                    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                    w = share[at]
+                    p = np.where(keys[at] == key, w * estimates[at] + (1 - w) * p, 0.5)
+            total += np.log10(np.where((byte >> (7 - bit)) & 1, p, 1 - p))
+        return total
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """log10 probabilities of texts, their ends included."""
-        codes, first = triples(data, offsets)
-        logs = self.table[self.row[codes >> 8], codes & 255]
-        return np.add.reduceat(logs, first) if len(first) else np.zeros(0)
+        codes, first = contexts(data, offsets, self.depth)
+        distinct, at = np.unique(codes, return_inverse=True)
+        return np.add.reduceat(self.logs(distinct)[at], first) if len(first) else np.zeros(0)
+
+
+def _squeeze(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, compressed."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unsqueeze(packed: bytes, dtype: type) -> np.ndarray:
+    n, size = int.from_bytes(packed[:8], "little"), np.dtype(dtype).itemsize
+    planes = np.frombuffer(pa.decompress(packed[8:], size * n, "zstd", asbytes=True), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(dtype).reshape(-1)
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Whole numbers of at least 0 as differences, compressed; sorted ones get small."""
+    kept = values.view(f"u{values.itemsize}")
+    return _squeeze(np.diff(kept, prepend=kept.dtype.type(0)))
+
+
+def _unpack(packed: bytes, dtype: type = np.uint64) -> np.ndarray:
+    steps = _unsqueeze(packed, dtype)
+    kept = steps.view(f"u{steps.itemsize}")
+    return np.cumsum(kept, dtype=kept.dtype).view(dtype)
 
 
 def _units(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -161,30 +198,45 @@ def _split(keys: np.ndarray, buckets: int) -> list[np.ndarray]:
     return np.split(order, np.cumsum(np.bincount(bucket, minlength=buckets))[:-1])
 
 
+def _dealt(codes: np.ndarray, buckets: int) -> list[np.ndarray]:
+    """For each bucket the places of its contexts, in order."""
+    return _split(mix(codes >> (8 * (DEPTH - DEALT + 1))), buckets)
+
+
 def count_training(train: DataFrame, buckets: int) -> DataFrame:
-    """Counts of words and, in buckets from ``buckets`` on, of byte triples: one row per bucket with sorted ``keys`` and ``counts`` as bytes.
+    """Counts of words and, in buckets from ``buckets`` on, of contexts: one row per bucket with sorted ``keys`` and ``counts`` as bytes (packed for contexts).
 
-    Triples are summed over a whole task before they are sent, and like words they are split among
-    the buckets, so what a bucket merges does not grow with the number of units.
+    Contexts are summed over a task before they are sent, or over ``HELD_CONTEXTS`` of them, and like
+    words they are split among the buckets.
     """
 
-    def sent(keys: np.ndarray, counts: np.ndarray, first: int) -> pa.RecordBatch:
-        rows = [(first + i, keys[at].tobytes(), counts[at].astype("<u4").tobytes()) for i, at in enumerate(_split(keys, buckets)) if len(at)]
+    def sent(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2))], names=["bucket", "keys", "counts"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << 24, np.int64)  # by triple; pages that are never touched take no memory
+        held: tuple[list, list] = ([], [])
+        limit = 0  # contexts held before they are merged
+
+        def contexts_held() -> pa.RecordBatch:
+            codes, n = merge_counts(*held)
+            return sent([(buckets + i, _pack(codes[at]), _pack(n[at])) for i, at in enumerate(_dealt(codes, buckets)) if len(at)])
+
         for batch in batches:
             for a, b, data, offsets in _units(batch.column(0)):
                 data = np.frombuffer(data.tobytes().translate(LOWER_BYTES), np.uint8)
                 words = Words(data, offsets, SPACED)
                 keys, counts = np.unique(np.append(words.hashes, END_TOKEN), return_counts=True)
                 counts[np.searchsorted(keys, END_TOKEN)] += b - a - 1
-                codes, n = np.unique(triples(data, offsets)[0], return_counts=True)
-                seen[codes] += n
-                yield sent(keys, counts, 0)
-        codes = np.flatnonzero(seen)
-        yield sent(codes.astype(np.uint64), seen[codes], buckets)
+                yield sent([(i, keys[at].tobytes(), counts[at].astype("<u4").tobytes()) for i, at in enumerate(_split(keys, buckets)) if len(at)])
+                for kept, new in zip(held, np.unique(contexts(data, offsets, DEPTH)[0], return_counts=True)):
+                    kept.append(new)
+                if sum(map(len, held[0])) > max(limit, 1 << 20):
+                    codes, n = merge_counts(*held)
+                    held, limit = ([codes], [n]), 2 * len(codes)
+                    if len(codes) > HELD_CONTEXTS:
+                        yield contexts_held()
+                        held, limit = ([], []), 0
+        yield contexts_held()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[list, list]] = {}
@@ -192,7 +244,7 @@ def count_training(train: DataFrame, buckets: int) -> DataFrame:
 
         def out(bucket: int) -> pa.RecordBatch:
             keys, counts = merge_counts(*held.pop(bucket))
-            return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([keys.tobytes()], pa.binary()), pa.array([counts.astype("<i8").tobytes()], pa.binary())], names=["bucket", "keys", "counts"])
+            return sent([(bucket, keys.tobytes(), counts.astype("<i8").tobytes()) if bucket < buckets else (bucket, _pack(keys), _pack(counts))])
 
         for batch in batches:
             for bucket, keys, counts in zip(*(batch.column(i) for i in range(3))):
@@ -200,8 +252,12 @@ def count_training(train: DataFrame, buckets: int) -> DataFrame:
                 for other in [b for b in held if b != bucket]:
                     yield out(other)
                 kept, sums = held.setdefault(bucket, ([], []))
-                kept.append(np.frombuffer(keys.as_py(), np.uint64))
-                sums.append(np.frombuffer(counts.as_py(), "<u4").astype(np.int64))
+                if bucket < buckets:
+                    kept.append(np.frombuffer(keys.as_py(), np.uint64))
+                    sums.append(np.frombuffer(counts.as_py(), "<u4").astype(np.int64))
+                else:
+                    kept.append(_unpack(keys.as_py()))
+                    sums.append(_unpack(counts.as_py(), np.int64))
                 size[bucket] = size.get(bucket, 0) + len(kept[-1])
                 if len(kept) > 1 and size[bucket] > max(1 << 20, 2 * len(kept[0])):
                     k, c = merge_counts(kept, sums)
@@ -228,6 +284,23 @@ def _head(counts: DataFrame, buckets: int, least: int) -> tuple[np.ndarray, np.n
     return keys[order], n[order]
 
 
+def _top(counts: DataFrame, buckets: int) -> dict[int, Level]:
+    """The tree of contexts of one byte and none. A bucket sends counts and sums of logs of at most 2 ** 16 contexts and bytes each."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, n in zip(batch.column(0), batch.column(1)):
+                codes, n = _unpack(keys.as_py()), _unpack(n.as_py(), np.int64)
+                _, (nodes, logs) = weigh(codes, n, DEPTH, DEALT)
+                codes, n = merge_counts([((codes >> (8 * DEPTH)) << 8) | (codes & 255)], [n])
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (codes, n, nodes, logs)], names=["codes", "n", "nodes", "logs"])
+
+    found = counts.where(F.col("bucket") >= buckets).select("keys", "counts").mapInArrow(sums, "codes binary, n binary, nodes binary, logs binary").collect()
+    of = lambda name, dtype: [np.frombuffer(r[name], dtype) for r in found]
+    codes, n = merge_counts(of("codes", np.uint64), of("n", np.int64))
+    return weigh(codes, n, DEALT - 1, 0, merge_counts(of("nodes", np.uint64), of("logs", np.float64)))[0]
+
+
 def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` and ``bits_per_byte`` of every row of ``docs``.
 
@@ -249,14 +322,11 @@ def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", t
     summed = counts.where(F.col("bucket") < buckets).select("counts").mapInArrow(totals, "n bigint, v bigint").agg(F.sum("n"), F.sum("v")).first()
     total, distinct = summed[0] or 0, summed[1] or 0
     head = _head(counts, buckets, max(-(-total // HEAD_WORDS), 1))
-    found = counts.where(F.col("bucket") >= buckets).collect()  # byte triples: at most 2 ** 24 of them
-    codes, n = merge_counts([np.frombuffer(r["keys"], np.uint64) for r in found], [np.frombuffer(r["counts"], "<i8") for r in found])
-    tree = ContextTree.of(codes.astype(np.int64), n)
-    shared = spark.sparkContext.broadcast((head, tree))
+    shared = spark.sparkContext.broadcast((head, _top(counts, buckets)))
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (head_keys, head_counts), tree = shared.value
+        head_keys, head_counts = shared.value[0]
         weight = np.log10(head_counts + 0.1)
         for batch in batches:
             base = batch.column("unit").to_pylist()
@@ -275,7 +345,10 @@ def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", t
                 sums = np.bincount(doc[own], times[own] * weight[at[word[own]]], n_docs)
                 known = np.bincount(doc[own], times[own], n_docs)
                 unit = base[a]
-                rows = [(-1, unit, None, sums.tobytes(), known.astype(np.int64).tobytes())]
+                text = pa.compress(data, "zstd", asbytes=True)
+                rows = [(-1, unit, text, sums.tobytes(), known.astype(np.int64).tobytes())]
+                codes = np.unique(contexts(data, offsets, DEPTH)[0])
+                rows += [(buckets + i, unit, _pack(codes[of]), None, None) for i, of in enumerate(_dealt(codes, buckets)) if len(of)]
                 # the other words: distinct ones of the unit, how many places each has, then documents and times (split at 255)
                 word, doc, times = word[~own], doc[~own], times[~own]
                 for i, of in enumerate(_split(keys[word], buckets) if len(word) else []):
@@ -285,61 +358,93 @@ def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", t
                         w, d = np.repeat(w, split), np.repeat(d, split)
                         t = np.minimum(255, np.repeat(t, split) - 255 * (np.arange(len(w)) - np.repeat(np.cumsum(split) - split, split)))
                         distinct_words, places = np.unique(w, return_counts=True)
-                        rows.append((i, unit, keys[distinct_words].tobytes(), places.astype("<u4").tobytes(), d.astype("<u2").tobytes() + t.astype(np.uint8).tobytes()))
-                docs_out = pa.StructArray.from_arrays([batch.column("doc_id").slice(a, n_docs), pa.array(words.counts + 1, pa.int64()), pa.array(tree.score(data, offsets)), pa.array(np.diff(offsets).astype(np.int64))], names=["doc_id", "n_tokens", "score", "bytes"])
+                        d = _pack(d.astype("<u2"))
+                        rows.append((i, unit, _pack(keys[distinct_words]), _squeeze(places.astype("<u4")), len(d).to_bytes(4, "little") + d + _squeeze(t.astype(np.uint8))))
+                docs_out = pa.StructArray.from_arrays([batch.column("doc_id").slice(a, n_docs), pa.array(words.counts + 1, pa.int64()), pa.array(np.diff(offsets).astype(np.int64))], names=["doc_id", "n_tokens", "bytes"])
                 lists = pa.ListArray.from_arrays(pa.array([0, n_docs] + [n_docs] * (len(rows) - 1), pa.int32()), docs_out)
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (2, 3, 4)), lists], names=["bucket", "unit", "x", "y", "z", "docs"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"), F.monotonically_increasing_id().alias("unit"))
-    units = materialize(rows.mapInArrow(read, f"bucket int, unit bigint, x binary, y binary, z binary, docs array<struct<doc_id:{id_type},n_tokens:bigint,score:double,bytes:bigint>>"), "lm-units")
+    units = materialize(rows.mapInArrow(read, f"bucket int, unit bigint, x binary, y binary, z binary, docs array<struct<doc_id:{id_type},n_tokens:bigint,bytes:bigint>>"), "lm-units")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Counts of a bucket come before the units that ask for them."""
         known_keys, known_counts, current = np.zeros(0, np.uint64), np.zeros(0, np.int64), None
+        nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+        def tree_of(codes: np.ndarray, n: np.ndarray) -> tuple[ContextTree, np.ndarray, np.ndarray]:
+            tree = ContextTree(weigh(codes, n, DEPTH, DEALT)[0] | shared.value[1], DEPTH)
+            return tree, codes, tree.logs(codes)
+
         for batch in batches:
             out = []
             for bucket, unit, x, y, z in zip(*(batch.column(i) for i in range(5))):
                 bucket, unit, x, y, z = (v.as_py() for v in (bucket, unit, x, y, z))
+                if bucket >= buckets:
+                    if unit is None or bucket != current:
+                        current = bucket
+                        tree, seen, logs = tree_of(*((_unpack(x), _unpack(y, np.int64)) if unit is None else nothing))
+                    if unit is not None:
+                        codes = _unpack(x)
+                        at = np.minimum(np.searchsorted(seen, codes), max(len(seen) - 1, 0))
+                        new = seen[at] != codes if len(seen) else np.ones(len(codes), bool)
+                        found = np.zeros(len(codes))
+                        found[~new] = logs[at[~new]]
+                        found[new] = tree.logs(codes[new])
+                        out.append((unit, _squeeze(found.astype(np.float32)), None, bucket))
+                    continue
                 if unit is None:
                     known_keys, known_counts, current = np.frombuffer(x, np.uint64), np.frombuffer(y, "<i8"), bucket
                     continue
                 if bucket != current:
                     known_keys, known_counts, current = known_keys[:0], known_counts[:0], bucket
-                keys, places = np.frombuffer(x, np.uint64), np.frombuffer(y, "<u4")
-                n = len(z) // 3
-                doc, times = np.frombuffer(z, "<u2", n), np.frombuffer(z, np.uint8, n, 2 * n)
+                keys, places = _unpack(x), _unsqueeze(y, np.uint32)
+                n = 4 + int.from_bytes(z[:4], "little")
+                doc, times = _unpack(z[4:n], np.uint16), _unsqueeze(z[n:], np.uint8)
                 at = np.minimum(np.searchsorted(known_keys, keys), max(len(known_keys) - 1, 0))
                 c = np.where(known_keys[at] == keys, known_counts[at], 0) if len(known_keys) else np.zeros(len(keys), np.int64)
                 each = np.repeat(c, places)
-                out.append((unit, np.bincount(doc, times * np.log10(each + 0.1)).tobytes(), np.bincount(doc, np.where(each > 0, times, 0)).astype(np.int64).tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), *(pa.array([r[i] for r in out], pa.binary()) for i in (1, 2))], names=["unit", "sums", "known"])
+                out.append((unit, np.bincount(doc, times * np.log10(each + 0.1)).tobytes(), np.bincount(doc, np.where(each > 0, times, 0)).astype(np.int64).tobytes(), bucket))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), *(pa.array([r[i] for r in out], pa.binary()) for i in (1, 2)), pa.array([r[3] for r in out], pa.int32())], names=["unit", "sums", "known", "bucket"])
 
     asked = units.where(F.col("bucket") >= 0).select("bucket", "unit", "x", "y", "z")
-    known = counts.where(F.col("bucket") < buckets).select("bucket", F.lit(None).cast("bigint").alias("unit"), F.col("keys").alias("x"), F.col("counts").alias("y"), F.lit(None).cast("binary").alias("z"))
-    partial = asked.unionByName(known).repartitionById(buckets, "bucket").sortWithinPartitions("bucket", F.col("unit").asc_nulls_first()).mapInArrow(add, "unit bigint, sums binary, known binary")
+    known = counts.select("bucket", F.lit(None).cast("bigint").alias("unit"), F.col("keys").alias("x"), F.col("counts").alias("y"), F.lit(None).cast("binary").alias("z"))
+    partial = asked.unionByName(known).repartitionById(buckets, "bucket").sortWithinPartitions("bucket", F.col("unit").asc_nulls_first()).mapInArrow(add, "unit bigint, sums binary, known binary, bucket int")
 
-    own = units.where(F.col("bucket") == -1).select("unit", F.col("y").alias("sums"), F.col("z").alias("known"), "docs")
+    own = units.where(F.col("bucket") == -1).select("unit", F.col("y").alias("sums"), F.col("z").alias("known"), "bucket", F.col("x").alias("text"), "docs")
     log_all = math.log10(total + 0.1 * (distinct + 1))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of a unit follow each other; the one with its documents comes last."""
-        current, sums, known = None, None, None
+        current, sums, known, logs = None, None, None, None
         for batch in batches:
-            for i, (unit, s, k) in enumerate(zip(*(batch.column(j).to_pylist() for j in range(3)))):
-                s, k = np.frombuffer(s), np.frombuffer(k, np.int64)
+            for i in range(batch.num_rows):
+                unit, s, k, bucket = (batch.column(j)[i].as_py() for j in range(4))
                 if unit != current:
-                    current, sums, known = unit, np.zeros(0), np.zeros(0, np.int64)
+                    current, sums, known, logs = unit, np.zeros(0), np.zeros(0, np.int64), {}
+                if bucket >= buckets:
+                    logs[bucket - buckets] = _unsqueeze(s, np.float32)
+                    continue
+                s, k = np.frombuffer(s), np.frombuffer(k, np.int64)
                 if len(s) > len(sums):
                     sums, known = np.pad(sums, (0, len(s) - len(sums))), np.pad(known, (0, len(s) - len(known)))
                 sums[: len(s)] += s
                 known[: len(k)] += k
-                mine = batch.column(3)[i]
+                mine = batch.column(5)[i]
                 if mine.is_valid:
                     d = mine.values
-                    n, score, size = (d.field(j).to_numpy(zero_copy_only=False) for j in (1, 2, 3))
+                    n, size = (d.field(j).to_numpy(zero_copy_only=False) for j in (1, 2))
+                    data = np.frombuffer(pa.decompress(batch.column(4)[i].as_py(), int(size.sum()), "zstd", asbytes=True), np.uint8)
+                    codes, first = contexts(data, np.append(0, np.cumsum(size)), DEPTH)
+                    codes, at = np.unique(codes, return_inverse=True)
+                    each = np.zeros(len(codes))
+                    for j, of in enumerate(_dealt(codes, buckets)):
+                        if len(of):
+                            each[of] = logs[j]
+                    score = np.add.reduceat(each[at], first)
                     bits = -score / math.log10(2) / np.maximum(size, 1)
-                    yield pa.RecordBatch.from_arrays([d.field(0), d.field(1), pa.array(known), pa.array(np.full(len(n), total), pa.int64()), pa.array(sums - n * log_all), d.field(2), pa.array(bits)], names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
+                    yield pa.RecordBatch.from_arrays([d.field(0), d.field(1), pa.array(known), pa.array(np.full(len(n), total), pa.int64()), pa.array(sums - n * log_all), pa.array(score), pa.array(bits)], names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
 
-    none = F.lit(None).cast(own.schema["docs"].dataType).alias("docs")
-    joined = partial.select("*", none).unionByName(own).repartition(buckets, "unit").sortWithinPartitions("unit", F.col("docs").isNotNull())
+    none = [F.lit(None).cast(own.schema[c].dataType).alias(c) for c in ("text", "docs")]
+    joined = partial.select("*", *none).unionByName(own).repartition(buckets, "unit").sortWithinPartitions("unit", F.col("docs").isNotNull())
     return joined.mapInArrow(finish, f"doc_id {id_type}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double")

@@ -266,6 +266,24 @@ def test_context_tree_by_definition():
     assert np.allclose(blank, 24 * math.log10(0.5))
 
 
+def test_scores_use_long_contexts(spark, docs_of, awkward):
+    from captionlake.llm.ctw import DEPTH, contexts
+
+    rows = [(i, t) for i, t in awkward if i is None or i not in (7, 8)]
+    rows += [(40 + i, ("1abcdX 2abcdY " if i % 2 else "2abcdY 1abcdX ") * 20) for i in range(40)] + [(90, "1abcdX 1abcdX"), (91, "1abcdY 1abcdY"), (92, "never seen zq" * 5)]
+    docs = docs_of(rows)
+    got = score_documents(docs, docs.where("doc_id < 80")).collect()
+    texts = [low(t).encode() for i, t in rows if i is not None and i < 80]
+    codes, n = np.unique(contexts(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts]), DEPTH)[0], return_counts=True)
+    tree = ContextTree.of(codes, n, DEPTH)
+    want = [(i, round(float(tree.score(np.frombuffer(low(t).encode(), np.uint8), np.array([0, len(low(t).encode())]))[0]), 3)) for i, t in rows]
+    assert DEPTH >= 4 and len(got) == len(want)
+    for (i, a), (j, b) in zip(by_row((r.doc_id, r.score) for r in got), by_row(want)):
+        assert i == j and a == pytest.approx(b, abs=2e-3, rel=1e-5)
+    of = {r.doc_id: r.score for r in got}
+    assert of[90] > of[91] + 2  # only the byte before "abcd" tells X from Y
+
+
 def test_digest_of_nothing(docs_of):
     row = scan_secrets(docs_of([(1, "")])).select(F.sha2(spans_string(F.col("base")), 256).alias("h")).first()
     assert row.h == hashlib.sha256(b"").hexdigest()
