@@ -150,11 +150,11 @@ def entropy_spans(text: Column, kind: EntropyClass, rank: int, allow: tuple[str,
 
 
 def secret_spans(text: Column, allow: tuple[str, ...] = ALLOWED, allow_strings: tuple[str, ...] = ()) -> Column:
-    """A struct of ``base`` and ``spans``: base spans, and those with the method's spans that overlap no base span."""
+    """A struct of ``base`` and ``spans``: base spans, and those with the method's spans that no single base span contains."""
 
     def added(base: Column) -> Column:
         more = [entropy_spans(text, kind, len(BASE_PATTERNS) + i, allow, allow_strings) for i, kind in enumerate((HEX_CLASS, BASE64_CLASS))]
-        clear = F.filter(F.concat(*more), lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+        clear = F.filter(F.concat(*more), lambda x: ~F.exists(base, lambda b: (b["start"] <= x["start"]) & (x["end"] <= b["end"])))
         return F.struct(base.alias("base"), F.array_sort(F.concat(base, clear), _by_start).alias("spans"))
 
     return let(base_spans(text), added)

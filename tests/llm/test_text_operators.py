@@ -173,6 +173,17 @@ def test_secret_entropy_and_redaction(docs_of):
     assert texts[5] == "[REDACTED] and [REDACTED]!" and texts[3] == rows[2][1]
 
 
+def test_entropy_spans_reach_beyond_base_spans(docs_of):
+    head, tail = "k9Zp2LxV9sTb4WmK8rYcQ7-", "0f3a9c1e7b5d2846a0c90f3a9c1e7b5d"
+    rows = [(1, head + tail), (2, f"x {head[:-1]}_token=abcdefgh12 y"), (3, f"x q7Zp2LxV9sTb4WmK8AKIAABCDEFGHIJKL y"), (4, f"token={head}")]
+    found = docs_of(rows).select("doc_id", secret_spans(F.col("text")).alias("s"), "text").select("doc_id", "s", redact(F.col("text"), F.col("s.spans")).alias("t")).collect()
+    for r in found:
+        spans = {(x.kind, x.start, x.end) for x in r.s.spans}
+        assert {(x.kind, x.start, x.end) for x in r.s.base} <= spans
+        assert "k9Zp2LxV" not in r.t and "q7Zp2LxV" not in r.t, r
+    assert [len(r.s.spans) for r in sorted(found, key=lambda r: r.doc_id)][3] == 1
+
+
 # --- quality -------------------------------------------------------------------------------------
 
 
