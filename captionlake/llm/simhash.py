@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from captionlake.llm.common import materialize
 from captionlake.llm.graph import components
@@ -61,15 +62,16 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0]) if n else 0
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``fp`` (the fingerprint as a signed 64-bit integer) of every row."""
+def fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``row`` (a struct of all columns), ``uid`` (a number of its own for each row) and ``fp`` (the fingerprint as a signed 64-bit integer)."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("uid"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            found = np.array([fingerprint(t.as_py()) for t in batch.column(0).field(text_col)], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], names=["row", "uid", "fp"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, fp bigint")
+    return rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField("fp", T.LongType())]))
 
 
 def planes(fps: np.ndarray) -> np.ndarray:
@@ -189,7 +191,7 @@ def scheme(n: int) -> list[int]:
 
 
 def _links(distinct: DataFrame, n: int, tile: int) -> DataFrame:
-    """Edges between representatives that join the components within every bucket."""
+    """Edges between representatives (``fp``, ``rep``) that join the components within every bucket."""
     spark = distinct.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     masks = [m - (1 << 64) if m >= 1 << 63 else m for m in scheme(n)]
@@ -249,16 +251,39 @@ def _links(distinct: DataFrame, n: int, tile: int) -> DataFrame:
     return dealt.mapInArrow(run, "u bigint, v bigint")
 
 
+def _roots(distinct: DataFrame, tile: int) -> DataFrame:
+    """``fp`` and ``root`` (the least fingerprint reachable over links) of distinct fingerprints."""
+    roots = components(_links(distinct.select("fp", F.col("fp").alias("rep")), distinct.count(), tile))
+    return distinct.select("fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> DataFrame:
     """``doc_id``, ``fp`` and ``component_id`` (the smallest id reachable over links) of every row.
 
     Null and blank texts have fingerprint zero and are linked like any other. Equal fingerprints are
-    one node, so copies cost nothing beyond their own row. Repeated rows get equal results. A row with
-    a null id has the component of its fingerprint, which is null if no row of that component has an
-    id. An empty table gives an empty result. Ids must be 64-bit integers; other columns are not read.
+    one node, so copies cost nothing beyond their own row, and rows without an id link others too. A
+    component has the least id of all its rows, or null if none has one. Repeated rows get equal
+    results; rows of one id with unlike texts are apart. Texts of any length are read whole, in parts.
+    An empty table gives an empty result. Ids must be 64-bit integers; other columns are not read.
+    """
+    found = fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).select("row.doc_id", "fp")
+    found = materialize(found, "simhash-fingerprints")
+    distinct = materialize(found.groupBy("fp").agg(F.min("doc_id").cast("bigint").alias("label")), "simhash-distinct")
+    rooted = distinct.join(_roots(distinct, tile), "fp")
+    least = rooted.groupBy("root").agg(F.min("label").alias("component_id"))
+    of = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
+    return found.join(of, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> DataFrame:
+    """One row of each component of near-duplicates, with all its columns: that with the least id (null: the last), then by the text's hash.
+
+    Rows are told apart by their place, not by id: of rows with one id and unlike texts each stays,
+    and copies without an id go like any other. Nulls, blank and long texts as in :func:`near_duplicates`;
+    an empty table gives an empty one.
     """
-    found = materialize(fingerprints(docs, id_col, text_col), "simhash-fingerprints")
-    distinct = materialize(found.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").cast("bigint").alias("rep")), "simhash-distinct")
-    roots = components(_links(distinct, distinct.count(), tile))
-    of = distinct.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
-    return found.join(of, "fp", "left").select("doc_id", "fp", "component_id")
+    found = materialize(fingerprints(docs, text_col), "simhash-rows")
+    place = F.struct(F.col(f"row.`{id_col}`").isNull().alias("none"), F.col(f"row.`{id_col}`").alias("id"), F.xxhash64(F.col(f"row.`{text_col}`")).alias("h"), "uid")
+    distinct = materialize(found.groupBy("fp").agg(F.min(place).alias("first")), "simhash-distinct")
+    kept = distinct.join(_roots(distinct, tile), "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.uid")
+    return found.join(kept, "uid", "left_semi").select("row.*")

@@ -74,6 +74,22 @@ def test_near_duplicates(docs_of, awkward):
     want = [(i, fps[k], least[nodes[k]]) for k, (i, _) in enumerate(rows)]
     assert sorted(((r.doc_id, r.fp % (1 << 64), r.component_id) for r in got), key=repr) == sorted(want, key=repr)
     assert simhash.near_duplicates(docs_of(rows).limit(0)).count() == 0
+    kept = [(r.doc_id, r.text, r.row) for r in simhash.keep_first(docs_of(rows)).collect()]
+    assert len(kept) == len(groups) and {r for _, _, r in kept} == {"y"}
+    assert sorted((i for i, _, _ in kept), key=repr) == sorted(least.values(), key=repr)
+    assert simhash.keep_first(docs_of(rows).limit(0)).count() == 0
+
+
+def test_rows_without_an_id_link_others(docs_of, monkeypatch):
+    """Fingerprints of a chain a - b - c, the middle one without an id; and one id with unlike texts."""
+    fps = {"a": 1 << 40, "b": (1 << 40) + 7, "c": (1 << 40) + 63, "d": (1 << 63) + (1 << 20) - 1, "e": 0xFFFF << 30, "f": (0xFFFF << 30) + 1}
+    docs = docs_of([(5, "a"), (None, "b"), (9, "c"), (7, "d"), (7, "a"), (None, "e"), (None, "e"), (None, "f"), (5, "d")])
+    table = simhash.fingerprints
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, text_col="text": table(docs, text_col).drop("fp").withColumn("fp", F.element_at(F.create_map(*[F.lit(x) for k, v in fps.items() for x in (k, v - (1 << 64) if v >> 63 else v)]), F.col(f"row.{text_col}"))))
+    found = sorted(((r.doc_id, r.fp % (1 << 64), r.component_id) for r in simhash.near_duplicates(docs).collect()), key=repr)
+    kept = sorted(((r.doc_id, r.text) for r in simhash.keep_first(docs).collect()), key=repr)
+    assert found == sorted([(5, fps["a"], 5), (None, fps["b"], 5), (9, fps["c"], 5), (7, fps["a"], 5), (7, fps["d"], 5), (5, fps["d"], 5), *[(None, fps[x], None) for x in "eef"]], key=repr)
+    assert kept[:2] == [(5, "a"), (5, "d")] and len(kept) == 3 and kept[2][0] is None
 
 
 def random_fingerprints(n, seed=0):
