@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from captionlake.llm.common import materialize, table
 from captionlake.llm.decontam import decontaminate
@@ -12,7 +11,7 @@ from captionlake.llm.langid import UNDETERMINED, identify, learn
 from captionlake.llm.packing import concatenate_and_cut
 from captionlake.llm.queries import tokenizer_file
 from captionlake.llm.secretscan import redact, secret_spans
-from captionlake.llm.simhash import near_duplicates
+from captionlake.llm.simhash import keep_first
 
 #: Scores under which a language is not accepted; a text in a known language scores well above it.
 LEAST_LANGUAGE_SCORE = 0.2
@@ -27,12 +26,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group; of rows with one id, one; rows without an id all stay."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", F.xxhash64("text").alias("h"))
-    first = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("h", "row.text"))
-    kept = rows.join(first, "doc_id", "left_semi").withColumn("nth", nth).where("nth = 1").select("row.*")
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    """Keeps one row of each group of near-duplicates, that with the least id.
+
+    Rows without an id come last in their group, and go with it like others; rows with one id and unlike texts all stay.
+    Null and blank texts are one group.
+    """
+    return keep_first(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
