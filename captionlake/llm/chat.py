@@ -1,10 +1,11 @@
 """Chat formatting into budgeted windows.
 
-Prefix sums of turn tokens lay a grid over each conversation. Turns between the same two grid lines
-make a window, a turn that crosses a line is a window of its own, so every window but that of a single
-longer turn keeps the budget. Each window begins with the conversation's system turn and with as many
-of the turns before it as fit the history limit; these repeat and are masked, so every assistant turn
-is a target exactly once.
+Turns are counted as they are written, escaped and between their control strings. Prefix sums of these
+counts cut a conversation into blocks of many windows, which tasks take one by one. In a block each
+window begins where the one before ended and takes turns while they fit, so spans end with turns. A
+window begins with the conversation's system turn and with as many of the turns before its span as fit
+the history limit and what the span leaves of the budget; these repeat and are masked, so every
+assistant turn is a target exactly once.
 
 Template: ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside roles and texts, ``<``, any number of
 backslashes and ``|`` get one backslash more; so no control string occurs there, and taking one
@@ -15,12 +16,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -28,30 +30,35 @@ from captionlake.llm.common import materialize
 from captionlake.llm.tokens import encoder
 
 BEGIN, STOP = "<|im_start|>", "<|im_end|>\n"
-#: Tokens counted for a turn's control strings.
-FRAME_TOKENS = 6
+#: A block of a conversation holds turns that begin within so many budgets' worth of tokens.
+BLOCK_WINDOWS = 64
 _ESCAPED = re.compile(r"<(\\*)\\\|")
+_TO_ESCAPE = re.compile(r"<(\\*)\|")
 
 
 @dataclass(frozen=True)
 class ChatBudget:
-    """Tokens of a window, of repeated history in it, and the least left for new turns after a long system turn."""
+    """Tokens of a window, of repeated history in it at most, and what new turns may take of it at least, where the system turn leaves that much."""
 
     window: int = 2048
     history: int = 512
     least: int = 256
 
+    def span(self, system: int) -> int:
+        """Tokens that new turns after a system turn may take, so that history has room."""
+        return max(self.window - system - self.history, min(self.least, self.window - system), 0)
 
-def escape(text: Column) -> Column:
-    return F.regexp_replace(text, r"<(\\*)\|", r"<$1\\|")
+
+def escape(text: str) -> str:
+    return _TO_ESCAPE.sub(r"<\1\\|", text)
 
 
 def unescape(text: str) -> str:
     return _ESCAPED.sub(r"<\1|", text)
 
 
-def escape_role(role: Column) -> Column:
-    return escape(F.replace(F.replace(role, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")))
+def escape_role(role: str) -> str:
+    return escape(role.replace("\\", "\\\\").replace("\n", "\\n"))
 
 
 def unescape_role(role: str) -> str:
@@ -59,30 +66,28 @@ def unescape_role(role: str) -> str:
 
 
 def _placed(turns: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Turns with ``idx`` (place in the conversation) and ``before`` (tokens of turns before it, the system turn aside)."""
-    spark = turns.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Turns, formatted, with their tokens ``n``, ``idx`` (place in the conversation) and ``before`` (tokens of turns before it)."""
+    parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = turns.repartitionByRange(parts, "k", "turn", "h").sortWithinPartitions("k", "turn", "h", "role", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, at, idx, before = encoder(tokenizer_path), None, 0, 0
         for batch in batches:
-            out: list[tuple[int, int, int]] = []
-            sizes = np.full(batch.num_rows, FRAME_TOKENS, np.int64)
-            for name in ("role", "text"):
-                for a, b, _, counts in encode.units(batch.column(name)):
-                    sizes[a:b] += counts
+            heads = [f"{BEGIN}{escape_role(r)}\n" for r in batch.column("role").to_pylist()]
+            written = pa.array([head + escape(t.as_py()) + STOP for head, t in zip(heads, batch.column("text"))], pa.large_string())
+            sizes = np.concatenate([np.zeros(0, np.int64), *(counts for _, _, _, counts in encode.units(written))])
+            out = []
             for k, n in zip(batch.column("k").to_pylist(), sizes.tolist()):
                 if k != at:
                     at, idx, before = k, 0, 0
                 out.append((idx, before, n))
                 idx, before = idx + 1, before + n
-            names = ["idx", "before", "n"]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([r[i] for r in out], pa.int64()) for i in range(3))], names=[*batch.schema.names, *names])
+            numbers = [pa.array(list(map(len, heads)), pa.int32()), *(pa.array([r[i] for r in out], pa.int64()) for i in range(3))]
+            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("conv_id"), batch.column("role"), written.cast(pa.string()), batch.column("part"), *numbers], names=["k", "conv_id", "role", "text", "part", "head", "idx", "before", "n"])
 
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.schema)
-    dealt = dealt.withColumn("part", F.spark_partition_id())
-    local = materialize(dealt.mapInArrow(count, f"{kinds}, part int, idx bigint, before bigint, n bigint"), "chat-turns")
+    kind = turns.schema["conv_id"].dataType.simpleString()
+    dealt = dealt.select("k", "conv_id", "role", "text", F.spark_partition_id().alias("part"))
+    local = materialize(dealt.mapInArrow(count, f"k string, conv_id {kind}, role string, text string, part int, head int, idx bigint, before bigint, n bigint"), "chat-turns")
     # only the first conversation of a partition can go on from the one before: at most one row for each partition
     sums = local.groupBy("k", "part").agg(F.sum("n").alias("n"), F.count("*").alias("m"))
     earlier = Window.partitionBy("k").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -90,64 +95,146 @@ def _placed(turns: DataFrame, tokenizer_path: str) -> DataFrame:
     carried = F.broadcast(carried) if carried.count() <= 10_000 else carried
     zero = F.lit(0).cast("bigint")
     return local.join(carried, ["k", "part"], "left").select(
-        "k", "conv_id", "role", "text", "n", (F.col("idx") + F.coalesce("rows", zero)).alias("idx"), (F.col("before") + F.coalesce("more", zero)).alias("before")
+        "k", "conv_id", "role", "text", "head", "n", (F.col("idx") + F.coalesce("rows", zero)).alias("idx"), (F.col("before") + F.coalesce("more", zero)).alias("before")
     )
 
 
-def format_conversations(conversations: DataFrame, tokenizer_path: str, budget: ChatBudget = ChatBudget(), conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """One row per window: ``conv_id``, ``first_turn`` (place of its first new turn), ``text``, ``n_context`` and ``loss_spans``.
+#: What a row of a block is, in order: the system turn, turns of the block before it, and its own.
+_SYSTEM, _EARLIER, _OWN = 0, 1, 2
+
+
+@dataclass
+class _Turn:
+    idx: int
+    text: str
+    n: int
+    #: code points before the text proper, if it is a target
+    head: int | None
+
+
+def _windows(system: _Turn | None, turns: Iterator[tuple[int, _Turn]], budget: ChatBudget) -> Iterator[tuple[int, str, int, list[dict], int]]:
+    """(first turn, text, repeated turns, spans of targets, tokens) of one block's windows; ``turns`` come with their kind, in order."""
+    fixed = system.n if system else 0
+    past: deque[_Turn] = deque()
+    held, own, used = 0, [], 0
+
+    def recall(turn: _Turn) -> None:
+        nonlocal held
+        past.append(turn)
+        held += turn.n
+        while past and held > budget.history:
+            held -= past.popleft().n
+
+    def out() -> tuple[int, str, int, list[dict], int]:
+        first = own[0].idx
+        lead, room = [system] if system and first else [], 0
+        repeated: list[_Turn] = []
+        room = min(budget.history, budget.window - used - (fixed if lead else 0))
+        for turn in reversed(past):
+            if turn.n > room:
+                break
+            repeated.append(turn)
+            room -= turn.n
+        context, spans, at = [*lead, *reversed(repeated)], [], 0
+        at = sum(len(t.text) for t in context)
+        for turn in own:
+            if turn.head is not None:
+                spans.append({"start": at + turn.head, "end": at + len(turn.text) - len(STOP)})
+            at += len(turn.text)
+        return first, "".join(t.text for t in [*context, *own]), len(context), spans, used + sum(t.n for t in context)
+
+    for kind, turn in turns:
+        if kind == _EARLIER:
+            recall(turn)
+            continue
+        # nothing can be repeated in a conversation's first window, so that may be full
+        if own and used + turn.n > (budget.window if own[0].idx == 0 else budget.span(fixed)):
+            yield out()
+            for t in own:
+                if not (system and t.idx == 0):
+                    recall(t)
+            own, used = [], 0
+        own.append(turn)
+        used += turn.n
+    if own:
+        yield out()
+
+
+def format_conversations(conversations: DataFrame, tokenizer_path: str, budget: ChatBudget = ChatBudget(), conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """One row per window: ``conv_id``, ``first_turn`` (place of its first new turn), ``text``, ``n_context``, ``loss_spans`` and ``n_tokens``.
 
     The first ``n_context`` turns in ``text`` are repeated. ``loss_spans`` are code-point intervals of
     the escaped texts of new assistant turns. A first turn whose role is ``system`` is the system turn.
+    A window keeps the budget in tokens, as written, but for one of a single new turn that is too long
+    for it next to the system turn; nothing else is repeated there.
+
     Null roles and texts are empty; rows with a null conversation are one conversation; null turns come
     first, and equal turn numbers are ordered by the hash of role and text. Repeated rows are turns of
-    their own. An empty table gives no windows. Long texts are not cut. Other columns are not read.
+    their own. An empty table gives no windows. Long texts are not cut, and long conversations are dealt
+    out in blocks of about ``block_windows`` windows, whose last one may be short. Other columns,
+    whatever their names, are not read.
     """
+    parts = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind = conversations.schema[conv_col].dataType.simpleString()
     turns = conversations.select(
         F.coalesce(F.col(conv_col).cast("string"), F.lit("")).alias("k"), F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"),
         F.coalesce(role_col, F.lit("")).alias("role"), F.coalesce(text_col, F.lit("")).alias("text"),
     ).withColumn("h", F.xxhash64("role", "text"))
-    placed = _placed(turns, tokenizer_path)
-    system = materialize(placed.where("idx = 0 AND role = 'system'").select("k", F.col("role").alias("s_role"), F.col("text").alias("s_text"), F.col("n").alias("s_n")), "chat-system")
-    joined = placed.join(system.select("k", "s_n"), "k", "left")
-    s_n = F.coalesce("s_n", F.lit(0).cast("bigint"))
-    is_system = F.col("s_n").isNotNull() & (F.col("idx") == 0)
-    step = F.greatest(budget.window - budget.history - s_n, F.lit(budget.least))
-    begin = F.greatest(F.col("before") - s_n, F.lit(0))
-    cell, last_cell = F.floor(F.col("begin") / F.col("step")), F.floor((F.col("begin") + F.col("n") - 1) / F.col("step"))
-    gridded = joined.select("*", step.alias("step"), begin.alias("begin"), is_system.alias("is_system"))
-    # the system turn lies in the first window and takes none of the grid
-    gridded = gridded.withColumn("cell", F.when(F.col("is_system"), F.lit(0)).otherwise(cell)).withColumn("lone", ~F.col("is_system") & (last_cell > cell))
-    gridded = materialize(gridded.drop("s_n", "before"), "chat-grid")
-
-    windows = gridded.groupBy("k", "cell", "lone").agg(F.min("begin").alias("window_start"), F.min("idx").alias("first"), F.min("step").alias("step"))
-    later = windows.where("first > 0").select("k", "lone", "window_start", "first", F.col("cell").alias("own_cell"))
-    # a turn is history of windows that start within the limit after its begin: those of a few cells
-    reach = F.sequence(F.col("cell"), F.floor((F.col("begin") + budget.history) / F.col("step")))
-    asking = gridded.where("NOT is_system").withColumn("own_cell", F.explode(reach)).select("k", "own_cell", "idx", "begin", "role", "text", "conv_id")
-    history = asking.join(later, ["k", "own_cell"]).where((F.col("begin") >= F.col("window_start") - budget.history) & (F.col("idx") < F.col("first")))
-    history = history.select("k", F.col("own_cell").alias("cell"), "lone", "conv_id", "idx", "role", "text", F.lit(False).alias("new"), "begin")
-    repeated = later.join(system, "k").select("k", F.col("own_cell").alias("cell"), "lone", F.lit(None).cast(gridded.schema["conv_id"].dataType).alias("conv_id"), F.lit(-1).cast("bigint").alias("idx"), F.col("s_role").alias("role"), F.col("s_text").alias("text"), F.lit(False).alias("new"), F.lit(None).cast("bigint").alias("begin"))
-    own = gridded.select("k", "cell", "lone", "conv_id", "idx", "role", "text", F.lit(True).alias("new"), "begin")
-
-    turn = F.struct("idx", escape_role(F.col("role")).alias("role"), escape(F.col("text")).alias("text"), "new", (F.col("role") == "assistant").alias("target"))
-    groups = own.unionByName(history).unionByName(repeated).groupBy("k", "cell", "lone").agg(
-        F.first("conv_id", ignorenulls=True).alias("conv_id"), F.min(F.when(F.col("new"), F.col("idx"))).alias("first_turn"), F.sort_array(F.collect_list(turn)).alias("turns")
-    )
-    whole = lambda t: F.concat(F.lit(BEGIN), t["role"], F.lit("\n"), t["text"], F.lit(STOP))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
-
-    def mask(state: Column, t: Column) -> Column:
-        begin_text = state["at"] + len(BEGIN) + F.length(t["role"]) + 1
-        end_text = begin_text + F.length(t["text"])
-        span = F.struct(begin_text.alias("start"), end_text.alias("end"))
-        spans = F.when(t["new"] & t["target"], F.array_append(state["spans"], span)).otherwise(state["spans"])
-        return F.struct((end_text + len(STOP)).alias("at"), spans.alias("spans"))
-
-    return groups.select(
-        "conv_id", "first_turn", F.array_join(F.transform("turns", whole), "").alias("text"),
-        F.size(F.filter("turns", lambda t: ~t["new"])).alias("n_context"), F.aggregate("turns", start, mask, lambda s: s["spans"]).alias("loss_spans"),
-    )
+    placed = materialize(_placed(turns, tokenizer_path), "chat-placed")
+    size = max(block_windows * budget.window, budget.history)
+    placed = placed.withColumn("block", F.floor(F.col("before") / size))
+    placed = placed.withColumn("last", F.floor((F.col("before") + budget.history) / size))
+    columns = ["k", "block", "conv_id", "role", "text", "head", "n", "idx"]
+    own = placed.select(*columns, F.lit(_OWN).alias("kind"))
+    earlier = placed.where("last > block AND NOT (idx = 0 AND role = 'system')").select("k", F.col("last").alias("block"), *columns[2:], F.lit(_EARLIER).alias("kind"))
+    # a system turn goes to all later blocks of its conversation, of which there is a row each
+    system = placed.where("idx = 0 AND role = 'system'").select("k", "conv_id", "role", "text", "head", "n", "idx")
+    blocks = placed.where("block > 0").select("k", "block").distinct()
+    repeated = blocks.join(system, "k").select(*columns, F.lit(_SYSTEM).alias("kind"))
+    dealt = own.unionByName(earlier).unionByName(repeated).repartition(parts, "k", "block").sortWithinPartitions("k", "block", "kind", "idx")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(batch.column(c) for c in ("k", "block", "conv_id", "role", "text", "head", "n", "idx", "kind"))))
+        row, out, chars = next(rows, None), [], 0
+        spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+        def table(conv_type: pa.DataType) -> pa.RecordBatch:
+            types = (conv_type, pa.int64(), pa.string(), pa.int32(), spans, pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=["conv_id", "first_turn", "text", "n_context", "loss_spans", "n_tokens"])
+
+        while row is not None:
+            block, conv, system = (row[0].as_py(), row[1].as_py()), row[2], None
+
+            def turns() -> Iterator[tuple[int, _Turn]]:
+                nonlocal row, system
+                while row is not None and (row[0].as_py(), row[1].as_py()) == block:
+                    role, text, head, n, idx, what = (v.as_py() for v in row[3:])
+                    yield what, _Turn(idx, text, n, head if role == "assistant" else None)
+                    row = next(rows, None)
+
+            own = turns()
+            head = next(own)
+            if head[0] == _SYSTEM:
+                system, lead = head[1], []
+            else:
+                lead = [head]
+                if head[1].idx == 0 and row[3].as_py() == "system":
+                    system = head[1]
+
+            def rest(lead: list = lead, own: Iterator = own) -> Iterator[tuple[int, _Turn]]:
+                yield from lead
+                yield from own
+
+            for found in _windows(system, rest(), budget):
+                out.append((conv.as_py(), *found))
+                chars += len(found[1])
+                if len(out) >= 256 or chars >= 4 << 20:
+                    yield table(conv.type)
+                    out, chars = [], 0
+        if out:
+            yield table(conv.type)
+
+    return dealt.mapInArrow(run, f"conv_id {kind}, first_turn bigint, text string, n_context int, loss_spans array<struct<start:int,end:int>>, n_tokens bigint")
 
 
 def parse_window(text: str) -> list[tuple[str, str]]:
@@ -197,4 +284,3 @@ def read_conversations(windows: DataFrame) -> DataFrame:
 def write_windows(windows: DataFrame) -> DataFrame:
     """Write the formatted windows into the shared folder and read them back."""
     return materialize(windows, "chat-windows")
-

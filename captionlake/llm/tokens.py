@@ -38,6 +38,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._line_end = self.whole("\n")
         self._keeps_space = len(self._line_end) > 0
         self._keys, self._at, self._size, self._last = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
@@ -56,7 +57,7 @@ class WordEncoder:
 
     def _learn(self, keys: np.ndarray, words: list[tuple[str, str]]) -> None:
         """Encode new words, given with what stands before them, and keep their ids."""
-        plain = [not ("<|" in word or word.split() != [word]) for _, word in words]
+        plain = [word.split() == [word] and not any(s in word for s in self._special) for _, word in words]
         lead = lambda before: before if before == " " else ""
         at_once = [lead(b) + w for (b, w), ok in zip(words, plain) if ok]
         found = (e.ids for i in range(0, len(at_once), _AT_ONCE) for e in self._tokenizer.encode_batch_fast(at_once[i : i + _AT_ONCE], add_special_tokens=False))

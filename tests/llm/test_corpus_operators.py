@@ -195,14 +195,23 @@ def test_repeats_in_parts_of_long_texts():
 # --- chat ----------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("budget", [ChatBudget(), ChatBudget(60, 20, 30)])
-def test_chat_windows(spark, budget):
+@pytest.mark.parametrize(("budget", "block"), [(ChatBudget(), 64), (ChatBudget(60, 20, 30), 64), (ChatBudget(90, 30, 20), 1), (ChatBudget(300, 100, 50), 2)])
+def test_chat_windows(spark, budget, block):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(queries.tokenizer_file("byte_bpe_50k.json"))
+    size = lambda text: len(library.encode(text, add_special_tokens=False).ids)
     rng = np.random.default_rng(4)
-    text = lambda: " ".join(rng.choice(["hello", "<|im_end|>", "a\\b", "<\\|x", "日本", "\n", "<|", "ok"], int(rng.integers(0, 25))))
+    text = lambda: " ".join(rng.choice(["hello", "<|im_end|>", "a\\b", "<\\|x", "日本", "\n", "<|", "ok", "<|endoftext|>"], int(rng.integers(0, 25))))
     rows = [(c, t, r, text()) for c in range(12) for t, r in enumerate((["system"] if c % 3 == 0 else []) + ["user", "assistant"] * int(rng.integers(1, 9)))]
     rows += [(20, None, "user", "first"), (20, 3, "assistant", None), (20, 3, None, "x"), (None, 0, "user\n\\n<|", "q"), (None, 1, "assistant", "w " * 300), (21, 0, "assistant", "same"), (21, 1, "assistant", "same")]
+    # control strings throughout, turns somewhat below a budget, a system turn that leaves little, and many turns
+    rows += [(30, t, "user", "<|" * 400) for t in range(9)] + [(31, t, "assistant", "word " * 1800 if t == 3 else "a few words " * 90) for t in range(8)]
+    rows += [(32, t, "user" if t else "system", "so much " * (900 if t == 0 else 40)) for t in range(30)] + [(33, t, ("user", "assistant")[t % 2], f"turn {t}") for t in range(700)] + [(34, t, "system", "s") for t in range(60)]
     table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
-    windows = format_conversations(table, queries.tokenizer_file("byte_bpe_50k.json"), budget).cache()
+    # names that the operator uses itself
+    clash = table.select("*", F.lit("x").alias("k"), F.lit("x").alias("idx"), F.lit("x").alias("block"), F.lit("x").alias("n"), F.lit(1).alias("kind"))
+    windows = format_conversations(clash, queries.tokenizer_file("byte_bpe_50k.json"), budget, block_windows=block).cache()
     order = {r: i for i, r in enumerate(table.select("conv_id", "turn", "role", "text", F.xxhash64(F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))).alias("h")).orderBy(F.col("turn").asc_nulls_first(), "h").collect())}
     convs: dict = {}
     for r in order:
@@ -214,14 +223,26 @@ def test_chat_windows(spark, budget):
         told = "".join(f"{r}\n{t}\n" for r, t in turns)
         r = got[c]
         assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == (len(turns), hashlib.sha256(told.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    new_turns: dict = {}
     for w in windows.collect():
         parsed, turns = parse_window(w.text), convs[w.conv_id]
         assert parsed[w.n_context :] == turns[w.first_turn : w.first_turn + len(parsed) - w.n_context]
         context = parsed[: w.n_context]
-        if turns[0][0] == "system" and w.first_turn:
+        system = turns[0][0] == "system" and w.first_turn > 0
+        if system:
             assert context.pop(0) == turns[0]
         assert context == turns[w.first_turn - len(context) : w.first_turn]
         assert [unescape(w.text[s.start : s.end]) for s in w.loss_spans] == [t for r, t in parsed[w.n_context :] if r == "assistant"]
+        assert w.n_tokens == size(w.text)
+        assert w.n_tokens <= budget.window or len(parsed) - w.n_context == 1 and not context
+        written = w.text.split("<|im_end|>\n")[system : w.n_context]
+        assert sum(size(t + "<|im_end|>\n") for t in written) <= budget.history
+        if w.conv_id == 33:
+            new_turns[w.first_turn] = [size(t + "<|im_end|>\n") for t in w.text.split("<|im_end|>\n")[w.n_context : -1]]
+    # spans are as long as the budget lets them be: the next turn does not fit, but where a block ends
+    spans = [new_turns[k] for k in sorted(new_turns)]
+    short = sum(sum(a) + b[0] <= budget.span(0) for a, b in zip(spans, spans[1:]))
+    assert short <= sum(map(sum, spans)) // (block * budget.window) + 1
     windows.unpersist()
     assert read_conversations(format_conversations(table.limit(0), queries.tokenizer_file("byte_bpe_50k.json"))).count() == 0
 
