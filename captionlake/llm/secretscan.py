@@ -9,6 +9,7 @@ at or above the class's threshold is reported from its first such window to the
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,27 +27,32 @@ MIN_ASSIGNED = 8
 
 @dataclass(frozen=True)
 class EntropyClass:
-    """Candidates are maximal runs of at least ``window`` characters of ``alphabet``."""
+    """Candidates are maximal runs of at least ``window`` (at most 31) characters of ``alphabet``; those of one letter case have a threshold of their own."""
 
     kind: str
     char_class: str
     alphabet: str
     threshold: float
+    one_case: float
     window: int = 20
 
 
-HEX_CLASS = EntropyClass("entropy_hex", "0-9A-Fa-f", "0123456789abcdef", 3.0)
-BASE64_CLASS = EntropyClass("entropy_base64", "A-Za-z0-9+/_-", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 3.7)
+HEX_CLASS = EntropyClass("entropy_hex", "0-9A-Fa-f", "0123456789abcdef", 3.0, 3.0)
+BASE64_CLASS = EntropyClass("entropy_base64", "A-Za-z0-9+/_-", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 3.7, 3.5)
 
-#: Candidates that match one of these are never reported: no digit, no letter, UUIDs, dates and numbered paths.
+#: Candidates that match one of these are never reported: no digit, no letter, UUIDs and numbered paths.
 ALLOWED = (
     "^[^0-9]*$",
     "^[^A-Za-z]*$",
     "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    "^[0-9]{4}[-/_][0-9]{2}[-/_][0-9]{2}.*$",
     "^[A-Za-z/_-]+[0-9]{1,4}$",
-    "(?i)0123456789abcdef|abcdefghijklmnop|1234567890",
 )
+#: Nor are spans whose own characters do, though the rest of their candidate may be random: dates and sequences.
+ALLOWED_SPANS = ("^[0-9]{4}[-/_][0-9]{2}[-/_][0-9]{2}[^0-9A-Za-z]?[A-Za-z/_-]*$", "(?i)^(?:0123456789abcdef|abcdefghijklmnop|1234567890)+[0-9a-z]{0,9}$")
+#: Matches whose places are summed up in one fold.
+BLOCK = 256
+#: Counts of a window, five bits each, packed into 64-bit words.
+_PACKED = 12
 
 
 def _span_type() -> str:
@@ -54,33 +60,50 @@ def _span_type() -> str:
 
 
 def _located(text: Column, pattern: str, group_length: tuple[int, int] | None, rank: int, kind: str) -> Column:
-    """Spans of all matches: lengths of the pieces between matches and of the matches, summed up in order."""
+    """Matches with their places, from the lengths of the pieces between matches and of the matches.
+
+    Lengths are summed up within blocks of matches and over the blocks, so no array grows match by match.
+    """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    kept = _span_type().replace(">>", ",m:string>>")
+    none = F.array().cast(kept)
+
+    def step(state: Column, x: Column) -> Column:
+        begin = state["at"] + F.length(x["gap"])
+        end = begin + F.length(x["m"])
+        span = F.struct(begin.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), F.lit(rank).alias("rank"), x["m"].alias("m"))
+        return F.struct(end.alias("at"), F.array_append(state["out"], span).alias("out"))
+
+    def block(state: Column, rows: Column) -> Column:
+        start = F.struct(state["at"].alias("at"), none.alias("out"))
+        return let(F.aggregate(rows, start, step), lambda s: F.struct(s["at"].alias("at"), F.array_append(state["out"], s["out"]).alias("out")))
 
     def spans(found: Column) -> Column:
-        pieces = F.split(text, pattern)
-        rows = F.zip_with(found, pieces, lambda m, gap: F.struct(m.alias("m"), gap.alias("gap")))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(_span_type()).alias("out"))
+        rows = F.zip_with(found, F.slice(F.split(text, pattern), 1, F.size(found)), lambda m, gap: F.struct(m.alias("m"), gap.alias("gap")))
+        last = F.floor((F.size(found) - 1) / BLOCK).cast("int")
 
-        def step(state: Column, x: Column) -> Column:
-            begin = state["at"] + F.length(x["gap"])
-            end = begin + F.length(x["m"])
-            span = F.struct(begin.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), F.lit(rank).alias("rank"))
-            good = F.length(F.regexp_extract(x["m"], pattern, group_length[0])) >= group_length[1] if group_length else F.lit(True)
-            return F.struct(end.alias("at"), F.when(good, F.array_append(state["out"], span)).otherwise(state["out"]).alias("out"))
+        def blocks(rows: Column) -> Column:
+            return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(rows, i * BLOCK + 1, F.lit(BLOCK)))
 
-        rows = F.filter(rows, lambda x: x["m"].isNotNull())
-        return F.when(F.size(found) > 0, F.aggregate(rows, start, step, lambda s: s["out"])).otherwise(F.array().cast(_span_type()))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kept}>").alias("out"))
+        placed = F.flatten(F.aggregate(let(rows, blocks), start, block, lambda s: s["out"]))
+        if group_length:
+            placed = F.filter(placed, lambda x: F.length(F.regexp_extract(x["m"], pattern, group_length[0])) >= group_length[1])
+        return F.when(F.size(found) > 0, placed).otherwise(none)
 
     return let(matches, spans)
 
 
+def _plain(spans: Column) -> Column:
+    return F.transform(spans, lambda x: x.dropFields("m"))
+
+
 def base_spans(text: Column) -> Column:
     """All base spans of a non-null text as (start, end, kind, rank), by start and then kind as listed."""
     none = F.array().cast(_span_type())
     found = []
     for rank, (kind, pattern) in enumerate(BASE_PATTERNS.items()):
-        spans = _located(text, pattern, (2, MIN_ASSIGNED) if kind == "assign" else None, rank, kind)
+        spans = _plain(_located(text, pattern, (2, MIN_ASSIGNED) if kind == "assign" else None, rank, kind))
         found.append(F.when(F.contains(text, F.lit("AKIA")), spans).otherwise(none) if kind == "access" else spans)
     return F.array_sort(F.concat(*found), _by_start)
 
@@ -91,57 +114,71 @@ def _by_start(a: Column, b: Column) -> Column:
 
 
 def _entropy_hull(candidate: Column, kind: EntropyClass) -> Column:
-    """(first, last) window starts at or above the threshold, null where no window is; counts change by one in and one out."""
+    """(first, last) window starts at or above the threshold, null where no window is.
+
+    The counts of a window's characters are packed into a few words. A step changes two of them by one
+    (one character in, one out) and the entropy by these two, so a candidate costs its length.
+    """
     w, alphabet = kind.window, kind.alphabet
     folded = F.lower(candidate) if alphabet == alphabet.lower() else candidate
-    weight = lambda n: F.when(n > 1, n * F.log2(n.cast("double"))).otherwise(F.lit(0.0))
-    zero = F.array_repeat(F.lit(0), len(alphabet))
-    state = F.struct(zero.alias("n"), F.lit(0.0).alias("s"), F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
-
-    def over(codes: Column) -> Column:
+    words = -(-len(alphabet) // _PACKED)
+    place = {ord(c): i for i, c in enumerate(alphabet)}
+    # by ASCII code: the word of a character's count, and the count's bit in it
+    word_of = F.array(*[F.lit(place.get(c, 0) // _PACKED) for c in range(128)])
+    bit_of = F.array(*[F.lit(5 * (place.get(c, 0) % _PACKED)) for c in range(128)])
+    weight = F.array(*[F.lit(n * log2(n) if n else 0.0) for n in range(w + 2)])
+    state = F.struct(F.array_repeat(F.lit(0).cast("bigint"), words).alias("n"), F.lit(0.0).alias("s"), F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
+    threshold = F.when(F.rlike(candidate, F.lit("[a-z]")) & F.rlike(candidate, F.lit("[A-Z]")), F.lit(kind.threshold)).otherwise(F.lit(kind.one_case))
+
+    def over(chars: Column, least: Column) -> Column:
         def step(acc: Column, k: Column) -> Column:
-            into, out = F.get(codes, k), F.when(k >= w, F.get(codes, k - w)).otherwise(F.lit(-1))
-            more, less = F.get(acc["n"], into), F.coalesce(F.get(acc["n"], out), F.lit(0))
-            same = into == out
-            total = F.when(same, acc["s"]).otherwise(acc["s"] + weight(more + 1) - weight(more) + weight(less - 1) - weight(less))
-            counts = F.when(same, acc["n"]).otherwise(F.transform(acc["n"], lambda v, c: v + (c == into).cast("int") - (c == out).cast("int")))
-            hit = (k >= w - 1) & (F.log2(F.lit(float(w))) - total / w >= kind.threshold)
-            begin = k - (w - 1)
-            return F.struct(
-                counts.alias("n"), total.alias("s"),
-                F.when(hit, F.coalesce(acc["first"], begin)).otherwise(acc["first"]).alias("first"),
-                F.when(hit, begin).otherwise(acc["last"]).alias("last"),
-            )
-
-        return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), state, step, lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
-
-    return let(_codes(folded, alphabet), over)
-
-
-def _codes(text: Column, alphabet: str) -> Column:
-    """Places of the characters of ``text`` in ``alphabet``."""
-    return F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.position(F.substring(text, i, F.lit(1)), F.lit(alphabet)) - 1)
-
-
-def entropy_spans(text: Column, kind: EntropyClass, rank: int, allow: tuple[str, ...] = ALLOWED, allow_strings: tuple[str, ...] = ()) -> Column:
+            into, out = F.get(chars, k), F.get(chars, k - w)
+            count = lambda n, c: F.call_function("shiftright", F.get(n, c["word"]), c["bit"]).bitwiseAND(F.lit(31)).cast("int")
+            unit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"), c["bit"])
+            # one out, where the window is full
+            left = F.when(k >= w, F.transform(acc["n"], lambda v, i: F.when(i == out["word"], v - unit(out)).otherwise(v))).otherwise(acc["n"])
+            less = F.when(k >= w, let(count(acc["n"], out), lambda n: F.get(weight, n - 1) - F.get(weight, n))).otherwise(F.lit(0.0))
+
+            def grown(n: Column) -> Column:
+                more = let(count(n, into), lambda c: F.get(weight, c + 1) - F.get(weight, c))
+                total = acc["s"] + less + more
+                return let(
+                    F.struct(total.alias("s"), ((k >= w - 1) & (F.lit(log2(w)) - total / w >= least)).alias("hit")),
+                    lambda t: F.struct(
+                        F.transform(n, lambda v, i: F.when(i == into["word"], v + unit(into)).otherwise(v)).alias("n"), t["s"].alias("s"),
+                        F.when(t["hit"], F.coalesce(acc["first"], k - (w - 1))).otherwise(acc["first"]).alias("first"),
+                        F.when(t["hit"], k - (w - 1)).otherwise(acc["last"]).alias("last"),
+                    ),
+                )
+
+            return let(left, grown)
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), state, step, lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
+
+    one = lambda c: F.struct(F.get(word_of, F.ascii(c)).alias("word"), F.get(bit_of, F.ascii(c)).alias("bit"))
+    chars = F.transform(F.filter(F.split(folded, ""), lambda c: c != ""), one)
+    return let(F.struct(chars.alias("c"), threshold.alias("t")), lambda x: over(x["c"], x["t"]))
+
+
+def entropy_spans(text: Column, kind: EntropyClass, rank: int, allow: tuple[str, ...] = ALLOWED, allow_strings: tuple[str, ...] = (), allow_spans: tuple[str, ...] = ALLOWED_SPANS) -> Column:
     """Spans that the entropy of ``kind`` finds in a non-null text, in order."""
     cls = kind.char_class
     pattern = f"(?<![{cls}])[{cls}]{{{kind.window},}}+"
     none = F.array().cast(_span_type())
 
-    def wanted(candidate: Column) -> Column:
-        good = ~candidate.isin(*allow_strings) if allow_strings else F.lit(True)
-        for rule in allow:
-            good = good & ~F.rlike(candidate, F.lit(rule))
+    def wanted(found: Column, rules: tuple[str, ...]) -> Column:
+        good = ~found.isin(*allow_strings) if allow_strings else F.lit(True)
+        for rule in rules:
+            good = good & ~F.rlike(found, F.lit(rule))
         return good
 
     def hulls(spans: Column) -> Column:
         def one(x: Column) -> Column:
-            candidate = F.substring(text, x["start"] + 1, x["end"] - x["start"])
-            hull = F.when(wanted(candidate), _entropy_hull(candidate, kind))
+            hull = F.when(wanted(x["m"], allow), _entropy_hull(x["m"], kind))
+            found = lambda h: F.substring(x["m"], h["first"] + 1, h["last"] + kind.window - h["first"])
             return let(
                 hull,
-                lambda h: F.struct((x["start"] + h["first"]).alias("start"), (x["start"] + h["last"] + kind.window).alias("end"), F.lit(kind.kind).alias("kind"), F.lit(rank).alias("rank")),
+                lambda h: F.struct(F.when(wanted(found(h), allow_spans), x["start"] + h["first"]).alias("start"), (x["start"] + h["last"] + kind.window).alias("end"), F.lit(kind.kind).alias("kind"), F.lit(rank).alias("rank")),
             )
 
         return F.when(F.size(spans) > 0, F.filter(F.transform(spans, one), lambda x: x["start"].isNotNull())).otherwise(none)
@@ -168,8 +205,10 @@ def spans_string(spans: Column) -> Column:
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", allow: tuple[str, ...] = ALLOWED, allow_strings: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: id, ``base`` and ``spans`` as arrays of (start, end, kind, rank).
 
-    Offsets count code points, ends are exclusive. Null text counts as empty and has no span. Repeated
-    rows and ids give a row each, an empty table an empty result; other columns are not read.
+    Offsets count code points, ends are exclusive. Null text counts as empty and has no span. Texts of
+    any length are read whole, and a candidate costs time by its length. Repeated rows and ids, a null
+    id among them, give a row each, an empty table an empty result; other columns, whatever their names,
+    are not read.
     """
     found = secret_spans(F.coalesce(F.col(text_col), F.lit("")), allow, allow_strings)
     return docs.select(F.col(id_col).alias("doc_id"), found.alias("s")).select("doc_id", "s.base", "s.spans")
@@ -177,12 +216,16 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def redact(text: Column, spans: Column, mask: str = "[REDACTED]") -> Column:
     """``text`` with each maximal stretch that spans (sorted by start) cover replaced by ``mask``."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<from:int,size:int>>").alias("out"))
 
     def step(state: Column, x: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, x["start"] - state["at"])
-        fresh = F.concat(state["out"], gap, F.lit(mask))
-        out = F.when((x["start"] < state["at"]) & (state["at"] > 0), state["out"]).otherwise(fresh)
+        fresh = F.struct(state["at"].alias("from"), (x["start"] - state["at"]).alias("size"))
+        joined = (x["start"] < state["at"]) & (state["at"] > 0)
+        out = F.when(joined, state["out"]).otherwise(F.array_append(state["out"], fresh))
         return F.struct(F.greatest(state["at"], x["end"]).alias("at"), out.alias("out"))
 
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))).otherwise(text)
+    def kept(state: Column) -> Column:
+        gaps = F.array_append(state["out"], F.struct(state["at"].alias("from"), F.length(text).alias("size")))
+        return F.array_join(F.transform(gaps, lambda g: F.substring(text, g["from"] + 1, g["size"])), mask)
+
+    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, kept)).otherwise(text)

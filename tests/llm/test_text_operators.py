@@ -173,6 +173,51 @@ def test_secret_entropy_and_redaction(docs_of):
     assert texts[5] == "[REDACTED] and [REDACTED]!" and texts[3] == rows[2][1]
 
 
+def entropy_of(text):
+    """All spans of the method by their definition: entropies of all windows, each counted anew."""
+    from captionlake.llm import secretscan as x
+
+    out = []
+    for kind in (x.HEX_CLASS, x.BASE64_CLASS):
+        for m in re.finditer(f"[{kind.char_class}]{{{kind.window},}}", text):
+            c = m[0]
+            if any(re.search(rule, c) for rule in x.ALLOWED):
+                continue
+            least = kind.threshold if re.search("[a-z]", c) and re.search("[A-Z]", c) else kind.one_case
+            folded = c.lower() if kind is x.HEX_CLASS else c
+            starts = [i for i in range(len(c) - kind.window + 1) if -sum(n / kind.window * math.log2(n / kind.window) for n in Counter(folded[i : i + kind.window]).values()) >= least - 1e-9]
+            if starts and not any(re.search(rule, c[starts[0] : starts[-1] + kind.window]) for rule in x.ALLOWED_SPANS):
+                out.append((m.start() + starts[0], m.start() + starts[-1] + kind.window, kind.kind))
+    base = [tuple(map(int, b.split(":")[1:])) for b in base_of(text).split(",") if b]
+    return sorted(s for s in out if not any(a <= s[0] and s[1] <= b for a, b in base))
+
+
+def test_entropy_by_definition(docs_of, awkward):
+    rng = np.random.default_rng(9)
+    letters = ["abcdefghijklmnopqrstuvwxyz0123456789", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHabcdefgh0123+/_-", "aab1", "é 日x1"]
+    rows = awkward + [(100 + k, "".join(rng.choice(list(letters[k % 6]), int(rng.integers(15, 90)))) + " " + "".join(rng.choice(list(letters[k % 5]), 25)) + "é=") for k in range(150)]
+    rows += [(300, "2024-03-05_" + "q7Zp2LxV9sTb4WmK8rYc"), (301, "2024-03-05/some_report-of-the-day"), (302, "1234567890abcdefghijklmnop"), (303, "x1234567890" + "k9Zp2LxV9sTb4WmK8rYcQ7"), (304, " ".join(f"q{i}Zp2LxV9sTb4WmK8rYc{i}" for i in range(700)))]
+    got = scan_secrets(docs_of(rows)).select("doc_id", "base", "spans").collect()
+    found = by_row((r.doc_id, sorted((s.start, s.end, s.kind) for s in r.spans if s.kind.startswith("entropy"))) for r in got)
+    assert found == by_row((i, entropy_of(t or "")) for i, t in rows)
+    assert sum(len(s) for _, s in found) > 800
+    assert scan_secrets(docs_of(rows).limit(0)).count() == 0
+
+
+def test_secret_scan_takes_time_by_length(docs_of):
+    """A candidate of a million characters, and twenty thousand matches in a text."""
+    import time
+
+    rng = np.random.default_rng(3)
+    blob = "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), 1_000_000))
+    many = " ".join(f"token=abcdefgh{i:05d}" for i in range(20_000))
+    start = time.time()
+    got = {r.doc_id: r for r in scan_secrets(docs_of([(1, blob), (2, many)])).collect()}
+    assert time.time() - start < 60
+    assert [(s.start, s.end, s.kind) for s in got[1].spans if s.kind == "entropy_base64"] == entropy_of(blob)
+    assert ",".join(f"{s.kind}:{s.start}:{s.end}" for s in got[2].base) == base_of(many)
+
+
 def test_entropy_spans_reach_beyond_base_spans(docs_of):
     head, tail = "k9Zp2LxV9sTb4WmK8rYcQ7-", "0f3a9c1e7b5d2846a0c90f3a9c1e7b5d"
     rows = [(1, head + tail), (2, f"x {head[:-1]}_token=abcdefgh12 y"), (3, f"x q7Zp2LxV9sTb4WmK8AKIAABCDEFGHIJKL y"), (4, f"token={head}")]
