@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from captionlake.config import ConfigError
 from captionlake.functions.text import chunk_suffix
 
 
@@ -18,10 +20,12 @@ def judge_scores(results: DataFrame, metrics: list[str]) -> DataFrame:
 
 
 def listed_findings(results: DataFrame, column: str, top: int = 10) -> DataFrame:
-    """Per label how many findings there are and the first ones, by position."""
+    """Per label how many findings there are and the first ones, by position (A19). Labels without any are left out; rows are cut before they are shuffled."""
     rows = results.select("label", "position", F.posexplode(column).alias("k", "finding"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("position", "k", "finding"))), lambda x: x["finding"])
-    return rows.groupBy("label").agg(F.count("*").alias("n"), F.slice(ordered, 1, top).alias("first"))
+    nth = F.row_number().over(Window.partitionBy("label").orderBy("position", "k"))
+    few = rows.withColumn("n", nth).where(F.col("n") <= top).groupBy("label").agg(F.array_sort(F.collect_list(F.struct("n", "finding"))).alias("f"))
+    counted = rows.groupBy("label").agg(F.count("*").alias("n"))
+    return counted.join(few, "label").select("label", "n", F.transform("f", lambda x: x["finding"]).alias("first"))
 
 
 def best_and_worst(results: DataFrame, by: Column, key: str) -> DataFrame:
@@ -32,13 +36,20 @@ def best_and_worst(results: DataFrame, by: Column, key: str) -> DataFrame:
 
 
 def sample_rows(rows: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows without replacement, the same ones for a seed: those with the smallest keyed hash."""
-    return rows.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    """``n`` rows without replacement, the same ones for a seed: those with the smallest keyed MD5."""
+    return rows.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)
 
 
 def sweep_grid(files: DataFrame, configs: DataFrame) -> DataFrame:
-    """Every file with every configuration (J11); configurations are a handful."""
-    return files.crossJoin(F.broadcast(configs))
+    """Every file with every configuration (J11); configurations are a handful, which is checked."""
+    return files.crossJoin(F.broadcast(a_handful(configs)))
+
+
+def a_handful(rows: DataFrame, most: int = 10_000) -> DataFrame:
+    """Rows that a person configured, checked to be no more than ``most``."""
+    if rows.limit(most + 1).count() > most:
+        raise ConfigError(f"more than {most} configured rows")
+    return rows
 
 
 def resolve_configs(configs: list[dict], defaults: dict) -> list[dict]:
@@ -85,6 +96,19 @@ def pivot_table(rows: DataFrame, row: str, column: str, value: str, columns: lis
     return table.select(row, *[F.coalesce(F.col(f"`{c}`"), F.lit("-")).alias(c) for c in columns])
 
 
+def metric_table(scores: DataFrame, metrics: list[str], labels: list[str]) -> DataFrame:
+    """Mean scores (:func:`judge_scores`) as ``metric`` by label to two places, and the label that is best at each; ties go to the first by name."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"avg_{m}").alias("v")) for m in metrics]))
+    rows = scores.select("label", pairs.alias("p")).select("label", "p.*")
+    best = rows.groupBy("metric").agg(F.min_by("label", F.struct((-F.col("v")).alias("v"), "label")).alias("best"))
+    return pivot_table(rows.withColumn("v", F.round("v", 2)), "metric", "label", "v", labels).join(best, "metric")
+
+
+def distinct_values(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """Per key the number of distinct values and the values in order (A21). Values are configured names: models, labels, sources."""
+    return rows.where(F.col(value).isNotNull()).select(key, value).distinct().groupBy(key).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(value)).alias("values"))
+
+
 def render(table: DataFrame) -> str:
     """A small result as an aligned text table."""
     rows = [table.columns, *[["-" if v is None else str(v) for v in r] for r in table.collect()]]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from captionlake.config import QualityParams
+from captionlake.operators.evaluation import a_handful
 
 #: Fixed value: what stands where a group flagged nothing.
 UNFLAGGED = "(未標記)"
@@ -72,8 +73,8 @@ def model_latency(timings: DataFrame) -> DataFrame:
 
 
 def review_grid(windows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Every window with every (group, model): the calls to make (J13). ``groups`` is a handful of configured rows."""
-    return windows.crossJoin(F.broadcast(groups))
+    """Every window with every (group, model): the calls to make (J13). ``groups`` is a handful of configured rows, which is checked."""
+    return windows.crossJoin(F.broadcast(a_handful(groups)))
 
 
 def window_prompt(windows: DataFrame, entries: DataFrame) -> DataFrame:
@@ -92,3 +93,11 @@ def consensus_listing(flags: DataFrame, entries: DataFrame, groups: list[str]) -
     said = flags.groupBy("file_id", "idx").pivot("group_label", groups).agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "severity", "issue"))), "; "))
     said = said.select("file_id", "idx", *[F.coalesce(F.nullif(F.col(f"`{g}`"), F.lit("")), F.lit(UNFLAGGED)).alias(g) for g in groups])
     return entries.join(said, ["file_id", "idx"])
+
+
+def group_report(flags: DataFrame, group: str) -> DataFrame:
+    """Per file of one group: flagged lines, problems among them, and the lines as text in order."""
+    rows = flag_rollup(flags.where(F.col("group_label") == group))
+    line = F.struct("idx", F.concat_ws(" ", F.concat(F.lit("["), (F.col("idx") + 1).cast("string"), F.lit("]")), "verdict").alias("t"))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["t"]), "\n")
+    return rows.groupBy("file_id").agg(F.count("*").alias("lines"), F.count_if(F.col("verdict") == "problem").alias("problems"), listed.alias("report"))

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from captionlake.config import WatchParams
 from captionlake.functions.text import age_seconds, normalize_error, ratio
+from captionlake.operators.ordered import mean_of_last, place, running
 from captionlake.schemas import ACTIVE, FAILED, NEXT_PHASE, QUEUED, TRANSITIONS
 
 
@@ -47,11 +48,14 @@ def latest_status(events: DataFrame) -> DataFrame:
     return events.groupBy("file_id").agg(F.max_by(F.struct("status", "ts"), F.struct("ts", "seq")).alias("s")).select("file_id", "s.status", F.col("s.ts").alias("last_updated"))
 
 
-def status_histogram(files: DataFrame) -> DataFrame:
-    """Files by status with the five smallest ids of each."""
-    rows = files.withColumn("k", F.row_number().over(Window.partitionBy("status").orderBy("file_id")))
-    first = F.when(F.col("k") <= 5, F.col("file_id"))
-    return rows.groupBy("status").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list(first)).cast("array<string>"), ",").alias("first_ids"))
+def status_histogram(files: DataFrame, first: int = 5) -> DataFrame:
+    """Files by status with the smallest ids of each (A06, O06). Counts are combined, and ids cut, before they are shuffled."""
+    nth = F.row_number().over(Window.partitionBy("status").orderBy("file_id"))
+    few = files.select("status", "file_id").withColumn("k", nth).where(F.col("k") <= first)
+    named = few.groupBy("status").agg(F.array_join(F.array_sort(F.collect_list("file_id")).cast("array<string>"), ",").alias("first_ids"))
+    counted = files.groupBy("status").agg(F.count("*").alias("n"))
+    named = named.withColumnRenamed("status", "_status")
+    return counted.join(named, F.col("status").eqNullSafe(F.col("_status")), "left").drop("_status")
 
 
 def success_rate(files: DataFrame) -> DataFrame:
@@ -61,19 +65,29 @@ def success_rate(files: DataFrame) -> DataFrame:
 
 
 def stuck_files(files: DataFrame, as_of: Column, params: WatchParams = WatchParams()) -> DataFrame:
-    """Active files, not owned by anyone, older than the limit: they go back to undone without a retry."""
+    """Active files that nobody owns, older than the limit: they go back to undone without a retry (T03). ``owner``, if there is one, names who works on a file."""
     age = age_seconds(F.col("last_updated"), as_of)
-    rows = files.where(F.col("status").isin(ACTIVE)).withColumn("age_sec", age).where(F.col("age_sec") > params.stuck_sec)
+    free = F.col("owner").isNull() if "owner" in files.columns else F.lit(True)
+    rows = files.where(F.col("status").isin(ACTIVE) & free).withColumn("age_sec", age).where(F.col("age_sec") > params.stuck_sec)
     return rows.withColumn("new_status", F.lit("undone"))
 
 
 def watchdog(files: DataFrame, as_of: Column, params: WatchParams = WatchParams()) -> DataFrame:
-    """Timeouts of (status, last_updated, retry_count): any state at work that is old goes back with a retry, or fails for good."""
+    """Timeouts of (status, last_updated, retry_count): any state at work that is old goes back with a retry, or fails for good.
+
+    Where files have an ``error_log``, a timeout is added to it as ``new_error_log``.
+    """
     watched = ~F.col("status").isin("undone", "done", "failed_permanent", *QUEUED)
-    old = watched & (age_seconds(F.col("last_updated"), as_of) >= params.stuck_sec)
+    age = age_seconds(F.col("last_updated"), as_of)
+    old = F.coalesce(watched & (age >= params.stuck_sec), F.lit(False))
     retries = F.col("retry_count") + F.when(old, 1).otherwise(0)
     new = F.when(old & (retries >= params.max_retries), "failed_permanent").when(old, "undone").otherwise(F.col("status"))
-    return files.select("*", F.coalesce(old, F.lit(False)).alias("timed_out"), new.alias("new_status"), retries.alias("new_retry_count"))
+    columns = ["*", old.alias("timed_out"), new.alias("new_status"), retries.alias("new_retry_count")]
+    if "error_log" in files.columns:
+        entry = F.struct(F.date_format(as_of.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss").alias("time"), F.col("status").alias("from_status"), F.format_string("timeout in '%s' after %ss", "status", F.floor(age).cast("string")).alias("error"), F.lit(None).cast("string").alias("used_model"))
+        log = F.coalesce("error_log", F.array().cast(files.schema["error_log"].dataType))
+        columns.append(F.when(old, F.array_append(log, entry)).otherwise(log).alias("new_error_log"))
+    return files.select(*columns)
 
 
 def next_phase(status: Column) -> Column:
@@ -83,8 +97,7 @@ def next_phase(status: Column) -> Column:
 
 def slot_allocation(waiting: DataFrame, slots: int) -> DataFrame:
     """First come, first served: (phase, file_id, arrival) with place in line and whether it gets a slot."""
-    order = Window.partitionBy("phase").orderBy("arrival", "file_id")
-    return waiting.withColumn("place", F.row_number().over(order)).withColumn("granted", F.col("place") <= slots)
+    return place(waiting, ["phase"], ["arrival", "file_id"]).withColumn("granted", F.col("place") <= slots)
 
 
 def retry_candidates(chunks: DataFrame, params: WatchParams = WatchParams()) -> DataFrame:
@@ -102,9 +115,8 @@ def chunk_retry_outcome(chunks: DataFrame) -> DataFrame:
 
 def consecutive_failures(events: DataFrame, limit: int = 3) -> DataFrame:
     """Running count of failures per key that warns and starts anew at the limit."""
-    order = Window.partitionBy("key").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    n = F.sum(F.col("failed").cast("int")).over(order)
-    return events.withColumn("failures", n % limit).withColumn("warned", F.col("failed") & (n % limit == 0))
+    rows = running(events, ["key"], ["ts", "seq"], {"_n": F.col("failed").cast("bigint")})
+    return rows.withColumn("failures", F.col("_n") % limit).withColumn("warned", F.col("failed") & (F.col("_n") % limit == 0)).drop("_n")
 
 
 def progress(chunks: DataFrame) -> DataFrame:
@@ -113,6 +125,17 @@ def progress(chunks: DataFrame) -> DataFrame:
     return files.agg(F.count_if("done").alias("files_done"), F.count_if("failed").alias("files_failed"), F.count("*").alias("files"), F.sum("ok").alias("chunks_done"), F.sum("bad").alias("chunks_failed"), F.sum("n").alias("chunks"))
 
 
+def progress_by_model(chunks: DataFrame, top: int = 3) -> DataFrame:
+    """Per model the chunks done and failed, and the most frequent messages of its errors by count, then text (A23). ``chunks`` have model_used, status and errors (array of texts)."""
+    model = F.coalesce("model_used", F.lit("?")).alias("model")
+    counted = chunks.groupBy(model).agg(F.count_if(F.col("status") == "done").alias("success"), F.count_if(F.col("status").isin(FAILED)).alias("fail"))
+    said = chunks.select(model, F.explode("errors").alias("message")).groupBy("model", "message").agg(F.count("*").alias("n"))
+    nth = F.row_number().over(Window.partitionBy("model").orderBy(F.col("n").desc(), "message"))
+    few = said.withColumn("k", nth).where(F.col("k") <= top).groupBy("model").agg(F.array_sort(F.collect_list(F.struct("k", "message", "n"))).alias("_t"))
+    texts = F.transform("_t", lambda x: F.concat_ws(" x", x["message"], x["n"].cast("string")))
+    return counted.join(few, "model", "left").select("model", "success", "fail", F.coalesce(texts, F.array().cast("array<string>")).alias("top_errors"))
+
+
 def throughput_delta(snapshots: DataFrame) -> DataFrame:
     """Chunks a minute since the snapshot before, per series of (series, ts, done); zero if no time passed."""
     order = Window.partitionBy("series").orderBy("ts")
@@ -123,12 +146,12 @@ def throughput_delta(snapshots: DataFrame) -> DataFrame:
     return snapshots.select("series", "ts", "done", F.coalesce(delta, F.lit(0)).alias("delta"), F.coalesce(rate, F.lit(0.0)).alias("per_minute"))
 
 
-def health_metrics(calls: DataFrame) -> DataFrame:
+def health_metrics(calls: DataFrame, last: int = 100) -> DataFrame:
     """Per key the running success and error rates and the mean of the last hundred latencies."""
-    run = Window.partitionBy("key").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    last = Window.partitionBy("key").orderBy("ts", "seq").rowsBetween(-99, 0)
-    ok = F.avg(F.when(F.col("failed"), 0.0).otherwise(1.0)).over(run)
-    return calls.select("*", ok.alias("success_rate"), (1 - ok).alias("error_rate"), F.avg("latency_ms").over(last).alias("mean_latency_ms"))
+    rows = running(calls, ["key"], ["ts", "seq"], {"_k": F.lit(1).cast("bigint"), "_ok": F.when(F.col("failed"), 0).otherwise(1).cast("bigint")})
+    ok = F.col("_ok") / F.col("_k")
+    rows = mean_of_last(rows, ["key"], "_k", "latency_ms", "mean_latency_ms", last)
+    return rows.select(*calls.columns, ok.alias("success_rate"), (1 - ok).alias("error_rate"), "mean_latency_ms")
 
 
 def error_patterns(errors: DataFrame, top: int = 10) -> DataFrame:

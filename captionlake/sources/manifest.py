@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from captionlake.functions.text import base_name, stem
+from captionlake.operators.ordered import place
 from captionlake.operators.summaries import GateError
 from captionlake.sources.srt import numbered
 
@@ -55,8 +55,18 @@ def lookup(manifest: DataFrame, file_id: int) -> DataFrame:
 
 def batch_range(manifest: DataFrame, start: int, end: int) -> DataFrame:
     """Entries by position, both ends included."""
-    position = F.row_number().over(Window.orderBy("id")) - 1
-    return manifest.withColumn("position", position).where(F.col("position").between(start, end))
+    return place(manifest, [], ["id"], "position").withColumn("position", F.col("position") - 1).where(F.col("position").between(start, end))
+
+
+def latest_file(spark: SparkSession, path: str, pattern: str) -> str | None:
+    """The path of the file below ``path`` that was changed last; of several the last by name; none if there is none."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path).select("path", F.col("modificationTime").alias("at"))
+    return latest(found).first()[0]
+
+
+def latest(files: DataFrame) -> DataFrame:
+    """The path with the greatest (at, path), as one row, null without files."""
+    return files.agg(F.max_by("path", F.struct("at", "path")).alias("path"))
 
 
 def expand_ids(spec: str) -> list[int]:

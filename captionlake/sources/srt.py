@@ -7,30 +7,38 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from captionlake.functions.text import TIME_RANGE, strip
+from captionlake.operators.ordered import place
 
 MAX_BYTES = 50 * 1024 * 1024
 
 
 def decoded(content: Column) -> Column:
-    """UTF-8, or Big5 where the bytes are not UTF-8 (the session must allow Java charsets for that)."""
+    """UTF-8, or Big5 where the bytes are not UTF-8 (resolved where the session allows Java charsets)."""
     return F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(F.decode(content, "Big5"))
 
 
 def read_srt(spark: SparkSession, path: str, max_bytes: int = MAX_BYTES) -> DataFrame:
     """Entries of all ``*.srt`` files below ``path``; ``file_id`` is their 0-based place by path.
 
-    A file above ``max_bytes`` fails the query. Big5 needs a session flag, which is set here.
+    A file above ``max_bytes`` fails the query. Big5 needs a session flag while the plan is resolved;
+    the session's own value is put back.
     """
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.srt").option("recursiveFileLookup", "true").load(path)
     size_ok = F.when(F.col("length") > max_bytes, F.raise_error(F.concat(F.lit("subtitle file too large: "), F.col("path")))).otherwise(F.col("content"))
-    ids = numbered(files.select("path"))
-    return parse_srt(files.join(ids, "path").select("file_id", decoded(size_ok).alias("content")))
+    found = files.join(numbered(files.select("path")), "path")
+    flag = "spark.sql.legacy.javaCharsets"
+    before = spark.conf.get(flag, "false")
+    spark.conf.set(flag, "true")
+    try:
+        texts = found.select("file_id", decoded(size_ok).alias("content"))
+    finally:
+        spark.conf.set(flag, before)
+    return parse_srt(texts)
 
 
 def numbered(paths: DataFrame) -> DataFrame:
-    """(file_id, path) with 0-based ids in order of path. Ids span all files, which are few next to their lines."""
-    return paths.select((F.row_number().over(Window.orderBy("path")) - 1).cast("bigint").alias("file_id"), "path")
+    """(file_id, path) with 0-based ids in order of path."""
+    return place(paths.select("path"), [], ["path"], "file_id").select((F.col("file_id") - 1).alias("file_id"), "path")
 
 
 def parse_srt(files: DataFrame, strict: bool = True) -> DataFrame:

@@ -29,12 +29,15 @@ def idle_files(events: DataFrame, params: WatchParams = WatchParams(), late: str
     return rows.select("file_id", F.col("session_window.end").alias("idle_since"), "status", "n")
 
 
-def upsert_stream(stream: DataFrame, table: VersionedTable, key: str, checkpoint: str, params: WatchParams = WatchParams(), once: bool = False) -> StreamingQuery:
-    """Keep the last row of each key in a versioned table; a batch that runs again changes nothing more."""
+def upsert_stream(stream: DataFrame, table: VersionedTable, key: str, checkpoint: str, params: WatchParams = WatchParams(), once: bool = False, order: list[str] | None = None) -> StreamingQuery:
+    """Keep the last row of each key, by ``order`` (``ts`` alone if none is given), in a versioned table.
+
+    A batch that runs again, after it was lost at any moment, changes nothing more (T09): it upserts the same rows.
+    """
 
     def put(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
-            last = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), "ts").alias("r")).select("r.*")
+            last = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), F.struct(*(order or ["ts"]))).alias("r")).select("r.*")
             table.upsert(last, key)
 
     writer = stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
