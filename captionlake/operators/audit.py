@@ -1,4 +1,4 @@
-"""The six audit dimensions as issue rows and scores per batch file (A-F), each one a select over exploded facts."""
+"""The six audit dimensions as issue rows and scores per batch file (A-F), most of them one projection of a file."""
 
 from __future__ import annotations
 
@@ -9,22 +9,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from captionlake.config import AuditParams
-from captionlake.functions.text import age_seconds, utc_timestamp
+from captionlake.functions.text import age_seconds, per_second, utc_timestamp
+from captionlake.operators.ordered import place
 from captionlake.schemas import ACTIVE, CHUNK_STATES, FAILED, STATES, TERMINAL
 
 REQUIRED = ["file_id", "status", "last_updated", "retry_count", "chunks"]
 
 #: The messages of issues.
 MESSAGES = {
-    "A1": "Missing required fields: %s",
-    "A2 unknown": "Unknown file status: '%s'",
+    "A1": "Missing required fields: {%s}",
+    "A2 unknown": "Unknown file status: '%s",
     "A2 empty": "Empty file status",
     "A3 missing": "Missing last_updated",
     "A3 invalid": "Invalid timestamp: %s",
+    "A4 list": "'chunks' is not a list",
+    "A4 object": "chunks[%s] is not a dict",
     "A4 id": "chunks[%s] missing chunk_id",
     "A4 status": "chunks[%s] unknown status: '%s'",
     "B1": "Cannot compute last_updated age",
-    "B2 stuck": "Stuck in '%s' for %ss",
+    "B2 stuck": "Stuck in '%s' for %ss (>%ss)",
     "B2 near": "Near-stuck in '%s' for %ss",
     "B3": "Non-terminal status '%s' untouched for %ss",
     "B4 summary": "Done but diagnostics.summary missing",
@@ -38,100 +41,156 @@ MESSAGES = {
     "D2": "Duplicate chunk_id=%s",
     "D3 file": "File retry_count=%s exceeds max %s",
     "D3 chunk": "chunks[%s] retry_count=%s exceeds max %s",
-    "D4": "Status counts sum to %s of %s",
+    "D4": "Chunk status sum (%s+%s+%s) != total (%s)",
     "E1": "Overall failure rate is %s%% (%s/%s)",
     "E2": "Model '%s' success rate is %s%% (%s/%s)",
-    "F0": "Master manifest not found, skipping cross-file check",
+    "F0": "Master manifest not found at '%s', skipping cross-file check",
     "F1": "file_id %s not found in master_file_manifest",
     "F2": "Files in manifest but not in this batch: [%s]...",
 }
+#: Manifest ids that an F2 issue names.
+NAMED = 10
 
 
 def _say(key: str, *values: Column | str) -> Column:
     return F.format_string(MESSAGES[key], *[(v if isinstance(v, Column) else F.lit(v)).cast("string") for v in values])
 
 
-def _issue(rows: DataFrame, when: Column, severity: str | Column, check: str, msg: Column) -> DataFrame:
-    severity = F.lit(severity) if isinstance(severity, str) else severity
-    return rows.where(when).select("batch", "file_id", severity.alias("severity"), F.lit(check).alias("check"), msg.alias("msg"))
+def _issue(severity: str | Column, check: str, msg: Column, when: Column | None = None) -> Column:
+    """An issue as a struct, null where ``when`` does not hold."""
+    found = F.struct((F.lit(severity) if isinstance(severity, str) else severity).alias("severity"), F.lit(check).alias("check"), msg.alias("msg"))
+    return found if when is None else F.when(when, found)
 
 
-def audit_issues(files: DataFrame, as_of: Column, manifest: DataFrame | None = None, params: AuditParams = AuditParams()) -> DataFrame:
-    """Issues (batch, file_id, severity, check, msg) of file status rows.
-
-    ``files``: batch, file_id, status, last_updated (ISO text), retry_count, total_chunks, missing (names
-    of absent required fields), chunks (array of structs with chunk_id, status, model_used, retry_count,
-    has_error), has_error_log, has_diagnostics, has_summary, models (map of success/fail counts).
-    ``manifest``: file_id; without it dimension F says only that it was skipped.
-    """
-    files = files.withColumn("age", age_seconds(utc_timestamp(F.col("last_updated")), as_of))
-    status, age, limit = F.col("status"), F.col("age"), str(params.max_retries)
+def _file_issues(age: Column, params: AuditParams) -> list[Column]:
+    status, limit = F.col("status"), str(params.max_retries)
     blank, whole_age = F.coalesce(status, F.lit("")) == "", F.bround(age, 0).cast("bigint")
     total, n_chunks = F.coalesce("total_chunks", F.lit(0)), F.size("chunks")
     no_time = F.when(F.coalesce("last_updated", F.lit("")) == "", _say("A3 missing")).otherwise(_say("A3 invalid", F.col("last_updated")))
     stuck = age > params.stuck_sec
-    out = [
-        _issue(files, F.size("missing") > 0, "ERROR", "A1", _say("A1", F.array_join(F.array_sort("missing"), ", "))),
-        _issue(files, ~blank & ~status.isin(STATES), "ERROR", "A2", _say("A2 unknown", status)),
-        _issue(files, blank, "WARN", "A2", _say("A2 empty")),
-        _issue(files, age.isNull(), "WARN", "A3", no_time),
-        _issue(files, age.isNull(), "WARN", "B1", _say("B1")),
-        _issue(files, status.isin(ACTIVE) & (age > params.warn_sec), F.when(stuck, "ERROR").otherwise("WARN"), "B2", F.when(stuck, _say("B2 stuck", status, whole_age)).otherwise(_say("B2 near", status, whole_age))),
-        _issue(files, ~status.isin(TERMINAL) & (age > params.stale_sec), "WARN", "B3", _say("B3", status, whole_age)),
-        _issue(files, (status == "done") & age.isNotNull() & ~F.col("has_summary"), "WARN", "B4", F.when(F.col("has_diagnostics"), _say("B4 summary")).otherwise(_say("B4 block"))),
-        _issue(files, status.isin(FAILED) & ~F.col("has_error_log"), "WARN", "C4", _say("C4")),
-        _issue(files, total != n_chunks, "ERROR", "D1", _say("D1", total, n_chunks)),
-        _issue(files, F.col("retry_count") > params.max_retries, "WARN", "D3", _say("D3 file", F.col("retry_count"), limit)),
+    names = F.array_join(F.transform(F.array_sort("missing"), lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", ")
+    return [
+        _issue("ERROR", "A1", _say("A1", names), F.size("missing") > 0),
+        _issue("ERROR", "A2", _say("A2 unknown", status), ~blank & ~status.isin(STATES)),
+        _issue("WARN", "A2", _say("A2 empty"), blank),
+        _issue("WARN", "A3", no_time, age.isNull()),
+        _issue("ERROR", "A4", _say("A4 list"), ~F.col("chunks_listed")),
+        _issue("WARN", "B1", _say("B1"), age.isNull()),
+        _issue(F.when(stuck, "ERROR").otherwise("WARN"), "B2", F.when(stuck, _say("B2 stuck", status, whole_age, str(params.stuck_sec))).otherwise(_say("B2 near", status, whole_age)), status.isin(ACTIVE) & (age > params.warn_sec)),
+        _issue("WARN", "B3", _say("B3", F.coalesce(status, F.lit("")), whole_age), ~F.coalesce(status, F.lit("")).isin(TERMINAL) & (age > params.stale_sec)),
+        _issue("WARN", "B4", F.when(F.col("has_diagnostics"), _say("B4 summary")).otherwise(_say("B4 block")), (status == "done") & age.isNotNull() & ~F.col("has_summary")),
+        _issue("WARN", "C4", _say("C4"), status.isin(FAILED) & ~F.col("has_error_log")),
+        _issue("ERROR", "D1", _say("D1", total, n_chunks), total != n_chunks),
+        _issue("WARN", "D3", _say("D3 file", F.col("retry_count"), limit), F.col("retry_count") > params.max_retries),
     ]
-    chunks = files.select("batch", "file_id", F.posexplode("chunks").alias("ci", "c")).select("batch", "file_id", "ci", "c.*")
-    ci, failed = F.col("ci"), status.isin(FAILED)
-    nth = F.row_number().over(Window.partitionBy("batch", "file_id", "chunk_id").orderBy("ci"))
-    out += [
-        _issue(chunks, F.col("chunk_id").isNull(), "WARN", "A4", _say("A4 id", ci)),
-        _issue(chunks, (F.coalesce(status, F.lit("")) != "") & ~status.isin(CHUNK_STATES), "WARN", "A4", _say("A4 status", ci, status)),
-        _issue(chunks, failed & ~F.col("has_error"), "WARN", "C1", _say("C1", ci)),
-        _issue(chunks, failed & (F.coalesce("model_used", F.lit("")) == ""), "WARN", "C2", _say("C2", ci)),
-        _issue(chunks, failed & (F.coalesce("retry_count", F.lit(0)) == 0), "WARN", "C3", _say("C3", ci)),
-        _issue(chunks.where("chunk_id IS NOT NULL").withColumn("nth", nth), F.col("nth") > 1, "ERROR", "D2", _say("D2", F.col("chunk_id"))),
-        _issue(chunks, F.col("retry_count") > params.max_retries, "WARN", "D3", _say("D3 chunk", ci, F.col("retry_count"), limit)),
+
+
+def _chunk_issues(c: Column, ci: Column, params: AuditParams) -> list[Column]:
+    status = F.coalesce(c["status"], F.lit(""))
+    failed = c["is_object"] & status.isin(FAILED)
+    return [
+        _issue("ERROR", "A4", _say("A4 object", ci), ~c["is_object"]),
+        _issue("WARN", "A4", _say("A4 id", ci), c["is_object"] & ~c["has_id"]),
+        _issue("WARN", "A4", _say("A4 status", ci, status), c["is_object"] & (status != "") & ~status.isin(CHUNK_STATES)),
+        _issue("WARN", "C1", _say("C1", ci), failed & ~F.coalesce(c["has_error"], F.lit(False))),
+        _issue("WARN", "C2", _say("C2", ci), failed & (F.coalesce(c["model_used"], F.lit("")) == "")),
+        _issue("WARN", "C3", _say("C3", ci), failed & (F.coalesce(c["retry_count"], F.lit(0)) == 0)),
+        _issue("WARN", "D3", _say("D3 chunk", ci, c["retry_count"], str(params.max_retries)), c["retry_count"] > params.max_retries),
     ]
-    sums = chunks.groupBy("batch", "file_id").agg(F.count("*").alias("n"), F.count_if((status == "done") | failed | status.isin("pending", "undone")).alias("known"))
-    out.append(_issue(sums, F.col("known") != F.col("n"), "WARN", "D4", _say("D4", F.col("known"), F.col("n"))))
-    actual = chunks.groupBy("batch", "file_id", F.coalesce("model_used", F.lit("?")).alias("m")).agg(F.count_if(status == "done").alias("ok"), F.count_if(failed).alias("bad")).where("ok + bad > 0")
-    told = actual.join(files.where("has_summary").select("batch", "file_id", "models"), ["batch", "file_id"])
-    said, zero = F.try_element_at("models", F.col("m")), F.lit(0).cast("bigint")
-    ok, bad = F.coalesce(said["success"], zero), F.coalesce(said["fail"], zero)
-    out.append(_issue(told, (ok != F.col("ok")) | (bad != F.col("bad")), "WARN", "C5", _say("C5", F.col("m"), ok, bad, F.col("ok"), F.col("bad"))))
-    out += _model_issues(chunks, params)
+
+
+def _duplicate_issues() -> Column:
+    """An issue for each chunk id but the first of its like, by a sort of the file's chunks."""
+    ids = F.array_sort(F.filter(F.transform("chunks", lambda c, i: F.struct(c["chunk_id"].alias("id"), i.alias("i"))), lambda x: x["id"].isNotNull()))
+    sorted_ids = F.transform(F.array(ids), lambda a: F.transform(a, lambda x, k: F.struct(x["id"].alias("id"), F.when(k > 0, F.get(a, k - 1)["id"]).alias("before"))))[0]
+    return F.transform(F.filter(sorted_ids, lambda x: x["id"] == x["before"]), lambda x: _issue("ERROR", "D2", _say("D2", x["id"])))
+
+
+def _sum_issue() -> Column:
+    count = lambda test: F.size(F.filter("chunks", lambda c: test(F.coalesce(c["status"], F.lit("")))))
+    done, failed, waiting = count(lambda s: s == "done"), count(lambda s: s.isin(FAILED)), count(lambda s: s.isin("pending", "undone"))
+    return _issue("WARN", "D4", _say("D4", done, failed, waiting, F.size("chunks")), done + failed + waiting != F.size("chunks"))
+
+
+def _mismatch_issues() -> Column:
+    """What a file's diagnostics say of its models against its chunks; models in order of name."""
+    named = F.transform(F.filter("chunks", lambda c: c["is_object"]), lambda c: F.struct(F.coalesce(c["model_used"], F.lit("?")).alias("m"), F.coalesce(c["status"], F.lit("")).alias("s")))
+    models = F.array_sort(F.array_distinct(F.transform(F.filter(named, lambda x: (x["s"] == "done") | x["s"].isin(FAILED)), lambda x: x["m"])))
+
+    def one(m: Column) -> Column:
+        said, zero = F.try_element_at("models", m), F.lit(0).cast("bigint")
+        told = F.struct(F.coalesce(said["success"], zero).alias("ok"), F.coalesce(said["fail"], zero).alias("bad"))
+        count = lambda test: F.size(F.filter(named, lambda x: (x["m"] == m) & test(x["s"])))
+        ok, bad = count(lambda s: s == "done"), count(lambda s: s.isin(FAILED))
+        return _issue("WARN", "C5", _say("C5", m, told["ok"], told["bad"], ok, bad), (told["ok"] != ok) | (told["bad"] != bad))
+
+    return F.when(F.col("has_summary"), F.transform(models, one))
+
+
+def _with_shapes(files: DataFrame) -> DataFrame:
+    """``files`` with the columns and fields on shapes, where a caller leaves them out: all is as it should be."""
+    names = files.schema["chunks"].dataType.elementType.names
+    plain = F.transform("chunks", lambda c: F.struct(*[c[n].alias(n) for n in names], *([] if "is_object" in names else [F.lit(True).alias("is_object")]), *([] if "has_id" in names else [c["chunk_id"].isNotNull().alias("has_id")])))
+    files = files.withColumn("chunks", F.coalesce(plain, F.array().cast(files.select(plain.alias("c")).schema["c"].dataType)))
+    return files if "chunks_listed" in files.columns else files.withColumn("chunks_listed", F.lit(True))
+
+
+def audit_issues(files: DataFrame, as_of: Column, manifest: DataFrame | None = None, params: AuditParams = AuditParams(), manifest_path: str = "") -> DataFrame:
+    """Issues (batch, file_id, severity, check, msg) of file status rows.
+
+    ``files``: batch, file_id, status, last_updated (ISO text), retry_count, total_chunks, missing (names
+    of absent required fields), chunks (array of structs with chunk_id, status, model_used, retry_count,
+    has_error; optionally is_object and has_id), has_error_log, has_diagnostics, has_summary, models (map
+    of success/fail counts), optionally chunks_listed. ``manifest``: file_id; without it dimension F says
+    only that it was skipped. Absent error detail counts as none.
+
+    Dimensions A to D are one projection of each file; E is one aggregation, F two joins by file.
+    """
+    files = _with_shapes(files)
+    blank = F.array().cast("array<struct<severity:string,check:string,msg:string>>")
+    per_chunk = F.flatten(F.transform("chunks", lambda c, i: F.array(*_chunk_issues(c, i, params))))
+    found = F.concat(F.array(*_file_issues(F.col("_age"), params), _sum_issue()), per_chunk, _duplicate_issues(), F.coalesce(_mismatch_issues(), blank))
+    aged = files.withColumn("_age", age_seconds(utc_timestamp(F.col("last_updated")), as_of))
+    own = aged.select("batch", "file_id", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("x")).select("batch", "file_id", "x.*")
+    nobody = F.lit(None).cast(files.schema["file_id"].dataType).alias("file_id")
+    out = [own, _model_issues(files, params).select("batch", nobody, "x.*")]
     if manifest is None:
-        out.append(files.groupBy("batch").agg(F.lit(None).cast(files.schema["file_id"].dataType).alias("file_id"), F.lit("INFO").alias("severity"), F.lit("F0").alias("check"), _say("F0").alias("msg")))
+        out.append(files.groupBy("batch").agg(nobody, F.lit("INFO").alias("severity"), F.lit("F0").alias("check"), _say("F0", manifest_path).alias("msg")))
     else:
-        known = manifest.select("file_id").distinct()
-        out.append(_issue(files.join(known, "file_id", "left_anti"), F.col("file_id").isNotNull(), "ERROR", "F1", _say("F1", F.col("file_id"))))
-        out.append(_missing_from_batch(files, known))
+        known = manifest.select("file_id").where("file_id IS NOT NULL").distinct()
+        strangers = files.where("file_id IS NOT NULL").join(known, "file_id", "left_anti")
+        out.append(strangers.select("batch", "file_id", _issue("ERROR", "F1", _say("F1", F.col("file_id"))).alias("x")).select("batch", "file_id", "x.*"))
+        out.append(_missing_from_batch(files, known).select("batch", nobody, "x.*"))
     return reduce(DataFrame.unionByName, out)
 
 
-def _model_issues(chunks: DataFrame, params: AuditParams) -> list[DataFrame]:
-    status = F.col("status")
-    by_model = chunks.groupBy("batch", F.coalesce("model_used", F.lit("?")).alias("m")).agg(F.count_if(status == "done").alias("ok"), F.count_if(status.isin(FAILED)).alias("bad")).withColumn("file_id", F.lit(None).cast("bigint"))
-    overall = by_model.groupBy("batch").agg(F.sum("ok").alias("ok"), F.sum("bad").alias("bad"), F.max("file_id").alias("file_id"))
-    total = F.col("ok") + F.col("bad")
-    pct = lambda n: F.bround(100 * n / F.greatest(total, F.lit(1)), 1).cast("string")
-    e1 = _issue(overall, F.col("bad") > params.max_failure_rate * total, "WARN", "E1", _say("E1", pct(F.col("bad")), F.col("bad"), total))
-    low = (total >= params.min_model_total) & (F.col("ok") < params.min_model_success * total)
-    e2 = _issue(by_model, low, "ERROR", "E2", _say("E2", F.col("m"), pct(F.col("ok")), F.col("ok"), total))
-    return [e1, e2]
+def _model_issues(files: DataFrame, params: AuditParams) -> DataFrame:
+    chunks = files.select("batch", F.explode("chunks").alias("c")).where("c.is_object")
+    status = F.coalesce("c.status", F.lit(""))
+    by_model = chunks.groupBy("batch", F.coalesce("c.model_used", F.lit("?")).alias("m")).agg(F.count_if(status == "done").alias("ok"), F.count_if(status.isin(FAILED)).alias("bad"))
+    rows = by_model.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("m", "ok", "bad"))).alias("models"), F.sum("ok").alias("ok"), F.sum("bad").alias("bad"))
+    total = lambda x: x["ok"] + x["bad"]
+    pct = lambda n, of: F.bround(100 * n / F.greatest(of, F.lit(1)), 1).cast("string")
+    whole = {"ok": F.col("ok"), "bad": F.col("bad")}
+    e1 = _issue("WARN", "E1", _say("E1", pct(whole["bad"], total(whole)), whole["bad"], total(whole)), whole["bad"] > params.max_failure_rate * total(whole))
+    e2 = lambda x: _issue("ERROR", "E2", _say("E2", x["m"], pct(x["ok"], total(x)), x["ok"], total(x)), (total(x) >= params.min_model_total) & (x["ok"] < params.min_model_success * total(x)))
+    found = F.concat(F.array(e1), F.transform("models", e2))
+    return rows.select("batch", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("x"))
 
 
 def _missing_from_batch(files: DataFrame, known: DataFrame) -> DataFrame:
-    """The first ten manifest ids that each batch lacks, as one issue per batch (F2)."""
-    batches = files.select("batch").distinct()  # a handful of status documents
-    lacking = known.join(F.broadcast(batches)).join(files.select("batch", "file_id"), ["batch", "file_id"], "left_anti")
-    place = F.row_number().over(Window.partitionBy("batch").orderBy("file_id"))
-    first = lacking.withColumn("place", place).where("place <= 10").groupBy("batch").agg(F.array_join(F.array_sort(F.collect_list("file_id")).cast("array<string>"), ", ").alias("ids"))
-    msg = _say("F2", F.col("ids"))
-    return first.select("batch", F.lit(None).cast(files.schema["file_id"].dataType).alias("file_id"), F.lit("INFO").alias("severity"), F.lit("F2").alias("check"), msg.alias("msg"))
+    """The first manifest ids that each batch lacks, as one issue per batch (F2).
+
+    A batch of k files lacks ``NAMED`` of the first k + ``NAMED`` manifest ids, if it lacks so many, so
+    each batch meets only these, by their place.
+    """
+    own = files.where("file_id IS NOT NULL").select("batch", "file_id").distinct()
+    sizes = files.select("batch").distinct().join(own.groupBy("batch").agg(F.count("*").alias("k")), "batch", "left")
+    asked = sizes.select("batch", F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("k", F.lit(0)) + NAMED)).alias("place"))
+    lacking = asked.join(place(known, [], ["file_id"]), "place").join(own, ["batch", "file_id"], "left_anti")
+    nth = F.row_number().over(Window.partitionBy("batch").orderBy("file_id"))
+    first = lacking.withColumn("nth", nth).where(F.col("nth") <= NAMED).groupBy("batch").agg(F.array_join(F.array_sort(F.collect_list("file_id")).cast("array<string>"), ", ").alias("ids"))
+    return first.select("batch", _issue("INFO", "F2", _say("F2", F.col("ids"))).alias("x"))
 
 
 def audit_scores(files: DataFrame, issues: DataFrame, as_of: Column, params: AuditParams = AuditParams()) -> DataFrame:
@@ -139,7 +198,7 @@ def audit_scores(files: DataFrame, issues: DataFrame, as_of: Column, params: Aud
     letter = F.substring("check", 1, 1)
     counted = issues.groupBy("batch", letter.alias("letter")).agg(F.count("*").alias("issue_count"), F.count_if((F.col("check") == "B2") & (F.col("severity") == "ERROR")).alias("stuck"), F.count_if(F.col("check") == "C1").alias("c1"), F.count_if(F.col("check") == "E1").alias("e1"), F.count_if(F.col("check") == "E2").alias("e2"))
     age = age_seconds(utc_timestamp(F.col("last_updated")), as_of)
-    failed = F.size(F.filter("chunks", lambda c: c["status"].isin(FAILED)))
+    failed = F.coalesce(F.size(F.filter("chunks", lambda c: F.coalesce(c["status"], F.lit("")).isin(FAILED))), F.lit(0))
     facts = files.groupBy("batch").agg(F.count("*").alias("n"), F.count_if(age <= params.stuck_sec).alias("fresh"), F.sum(failed).alias("failed"), F.count_if("has_summary").alias("told"))
     rows = facts.withColumn("letter", F.explode(F.array(*[F.lit(x) for x in "ABCDEF"]))).join(counted, ["batch", "letter"], "left").fillna(0)
     n = F.col("issue_count")
@@ -174,3 +233,31 @@ def file_audit_detail(chunks: DataFrame) -> DataFrame:
         "file_id", "chunk_id", "model_used", "status",
         F.count_if(done).over(own).alias("model_success"), F.count_if(F.col("status").isin(FAILED)).over(own).alias("model_fail"), F.sum("char_count").over(own).cast("bigint").alias("model_chars"),
     )
+
+
+def file_reports(files: DataFrame, top: int = 5) -> DataFrame:
+    """One row per file (as :func:`captionlake.sources.status.file_facts` gives them): its chunks with their first error and a preview, and its models.
+
+    ``models`` are in order of name: success, fail, chars, chars_per_sec over done chunks' time (null without any), and
+    their ``top`` messages of at most 120 characters by count, then text. ``failed_models`` names those with failures, most first.
+    """
+    one = F.transform("chunks", lambda c: F.struct(
+        c["chunk_id"].alias("chunk_id"), F.coalesce(c["status"], F.lit("?")).alias("status"), F.coalesce(c["model_used"], F.lit("?")).alias("model_used"), F.coalesce(c["retry_count"], F.lit(0)).alias("retry_count"),
+        F.get(c["errors"], F.lit(0)).alias("error"), F.substring(F.coalesce(c["summary_preview"], F.lit("")), 1, 80).alias("summary_preview"),
+    ))
+    rows = files.select("batch", "file_id", "status", one.alias("chunks"), F.transform("chunks", lambda c: F.struct(F.coalesce(c["model_used"], F.lit("?")).alias("m"), c["status"].alias("s"), c["char_count"].alias("n"), c["elapsed_sec"].alias("t"), c["errors"].alias("e"))).alias("_c"))
+    names = F.array_sort(F.array_distinct(F.transform("_c", lambda c: c["m"])))
+
+    def model(m: Column) -> Column:
+        mine = F.filter("_c", lambda c: c["m"] == m)
+        count = lambda test: F.size(F.filter(mine, test))
+        chars = F.aggregate(mine, F.lit(0).cast("bigint"), lambda a, c: a + F.coalesce(c["n"], F.lit(0)))
+        took = F.aggregate(F.filter(mine, lambda c: c["s"] == "done"), F.lit(0.0), lambda a, c: a + F.coalesce(c["t"], F.lit(0.0)))
+        said = F.transform(F.flatten(F.transform(mine, lambda c: c["e"])), lambda e: F.substring(e["message"], 1, 120))
+        counted = F.transform(F.array_distinct(said), lambda x: F.struct((-F.size(F.filter(said, lambda y: y == x))).alias("n"), x.alias("msg")))
+        tops = F.transform(F.slice(F.array_sort(counted), 1, top), lambda x: F.struct(x["msg"].alias("msg"), (-x["n"]).alias("count")))
+        return F.struct(m.alias("model"), count(lambda c: c["s"] == "done").alias("success"), count(lambda c: c["s"].isin(FAILED)).alias("fail"), chars.alias("chars"), per_second(chars, took).alias("chars_per_sec"), tops.alias("top_errors"))
+
+    rows = rows.withColumn("models", F.transform(names, model))
+    failed = F.array_sort(F.transform(F.filter("models", lambda x: x["fail"] > 0), lambda x: F.struct((-x["fail"]).alias("n"), x["model"].alias("model"))))
+    return rows.select("batch", "file_id", "status", "chunks", "models", F.transform(failed, lambda x: x["model"]).alias("failed_models"))

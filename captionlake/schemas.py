@@ -16,12 +16,11 @@ RECORD = T.StructType([
     T.StructField("vector", T.ArrayType(T.FloatType())), T.StructField("boundary_type", T.StringType()),
 ])
 
-CHUNK_STATUS = "struct<chunk_id:string,status:string,model_used:string,retry_count:bigint,errors:array<struct<model:string,message:string>>,char_count:bigint,elapsed_sec:double,summary_preview:string>"
-FILE_STATUS = (
-    "struct<file_id:bigint,filename_srt:string,filename_mp3:string,file_path:string,status:string,last_updated:string,retry_count:bigint,"
-    "error_log:array<struct<time:string,from_status:string,error:string,used_model:string>>,total_chunks:bigint,"
-    f"chunks:array<{CHUNK_STATUS}>,diagnostics:struct<summary:struct<records:bigint>,models:map<string,struct<success:bigint,fail:bigint>>>>"
-)
+#: Status documents as they are read: what may have several shapes (``errors``, ``error``, ``chunks``, ``diagnostics``) stays JSON text first.
+CHUNK_STATUS = "struct<chunk_id:string,status:string,model_used:string,retry_count:bigint,errors:string,error:string,char_count:bigint,elapsed_sec:double,summary_preview:string>"
+ERROR_LOG = "array<struct<time:string,from_status:string,error:string,used_model:string>>"
+FILE_STATUS = f"struct<file_id:bigint,filename_srt:string,filename_mp3:string,file_path:string,status:string,last_updated:string,retry_count:bigint,owner:string,error_log:{ERROR_LOG},total_chunks:bigint,chunks:string,diagnostics:string>"
+DIAGNOSTICS = "struct<summary:string,models:map<string,struct<success:bigint,fail:bigint>>>"
 
 #: Allowed next states of each state; every state may also move to itself, ``failed`` or ``failed_permanent``.
 TRANSITIONS = {

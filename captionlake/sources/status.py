@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from captionlake.operators.audit import REQUIRED
-from captionlake.schemas import FILE_STATUS
+from captionlake.schemas import CHUNK_STATUS, DIAGNOSTICS, FILE_STATUS
 
 
 def read_status(spark: SparkSession, path: str, pattern: str = "batch_status_*.json") -> DataFrame:
@@ -30,18 +30,52 @@ def document_issues(docs: DataFrame) -> DataFrame:
     return rows.select("batch", F.lit(None).cast("bigint").alias("file_id"), severity.alias("severity"), F.lit("A0").alias("check"), F.concat(F.lit("Batch status file: "), F.col("problem")).alias("msg"))
 
 
+def _filled(json: Column) -> Column:
+    """Whether a JSON value, as text, is anything but null, false, zero or empty."""
+    return ~F.coalesce(F.regexp_replace(json, r"\s", ""), F.lit("")).isin("", "null", "[]", "{}", '""', "0", "false")
+
+
+def chunk_errors(errors: Column, error: Column, model: Column) -> Column:
+    """Errors of a chunk as (model, message), from a list of objects or texts, or a text; ``error`` counts where ``errors`` is empty."""
+    json = F.when(_filled(errors), errors).when(_filled(error), error)
+    message = lambda x: F.coalesce(F.get_json_object(x, "$.message"), x)
+    one = lambda x: F.struct(F.coalesce(F.get_json_object(x, "$.model"), model).alias("model"), F.when(F.startswith(F.trim(x), F.lit("{")), message(x)).otherwise(x).alias("message"))
+    listed = F.when(F.startswith(F.trim(json), F.lit("[")), F.from_json(json, "array<string>")).when(json.isNotNull(), F.array(json))
+    return F.transform(F.coalesce(listed, F.array().cast("array<string>")), one)
+
+
 def file_facts(docs: DataFrame) -> DataFrame:
-    """Rows for :func:`captionlake.operators.audit.audit_issues`; both list and ``{"files": [...]}`` documents."""
+    """Rows for :func:`captionlake.operators.audit.audit_issues`; both list and ``{"files": [...]}`` documents.
+
+    ``chunks_listed`` is false where ``chunks`` is there but no list; such a file, like one without
+    chunks, has none. A chunk that is no object has ``is_object`` false and else nulls. An item that is
+    no object lacks all fields.
+    """
     is_list = F.startswith(F.col("raw"), F.lit("["))
     texts = F.when(is_list, F.from_json("raw", "array<string>")).otherwise(F.from_json("raw", "struct<files:array<string>>")["files"])
     items = docs.where("problem IS NULL").select("batch", F.explode(texts).alias("item"))
-    known = F.from_json("item", FILE_STATUS)
-    rows = items.select("batch", F.array_except(F.array(*[F.lit(x) for x in REQUIRED]), F.json_object_keys("item")).alias("missing"), known.alias("f"))
-    chunks = F.transform(F.coalesce("f.chunks", F.array().cast(rows.schema["f"].dataType["chunks"].dataType)), lambda c: F.struct(c["chunk_id"].alias("chunk_id"), c["status"].alias("status"), c["model_used"].alias("model_used"), c["retry_count"].alias("retry_count"), (F.size(c["errors"]) > 0).alias("has_error"), c["char_count"].alias("char_count"), c["elapsed_sec"].alias("elapsed_sec")))
+    keys = F.coalesce(F.json_object_keys("item"), F.array().cast("array<string>"))
+    rows = items.select("batch", F.array_except(F.array(*[F.lit(x) for x in REQUIRED]), keys).alias("missing"), F.from_json("item", FILE_STATUS).alias("f"))
+    listed = F.startswith(F.trim("f.chunks"), F.lit("["))
+    elements = F.when(listed, F.from_json("f.chunks", "array<string>")).otherwise(F.array().cast("array<string>"))
+
+    def read(text: Column) -> Column:
+        is_object = F.coalesce(F.startswith(F.trim(text), F.lit("{")), F.lit(False))
+        has_id = F.coalesce(F.array_contains(F.json_object_keys(text), "chunk_id"), F.lit(False))
+        return F.struct(F.from_json(F.when(is_object, text), CHUNK_STATUS).alias("c"), is_object.alias("is_object"), has_id.alias("has_id"))
+
+    def chunk(x: Column) -> Column:
+        c = x["c"]
+        kept = [c[n].alias(n) for n in ("chunk_id", "status", "model_used", "retry_count", "char_count", "elapsed_sec", "summary_preview")]
+        return F.struct(*kept, x["is_object"].alias("is_object"), x["has_id"].alias("has_id"), chunk_errors(c["errors"], c["error"], c["model_used"]).alias("errors"))
+
+    read_chunks = F.transform(F.transform(elements, read), chunk)
+    with_flag = F.transform(read_chunks, lambda c: c.withField("has_error", F.size(c["errors"]) > 0))
     has = lambda c: F.coalesce(c, F.lit(False))
+    known = F.from_json("f.diagnostics", DIAGNOSTICS)
     return rows.select(
-        "batch", "f.file_id", "f.status", "f.last_updated", "f.retry_count", "f.total_chunks", "missing", chunks.alias("chunks"),
-        has(F.size("f.error_log") > 0).alias("has_error_log"), F.col("f.diagnostics").isNotNull().alias("has_diagnostics"), F.col("f.diagnostics.summary").isNotNull().alias("has_summary"), F.col("f.diagnostics.models").alias("models"),
+        "batch", "f.file_id", "f.filename_srt", "f.filename_mp3", "f.status", "f.last_updated", "f.retry_count", "f.total_chunks", "missing", with_flag.alias("chunks"), F.coalesce(listed, F.lit(True)).alias("chunks_listed"),
+        "f.error_log", has(F.size("f.error_log") > 0).alias("has_error_log"), _filled(F.col("f.diagnostics")).alias("has_diagnostics"), _filled(known["summary"]).alias("has_summary"), known["models"].alias("models"),
     )
 
 
