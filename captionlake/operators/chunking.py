@@ -150,6 +150,19 @@ def chunking_failures(entries: DataFrame, vectors: DataFrame, params: ChunkParam
     return rows.withColumn("reason", F.when(F.col("failed_windows") > 0, "failed windows").otherwise("fewer than five windows"))
 
 
+def zero_chunk_reasons(entries: DataFrame, vectors: DataFrame, segments: DataFrame) -> DataFrame:
+    """(file_id, reasons) of files without a kept segment: failed windows, all segments dropped, or neither."""
+    files = entries.select("file_id").distinct()
+    failed = vectors.groupBy("file_id").agg(F.count_if(F.col("vector").isNull()).alias("failed"))
+    cut = segments.groupBy("file_id").agg(F.count_if(~F.col("dropped")).alias("kept"), F.count_if("dropped").alias("discarded"))
+    rows = files.join(failed, "file_id", "left").join(cut, "file_id", "left").fillna(0, ["failed", "kept", "discarded"]).where("kept = 0")
+    some = F.array_compact(F.array(
+        F.when(F.col("failed") > 0, F.concat(F.col("failed").cast("string"), F.lit(" windows without a vector"))),
+        F.when(F.col("discarded") > 0, F.concat(F.lit("all "), F.col("discarded").cast("string"), F.lit(" segments dropped as noise"))),
+    ))
+    return rows.select("file_id", F.when(F.size(some) > 0, some).otherwise(F.array(F.lit("no segment: see the subtitles and the parameters"))).alias("reasons"))
+
+
 def failed_windows(vectors: DataFrame) -> DataFrame:
     """Every window without a vector."""
     return vectors.where("vector IS NULL").select("file_id", "i")

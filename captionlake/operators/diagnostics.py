@@ -53,3 +53,14 @@ def run_summary(records: DataFrame, elapsed_sec: float) -> DataFrame:
     """Records, characters of summaries and characters a second."""
     rows = records.agg(F.count("*").alias("records"), F.coalesce(F.sum(F.length("summary")), F.lit(0)).cast("bigint").alias("total_chars"))
     return rows.select("*", F.lit(elapsed_sec).alias("elapsed_sec"), per_second(F.col("total_chars"), F.lit(elapsed_sec)).alias("chars_per_sec"))
+
+
+def run_stats(results: DataFrame) -> DataFrame:
+    """One row of a run over chunk results (status, model_used, errors as (model, message)): chunks, done and failed ones, done ones by model, and errors by their first 80 characters."""
+    failed = F.col("status").isin(FAILED)
+    totals = results.agg(F.count("*").alias("total_chunks"), F.count_if(F.col("status") == "done").alias("success"), F.count_if(failed).alias("failed"))
+    models = results.where("status = 'done'").groupBy(F.coalesce("model_used", F.lit("?")).alias("k")).agg(F.count("*").alias("v"))
+    said = results.select(F.explode("errors").alias("e")).groupBy(F.substring("e.message", 1, 80).alias("k")).agg(F.count("*").alias("v"))
+    # models are configured, and messages are cut to what a document can list
+    listed = lambda rows, name: rows.orderBy(F.col("v").desc(), "k").limit(1000).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias(name))
+    return totals.join(listed(models, "model_stats")).join(listed(said, "error_distribution"))

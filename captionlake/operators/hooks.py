@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 import time
+import uuid
 from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from captionlake.functions.text import first_json_object
+from captionlake.operators.prompts import parsed
 from captionlake.operators.resilience import Breaker, BreakerParams
 
 #: What a caller's embedding client does: one vector for each text, in order; anything else is a failure.
@@ -60,22 +61,27 @@ def backoff(attempt: int, base: float = 1.0) -> float:
     return base * 2.0**attempt
 
 
+#: Breakers of this Python worker, by the id that a caller was made with.
+_breakers: dict[str, Breaker] = {}
+
+
 def chat_caller(call: Callable[[str, str], str], models: list[str], attempts: int = 3, wait: float = 1.0, breaker: BreakerParams | None = None):
     """A pandas UDF (prompt, key) to (answer, model, retries, error): each attempt takes the next model, starting by key.
 
-    With ``breaker``, each Python worker stops calling for a while after failures, as :class:`Breaker` says.
+    With ``breaker``, each Python worker stops calling for a while after failures, over all its batches, and lets
+    only so many calls through when it tries again, as :class:`Breaker` says.
     """
+    name = uuid.uuid4().hex
 
     @F.pandas_udf("answer string, model string, retries int, error string")
     def ask(prompts: pd.Series, keys: pd.Series) -> pd.DataFrame:
-        guard = Breaker(breaker) if breaker else None
+        guard = _breakers.setdefault(name, Breaker(breaker)) if breaker else None
         rows = []
         for prompt, key in zip(prompts, keys):
-            error, model, n = None, None, 0
-            answer = None
+            error, model, n, answer = None, None, 0, None
             for n in range(attempts):
                 model = models[(int(key) + n) % len(models)]
-                if guard and guard.state == "open" and time.monotonic() - guard.opened < breaker.timeout_sec:
+                if guard and not guard.admits(time.monotonic()):
                     error = "circuit open"
                     break
                 try:
@@ -94,20 +100,13 @@ def chat_caller(call: Callable[[str, str], str], models: list[str], attempts: in
     return ask
 
 
-def json_answer(answer: Column, schema: str) -> Column:
-    """The first JSON object in an answer as a struct; null if there is none."""
-    return F.from_json(first_json_object(answer), schema)
-
-
 SUMMARY = "summary string, tags array<string>"
-CHUNK_JUDGEMENT = "boundary struct<score:double,reason:string>, coherence struct<score:double,reason:string>, completeness struct<score:double,reason:string>, note string"
-FIDELITY_JUDGEMENT = "faithfulness struct<score:double,reason:string>, coverage struct<score:double,reason:string>, conciseness struct<score:double,reason:string>, clarity struct<score:double,reason:string>, hallucinated_content array<string>, missing_key_points array<string>"
 
 
 def summarize_chunks(chunks: DataFrame, ask, prompt: Column) -> DataFrame:
     """Summarised chunks: ``status`` done if the answer has a summary, else failed with the error."""
     asked = chunks.withColumn("_a", ask(prompt, F.abs(F.xxhash64("chunk_id")) % 1_000_003))
-    told = asked.withColumn("_j", json_answer(F.col("_a.answer"), SUMMARY))
+    told = asked.withColumn("_j", parsed(F.col("_a.answer"), SUMMARY))
     done = F.col("_a.error").isNull() & (F.coalesce(F.col("_j.summary"), F.lit("")) != "")
     error = F.coalesce("_a.error", F.when(~done, "no summary in the answer"))
     return told.select(

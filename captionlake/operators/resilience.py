@@ -34,11 +34,15 @@ class Breaker:
     def __init__(self, p: BreakerParams):
         self.p, self.state, self.failed, self.good, self.tried, self.opened = p, "closed", 0, 0, 0, 0.0
 
-    def call(self, at: float, ok: bool) -> tuple[str, bool]:
-        """State after a call at a time, and whether it was let through."""
+    def admits(self, at: float) -> bool:
+        """Whether a call at a time would be let through; an open breaker past its timeout is half open from then on."""
         if self.state == "open" and at - self.opened >= self.p.timeout_sec:
             self.state, self.good, self.tried = "half_open", 0, 0
-        if self.state == "open" or self.state == "half_open" and self.tried >= self.p.half_open_calls:
+        return self.state == "closed" or self.state == "half_open" and self.tried < self.p.half_open_calls
+
+    def call(self, at: float, ok: bool) -> tuple[str, bool]:
+        """State after a call at a time, and whether it was let through."""
+        if not self.admits(at):
             return self.state, False
         if self.state == "half_open":
             self.tried += 1

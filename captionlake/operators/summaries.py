@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -139,6 +141,17 @@ def check_count(rows: DataFrame, expected: int) -> None:
 
 
 def check_not_empty(rows: DataFrame, what: str) -> None:
-    """V07, V08, V10, V11."""
+    """V08, V10, V11."""
     if rows.isEmpty():
         raise GateError(f"no {what}")
+
+
+def check_json_array(text: str) -> list:
+    """The elements of a JSON array; anything else is refused."""
+    try:
+        found = json.loads(text)
+    except json.JSONDecodeError as e:
+        raise GateError(f"not JSON: {e}") from e
+    if not isinstance(found, list):
+        raise GateError(f"a JSON array is wanted, not {type(found).__name__}")
+    return found
