@@ -12,33 +12,29 @@ from captionlake.functions import text as fx
 from captionlake.functions.vectors import is_valid_vector
 from captionlake.operators import audit, chunking, diagnostics, evaluation, quality, resilience, status, summaries
 from captionlake.plans import bindings as b
+from captionlake.plans.registry import QUERIES, SQL, query
 from captionlake.schemas import TRANSITIONS
 from captionlake.sources.manifest import preflight
 from captionlake.sources.srt import parse_srt, write_srt
 from captionlake.sources.tables import merge_upsert
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
 #: Smart merge over the embeddings: windows of three, wide bands, short distances.
 MERGE = ChunkParams(window_size=3, min_sentences=4, high_pct=0.3, low_pct=0.05)
 
 
-def query(sql: str | None = None):
-    def register(f):
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    _load()
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    _load()
+    return dict(SQL)
+
+
+def _load() -> None:
+    """Register the queries of the other modules."""
+    from captionlake.plans import audit_queries, gate_queries, source_queries  # noqa: F401
 
 
 # --- sources and windows -------------------------------------------------------------------------
@@ -372,13 +368,14 @@ UNION ALL SELECT batch, file_id, 'WARN', 'C3' FROM fc WHERE status = 'failed' AN
 UNION ALL SELECT batch, NULL, 'WARN', 'E1' FROM bo WHERE bad > CAST(0.2 AS DOUBLE) * (ok + bad)
 UNION ALL SELECT batch, NULL, 'ERROR', 'E2' FROM bm WHERE ok + bad >= 5 AND ok < CAST(0.5 AS DOUBLE) * (ok + bad)
 UNION ALL SELECT batch, file_id, 'ERROR', 'F1' FROM files WHERE file_id % 10 = 9
+UNION ALL SELECT DISTINCT x.batch, NULL, 'INFO', 'F2' FROM (SELECT DISTINCT batch FROM files) x, files m WHERE m.file_id % 10 <> 9 AND m.batch <> x.batch
 )"""
 
 
 def _audit_issues(spark, d):
     files = audit_inputs(spark, d)
     manifest = files.select("file_id").where("file_id % 10 <> 9")
-    return files, audit.audit_issues(files, b.as_of(spark, d), manifest).where(F.col("check") != "F2")
+    return files, audit.audit_issues(files, b.as_of(spark, d), manifest)
 
 
 @query(f'WITH {_AUDIT} SELECT batch, coalesce(file_id, -1) AS file_id, severity, "check", count(*) AS n FROM issues GROUP BY ALL')
@@ -396,12 +393,15 @@ def audit_scores(spark, d):
     return audit.audit_scores(files, issues, b.as_of(spark, d)).withColumn("score", F.round("score", 6))
 
 
-@query("""WITH batch AS (SELECT doc_id AS file_id FROM labels), manifest AS (SELECT doc_id AS file_id FROM documents WHERE doc_id % 50 <> 3)
-SELECT 'F1' AS "check", file_id FROM batch WHERE file_id NOT IN (SELECT file_id FROM manifest) UNION ALL SELECT 'F2', file_id FROM manifest WHERE file_id NOT IN (SELECT file_id FROM batch)""")
+@query("""WITH batch AS (SELECT doc_id AS file_id FROM labels), manifest AS (SELECT doc_id AS file_id FROM documents WHERE doc_id % 50 <> 3), lacking AS (SELECT file_id FROM manifest WHERE file_id NOT IN (SELECT file_id FROM batch) ORDER BY file_id LIMIT 10)
+SELECT 'F1' AS "check", file_id, 'file_id ' || CAST(file_id AS VARCHAR) || ' not found in master_file_manifest' AS msg FROM batch WHERE file_id NOT IN (SELECT file_id FROM manifest)
+UNION ALL SELECT 'F2', NULL, 'Files in manifest but not in this batch: [' || (SELECT string_agg(CAST(file_id AS VARCHAR), ', ' ORDER BY file_id) FROM lacking) || ']...'""")
 def cross_file_check(spark, d):
-    batch = b.table(spark, d, "labels").select(F.col("doc_id").alias("file_id"))
+    blank = {"batch": "'b'", "status": "'undone'", "last_updated": "'2026-01-01T00:00:00'", "retry_count": "0L", "total_chunks": "0L", "missing": "CAST(array() AS array<string>)", "chunks": "CAST(array() AS array<struct<chunk_id:string,status:string,model_used:string,retry_count:bigint,has_error:boolean>>)", "has_error_log": "true", "has_diagnostics": "true", "has_summary": "false", "models": "CAST(null AS map<string,struct<success:bigint,fail:bigint>>)"}
+    batch = b.table(spark, d, "labels").select(F.col("doc_id").alias("file_id"), *[F.expr(v).alias(k) for k, v in blank.items()])
     manifest = b.table(spark, d, "documents").where("doc_id % 50 <> 3").select(F.col("doc_id").alias("file_id"))
-    return batch.join(manifest, "file_id", "left_anti").select(F.lit("F1").alias("check"), "file_id").unionByName(manifest.join(batch, "file_id", "left_anti").select(F.lit("F2").alias("check"), "file_id"))
+    found = audit.audit_issues(batch, F.lit("2026-01-01 00:00:00").cast("timestamp"), manifest)
+    return found.where("check LIKE 'F%'").select("check", "file_id", "msg")
 
 
 # --- summaries -----------------------------------------------------------------------------------
@@ -544,7 +544,7 @@ def param_pivot(spark, d):
     return evaluation.pivot_table(kept, "file_id", "label", "kept", ["base", "wide", "failed"])
 
 
-@query()
+@query("SELECT doc_id, source FROM documents ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 20")
 def sample_n(spark, d):
     return evaluation.sample_rows(b.table(spark, d, "documents").select("doc_id", "source"), "doc_id", 20)
 

@@ -146,7 +146,7 @@ def test_queries_equal_their_oracles(spark):
     for name in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split():
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     found, sql = core.queries(), core.oracle_sql()
-    assert set(sql) <= set(found) and set(found) - set(sql) == {"sample_n", "breaker_fold"}
+    assert set(sql) <= set(found) and set(found) - set(sql) == {"breaker_fold"}
     for name, f in found.items():
         got = f(spark, SF)
         if name in sql:
