@@ -305,6 +305,25 @@ def test_pipeline(spark):
             assert not re.search("AKIA[A-Z0-9]{12}|[0-9a-f]{32}", text)
 
 
+def test_language_stage_rejects_foreign_texts(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = np.random.default_rng(6)
+    odd = ["это совсем другой язык и его буквы другие " * 5, "日本語の文章はここにあります。" * 5, "tämä on suomenkielinen teksti jossa on pitkiä sanoja ja vokaaleja " * 4, *["".join(rng.choice(list("bcdfghjklmnpqrstvwxz "), 300)) for _ in range(5)]]
+    planted = spark.createDataFrame([(1_000_000 + i, t, "en", "s", len(t)) for i, t in enumerate(odd)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(planted.withColumn("lang", F.lit(None).cast("string"))), SF).collect()}
+    assert kept == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+
+
+def test_stages_on_empty_tables(spark, docs_of, awkward):
+    import corpus_pipeline
+
+    docs = docs_of(awkward).limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF).count() == 0
+
+
 def test_stages_keep_columns(spark, docs_of, awkward):
     import corpus_pipeline
 

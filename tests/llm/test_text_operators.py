@@ -110,6 +110,54 @@ def test_language_id(spark, docs_of, awkward):
     assert identify(fresh.limit(0), model).count() == 0 and learn(fresh.withColumn("lang", F.lit(None).cast("string"))) is None
 
 
+def test_language_kernel_by_definition(spark):
+    """Scores against string n-grams in sets, a kernel pair by pair, and a ridge regression solved at once."""
+    from captionlake.llm.langid import GramReader, LanguageFit, fit_model
+
+    rng = np.random.default_rng(8)
+    words = {"aa": ["the", "thing", "with", "over", "naïve"], "bb": ["und", "nicht", "über", "schön", "die"], "hi": ["यह", "हिन्दी", "का", "शब्द", "है"], "ru": ["это", "слово", "мир", "тут", "не"]}
+    make = lambda k: " ".join(rng.choice(words[k], int(rng.integers(3, 12)))) + str(rng.choice(["", "!", " 12 ", "..."]))
+    texts, fresh = [(k, make(k)) for k in sorted(words) * 12], [make(k) for k in sorted(words) * 5]
+    reader, fit = GramReader(), LanguageFit(landmarks=12, ridge=0.05)
+    model = fit_model([(k, reader(t)) for k, t in texts], fit)
+
+    def grams(text):
+        import unicodedata
+
+        kept = [c.lower()[0] if c.isalpha() or unicodedata.category(c)[0] == "M" else " " for c in text]
+        run = "".join(c for i, c in enumerate(kept) if c != " " or (i and kept[i - 1] != " "))
+        return {run[i : i + n] for n in (1, 2, 3) for i in range(len(run) - n + 1)}
+
+    kernel = lambda a, b: len(a & b) / math.sqrt(len(a) * len(b))
+    marks = [grams(t) for k in sorted(words) for t in [t for own, t in texts if own == k][:3]]
+    k = np.array([[kernel(grams(t), m) for m in marks] for _, t in texts])
+    w = np.array([[kernel(a, m) for m in marks] for a in marks])
+    y = np.array([[1.0 if own == lang else -1.0 for lang in sorted(words)] for own, _ in texts])
+    centred = k - k.mean(0)
+    alpha = np.linalg.solve(centred.T @ centred + fit.ridge * w, centred.T @ (y - y.mean(0)))
+    bias = (y - k @ alpha).mean(0)
+    want = np.array([[kernel(grams(t), m) for m in marks] for t in fresh]) @ alpha + bias
+    got = model.scores([reader(t) for t in fresh])
+    assert np.abs(got - want).max() < 0.02
+    assert [model.languages[i] for i in got.argmax(1)] == sorted(words) * 5
+    assert reader("\u0300\u0301 12") is None and reader("क") is not None
+
+
+def test_foreign_texts_are_not_accepted(spark):
+    """Texts in another script, in another language and of chance letters, against fresh ones in known languages."""
+    rng = np.random.default_rng(2)
+    stem = {"aa": ["ther", "ing", "and", "ould", "tion"], "bb": ["sch", "ein", "lich", "keit", "ung"]}
+    word = lambda k: "".join(rng.choice(stem[k], int(rng.integers(1, 4))))
+    make = lambda k, n: " ".join(word(k) for _ in range(n))
+    rows = [(i, make(k, int(rng.integers(1, 200))), k) for i, k in enumerate(sorted(stem) * 300)]
+    model = learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), LanguageFit(per_language=100))
+    chance = lambda: "".join(rng.choice(list("bcdfghjklmnpqrstvwxz "), 400))
+    odd = ["это совсем другой язык " * 9, "日本語の文章はここにあります" * 9, "zqxj kvw pfqz " * 9, *[chance() for _ in range(20)]]
+    fresh = [make(k, int(rng.integers(3, 150))) for k in sorted(stem) * 100]
+    found = identify(spark.createDataFrame([(i, t) for i, t in enumerate(odd + fresh)], "doc_id bigint, text string"), model).select("row.doc_id", "accepted").collect()
+    assert {r.doc_id for r in found if not r.accepted} == set(range(len(odd)))
+
+
 # --- decontamination -----------------------------------------------------------------------------
 
 
