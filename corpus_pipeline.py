@@ -7,22 +7,19 @@ from pyspark.sql import functions as F
 
 from captionlake.llm.common import materialize, table
 from captionlake.llm.decontam import decontaminate
-from captionlake.llm.langid import UNDETERMINED, identify, learn
+from captionlake.llm.langid import identify, learn
 from captionlake.llm.packing import concatenate_and_cut
 from captionlake.llm.queries import tokenizer_file
 from captionlake.llm.secretscan import redact, secret_spans
 from captionlake.llm.simhash import keep_first
 
-#: Scores under which a language is not accepted; a text in a known language scores well above it.
-LEAST_LANGUAGE_SCORE = 0.2
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents with no letter, and those that no language's regressor accepts."""
+    """Drops documents with no letter, and those less like every landmark than texts of known languages are.
+
+    Null and blank texts have no letter. Rows are judged one by one, whatever their ids; very long texts are read whole.
+    """
     model = learn(docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0))
-    found = identify(docs, model)
-    accepted = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return found.where(accepted).select("row.*")
+    return identify(docs, model).where("accepted").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,12 +32,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a window of a benchmark item."""
+    """Drops documents that hold a window of a benchmark item. Null texts hold none; rows are judged one by one, and long texts read whole."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark")).where("n_hit = 0").select("row.*")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces every secret by a mark; documents without one stay as they are."""
+    """Replaces every secret by a mark, and counts the characters anew; documents without one, null texts among them, stay as they are."""
     spans = F.when(F.col("text").isNotNull(), secret_spans(F.col("text"))["spans"])
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), spans.alias("spans"))
     some, text = F.size("spans") > 0, F.col("row.text")
@@ -50,7 +47,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 2048 token ids."""
+    """Pieces of sequences of 2048 token ids; a null text is its end id alone, and a long one goes over many sequences."""
     return concatenate_and_cut(docs, tokenizer_file("byte_bpe_50k.json"))
 
 
