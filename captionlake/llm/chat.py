@@ -74,8 +74,10 @@ def _placed(turns: DataFrame, tokenizer_path: str) -> DataFrame:
         encode, at, idx, before = encoder(tokenizer_path), None, 0, 0
         for batch in batches:
             heads = [f"{BEGIN}{escape_role(r)}\n" for r in batch.column("role").to_pylist()]
-            written = pa.array([head + escape(t.as_py()) + STOP for head, t in zip(heads, batch.column("text"))], pa.large_string())
-            sizes = np.concatenate([np.zeros(0, np.int64), *(counts for _, _, _, counts in encode.units(written))])
+            # the last line end stands by itself; without it, words are looked up
+            texts = [head + escape(t.as_py()) + STOP[:-1] for head, t in zip(heads, batch.column("text"))]
+            bare = pa.array(texts, pa.large_string())
+            sizes = np.concatenate([np.zeros(0, np.int64), *(counts + len(encode.line_end) for _, _, _, counts in encode.units(bare))])
             out = []
             for k, n in zip(batch.column("k").to_pylist(), sizes.tolist()):
                 if k != at:
@@ -83,7 +85,7 @@ def _placed(turns: DataFrame, tokenizer_path: str) -> DataFrame:
                 out.append((idx, before, n))
                 idx, before = idx + 1, before + n
             numbers = [pa.array(list(map(len, heads)), pa.int32()), *(pa.array([r[i] for r in out], pa.int64()) for i in range(3))]
-            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("conv_id"), batch.column("role"), written.cast(pa.string()), batch.column("part"), *numbers], names=["k", "conv_id", "role", "text", "part", "head", "idx", "before", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("conv_id"), batch.column("role"), pa.array([t + STOP[-1] for t in texts], pa.string()), batch.column("part"), *numbers], names=["k", "conv_id", "role", "text", "part", "head", "idx", "before", "n"])
 
     kind = turns.schema["conv_id"].dataType.simpleString()
     dealt = dealt.select("k", "conv_id", "role", "text", F.spark_partition_id().alias("part"))

@@ -39,8 +39,8 @@ class WordEncoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._line_end = self.whole("\n")
-        self._keeps_space = len(self._line_end) > 0
+        self.line_end = self.whole("\n")
+        self._keeps_space = len(self.line_end) > 0
         self._keys, self._at, self._size, self._last = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self._store, self._used, self._now = np.zeros(1 << 16, np.uint32), 0, 0
 
@@ -61,7 +61,7 @@ class WordEncoder:
         lead = lambda before: before if before == " " else ""
         at_once = [lead(b) + w for (b, w), ok in zip(words, plain) if ok]
         found = (e.ids for i in range(0, len(at_once), _AT_ONCE) for e in self._tokenizer.encode_batch_fast(at_once[i : i + _AT_ONCE], add_special_tokens=False))
-        sizes, new, line_end = np.full(len(words), _WHOLE, np.int32), array("I"), self._line_end.tolist()
+        sizes, new, line_end = np.full(len(words), _WHOLE, np.int32), array("I"), self.line_end.tolist()
         for i, ((before, _), ok) in enumerate(zip(words, plain)):
             if ok:
                 ids = line_end + next(found) if before == "\n" else next(found)
