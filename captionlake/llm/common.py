@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from captionlake.workspace import discard, materialize, shared_dir
+
+__all__ = ["ASCII_SPACE", "SPACE_CLASS", "ascii_words", "discard", "let", "materialize", "shared_dir", "table"]
+
 #: ASCII white space U+0020 and U+0009 to U+000D, the separators of "words" in most operators here.
 ASCII_SPACE = " \t\n\x0b\f\r"
 #: The same as a regular-expression class.
@@ -19,40 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``).
-
-    Only where the session names none, as in local tests, a temporary folder is made and set.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="captionlake-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
-
-    This cuts the lineage in a way that survives lost executors: task output is committed
-    atomically, and later stages read files instead of recomputing.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/captionlake/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Delete the files of a table made by :func:`materialize` that nothing will read again."""
-    jvm = df.sparkSession._jvm
-    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, even where ``body`` uses it inside lambdas."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

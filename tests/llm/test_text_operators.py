@@ -164,7 +164,7 @@ def test_foreign_texts_are_not_accepted(spark):
 def test_decontamination(spark, docs_of, awkward):
     items = [("i1", " ".join(f"w{i}" for i in range(25))), ("i2", "short item"), ("i2", "short item"), ("i3", None), ("i4", "..."), (None, "no id here"), ("i5", "w3 W4 w5, w6 w7 w8 w9 w10 w11 w12")]
     bench = spark.createDataFrame(items, "item_id string, text string")
-    rows = awkward + [(20, "x " + " ".join(f"W{i}" for i in range(5, 18)) + " y"), (21, "a short-ITEM b short item"), (22, " ".join(f"w{i}" for i in range(9))), (23, "w3 w4")]
+    rows = awkward + [(20, "x " + " ".join(f"W{i}" for i in range(5, 18)) + " y"), (21, "a short-ITEM b short item"), (22, " ".join(f"w{i}" for i in range(9))), (23, "w3 w4"), (24, "Short, item " * 300), (25, " ".join(f"W{i}" for i in range(25)) + " short item no id here " + " ".join(f"w{i}" for i in range(3, 15)))]
     windows: dict[tuple, set] = {}
     for item, text in items:
         w = LETTERS.findall(low(text))
@@ -179,12 +179,13 @@ def test_decontamination(spark, docs_of, awkward):
                     hit |= set(range(k, k + len(key)))
                     found |= own
         expected.append((i, len(w), len(hit), sorted(found)))
-    for block_bytes in (1 << 20, 60):  # whole, and in several blocks
-        got = decontaminate(docs_of(rows), bench, block_bytes=block_bytes)
+    for most in (1000, 0):  # windows known to every task, and joined by a shuffle
+        got = decontaminate(docs_of(rows), bench, most_windows=most)
         assert by_row((r.doc_id, r.n_words, r.n_hit, r.item_ids) for r in got.select("row.doc_id", "n_words", "n_hit", "item_ids").collect()) == by_row(expected)
         assert all(sum(s.end - s.start for s in r.hit_spans) == r.n_hit for r in got.collect())
+        assert all(r.hit_spans == sorted(r.hit_spans) and all(x.end < y.start for x, y in zip(r.hit_spans, r.hit_spans[1:])) for r in got.collect())
+        assert decontaminate(docs_of(rows).limit(0), bench, most_windows=most).count() == 0
     assert decontaminate(docs_of(rows), bench.limit(0)).where("n_hit > 0").count() == 0
-    assert decontaminate(docs_of(rows).limit(0), bench).count() == 0
 
 
 # --- secrets -------------------------------------------------------------------------------------
