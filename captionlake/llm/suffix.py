@@ -10,8 +10,14 @@ text with the same minimizer in a row make a piece of at most ``2 * length - 16`
    of different pieces around one gram, where a copy begins, ends or was edited.
 3. Their bytes meet by gram once more. Over each block of them, breadth-first backward extension on
    the Burrows-Wheeler transform derives common prefixes by increasing value and stops at ``length``:
-   suffixes not parted by then begin with the same string, whose least document settles each.
+   suffixes not parted by then begin with the same string, whose least document settles each. Around a
+   gram with very many different pieces (a passage that a share of all documents has, each with its own
+   text after it) strings meet one by one instead, by hash, after each unit has kept its least document
+   of each; so no gram's pieces are one task's work.
 4. Verdicts go back to the units, where covered bytes are removed.
+
+Pieces are told apart by the 32 bits of the gram and 64 bits of the piece that no two share by chance in
+a corpus of any size to come; strings around split grams by 128 bits.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from captionlake.llm.common import materialize, shared_dir
+from captionlake.llm.common import materialize, shared_dir, spread
 from captionlake.llm.textkit import mix
 
 LENGTH = 50
@@ -35,7 +41,11 @@ UNIT_BYTES, UNIT_DOCS = 4 << 20, 1 << 16
 BLOCK = 1 << 17
 #: Bytes of pieces that one transform takes; a gram's pieces are never parted.
 TRANSFORM_BYTES = 1 << 18
-UNIQUE, SETTLED, OPEN = 0, 1, 2
+#: Different pieces around a gram beyond which its strings meet one by one.
+MOST_PIECES = 1024
+#: Bytes of text for each bucket of grams at most; there are at least as many as shuffle partitions.
+BUCKET_BYTES = 32 << 20
+UNIQUE, SETTLED, OPEN, SPLIT = 0, 1, 2, 3
 _SEPARATOR = 0xFF  # never in UTF-8
 _NO_ID = np.iinfo(np.int64).max
 
@@ -209,8 +219,8 @@ def least_owners(pieces: list[bytes], owners: np.ndarray, length: int) -> list[n
 # --- the distributed steps -----------------------------------------------------------------------
 
 
-def _units(docs: DataFrame, buckets: int, id_col: str, text_col: str) -> DataFrame:
-    """A table bucketed by unit: ``unit``, ``ids``, ``sizes`` (bytes of each text) and ``texts`` (all of them, compressed)."""
+def _units(docs: DataFrame, buckets: int, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    """A table bucketed by unit, and its name: ``unit``, ``bytes``, ``ids``, ``sizes`` (bytes of each text) and ``texts`` (all of them, compressed)."""
     spark = docs.sparkSession
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +231,7 @@ def _units(docs: DataFrame, buckets: int, id_col: str, text_col: str) -> DataFra
             packed = pa.compress(data, codec="zstd", asbytes=True)
             lengths = np.fromiter(map(len, texts), "<u4", n).tobytes()
             keys = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.concat_arrays(ids))
-            return pa.RecordBatch.from_arrays([pa.array([unit], pa.int64()), keys, pa.array([lengths], pa.binary()), pa.array([packed], pa.binary())], names=["unit", "ids", "sizes", "texts"])
+            return pa.RecordBatch.from_arrays([pa.array([unit], pa.int64()), pa.array([len(data)], pa.int64()), keys, pa.array([lengths], pa.binary()), pa.array([packed], pa.binary())], names=["unit", "bytes", "ids", "sizes", "texts"])
 
         for rows in batches:
             for batch in (rows.slice(i, 256) for i in range(0, rows.num_rows, 256)):
@@ -236,12 +246,12 @@ def _units(docs: DataFrame, buckets: int, id_col: str, text_col: str) -> DataFra
         if n:
             yield out()
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows = spread(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))).withColumn("row", F.monotonically_increasing_id())
     name = f"captionlake_units_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/captionlake/{name}"
-    units = rows.mapInArrow(gather, "unit bigint, ids array<bigint>, sizes binary, texts binary")
+    units = rows.mapInArrow(gather, "unit bigint, bytes bigint, ids array<bigint>, sizes binary, texts binary")
     units.write.bucketBy(buckets, "unit").sortBy("unit").option("path", path).format("parquet").saveAsTable(name)
-    return spark.table(name)
+    return spark.table(name), name
 
 
 def _open_unit(ids: pa.Scalar, sizes: pa.Scalar, texts: pa.Scalar, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Pieces]:
@@ -257,8 +267,8 @@ def _split(keys: np.ndarray, buckets: int) -> list[np.ndarray]:
     return np.split(np.argsort(bucket, kind="stable"), np.cumsum(np.bincount(bucket, minlength=buckets))[:-1])
 
 
-def _verdicts(gram: np.ndarray, piece: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """For each piece occurrence: its gram is in one document only, the piece is in an earlier one, or it is open."""
+def _verdicts(gram: np.ndarray, piece: np.ndarray, doc: np.ndarray, most: int) -> np.ndarray:
+    """For each piece occurrence: its gram is in one document only, the piece is in an earlier one, or it is open (split where its gram has more than ``most`` pieces)."""
     out = np.zeros(len(gram), np.uint8)
     order = np.argsort(gram, kind="stable")
     g = gram[order]
@@ -274,23 +284,51 @@ def _verdicts(gram: np.ndarray, piece: np.ndarray, doc: np.ndarray) -> np.ndarra
     grams, pieces = np.cumsum(new_gram) - 1, np.cumsum(new_piece) - 1
     at, at_piece = np.flatnonzero(new_gram), np.flatnonzero(new_piece)
     many_docs = np.minimum.reduceat(d, at) < np.maximum.reduceat(d, at)
-    many_pieces = np.bincount(grams[at_piece]) > 1
+    many_pieces = np.bincount(grams[at_piece])
     earlier = d[at_piece][pieces] < d
-    out[order] = np.where(earlier, SETTLED, np.where(many_docs[grams] & many_pieces[grams], OPEN, UNIQUE))
+    still_open = np.where(many_pieces > most, SPLIT, OPEN)[grams]
+    out[order] = np.where(earlier, SETTLED, np.where(many_docs[grams] & (many_pieces[grams] > 1), still_open, UNIQUE))
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _strings(data: np.ndarray, found: Pieces, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The strings of some pieces: where they start, their texts, and two 64-bit hashes of their bytes."""
+    n = found.last[at] - found.first[at] + 1
+    start = np.repeat(found.first[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    hashes = [np.full(len(start), seed, np.uint64) for seed in (0x243F6A8885A308D3, 0x13198A2E03707344)]
+    if len(start):
+        words = np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), 0, (1,))
+        for k in [*range(0, length - 8, 8), length - 8]:
+            hashes = [mix(h ^ words[start + k]) for h in hashes]
+    return start, np.repeat(found.text[at], n), *hashes
+
+
+def _distinct(first: np.ndarray, second: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs in order, the least ``doc`` of each, and which of them each row is."""
+    order = np.lexsort((second, first))
+    a, b = first[order], second[order]
+    new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])) if len(a) else np.zeros(0, bool)
+    begin = np.flatnonzero(new)
+    which = np.empty(len(a), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return a[begin], b[begin], np.minimum.reduceat(doc[order], begin) if len(begin) else doc, which
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", most_pieces: int = MOST_PIECES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``spans`` (byte intervals) of every row.
 
     A byte is removed if a string of ``length`` (at least 24, at most 64) bytes over it also begins in
     a document with a smaller id. Null texts are empty. Rows with equal ids do not count against each
     other. A null id is larger than any; two of them are equal. An empty table gives an empty result.
-    Texts of any length are taken whole, in overlapping parts. Other columns are not read.
+    Texts of any length are taken whole, in overlapping parts. Other columns, whatever their names, are
+    not read.
     """
+    if not 24 <= length <= 64:
+        raise ValueError("length must be 24 to 64")
     spark = docs.sparkSession
-    n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    units = _units(docs, n_buckets, id_col, text_col)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    units, name = _units(docs, parts, id_col, text_col)
+    n_buckets = max(parts, -(-(units.agg(F.sum("bytes")).first()[0] or 0) // bucket_bytes))
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -310,7 +348,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         def out() -> pa.RecordBatch:
             gram, piece = (np.concatenate([np.frombuffer(r[i], t) for r in held]) for i, t in ((2, "<u4"), (3, "<u8")))
             doc = np.concatenate([np.frombuffer(r[5], np.int64)[np.frombuffer(r[4], "<u2")] for r in held])
-            codes = np.split(_verdicts(gram, piece, doc), np.cumsum([len(r[2]) // 4 for r in held])[:-1])
+            codes = np.split(_verdicts(gram, piece, doc, most_pieces), np.cumsum([len(r[2]) // 4 for r in held])[:-1])
             return pa.RecordBatch.from_arrays([pa.array([r[1] for r in held], pa.int64()), pa.array([r[0] for r in held], pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary())], names=["unit", "bucket", "codes"])
 
         for batch in batches:
@@ -336,7 +374,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         for batch in batches:
             for unit, ids, sizes, texts, told in zip(*(batch.column(c) for c in ("unit", "ids", "sizes", "texts", "codes"))):
                 keys, data, _, found = _open_unit(ids, sizes, texts, length)
-                at = np.flatnonzero(codes_of(found, told) == OPEN)
+                codes = codes_of(found, told)
+                at = np.flatnonzero(codes == OPEN)
                 rows = []
                 for b, of in enumerate(_split(found.gram[at], n_buckets)):
                     if len(of):
@@ -344,12 +383,27 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                         size = found.last[some] - found.first[some] + length
                         text = data[np.repeat(found.first[some] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
                         rows.append((b, (found.gram[some] >> np.uint64(32)).astype("<u4").tobytes(), some.astype("<u4").tobytes(), keys[found.text[some]].tobytes(), size.astype(np.uint8).tobytes(), (found.start - found.first)[some].astype(np.uint8).tobytes(), text.tobytes()))
+                split = np.flatnonzero(codes == SPLIT)
+                if len(split):
+                    _, text, first, second = _strings(data, found, split, length)
+                    first, second, least, _ = _distinct(first, second, keys[text])
+                    rows += [(n_buckets + b, first[of].tobytes(), second[of].tobytes(), least[of].tobytes(), None, None, None) for b, of in enumerate(_split(first, n_buckets)) if len(of)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([unit.as_py()] * len(rows), pa.int64()), *(pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 7))], names=["bucket", "unit", "gram", "place", "doc", "size", "at", "text"])
 
     def transform(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
+        def string_owners() -> pa.RecordBatch:
+            """Of a bucket of strings: the least document of each, for each unit that asked."""
+            first, second, doc = (np.concatenate([np.frombuffer(r[i], t) for r in held]) for i, t in ((2, np.uint64), (3, np.uint64), (4, np.int64)))
+            _, _, least, which = _distinct(first, second, doc)
+            told = np.split(least[which], np.cumsum([len(r[2]) // 8 for r in held])[:-1])
+            return pa.RecordBatch.from_arrays([pa.array([r[1] for r in held], pa.int64()), pa.array([r[0] for r in held], pa.int32()), pa.array([None] * len(held), pa.binary()), pa.array([x.tobytes() for x in told], pa.binary())], names=["unit", "bucket", "place", "mask"])
+
         def out() -> Iterator[pa.RecordBatch]:
+            if held[0][0] >= n_buckets:
+                yield string_owners()
+                return
             unit = np.concatenate([np.full(len(r[2]) // 4, r[1]) for r in held])
             gram, place, doc, size, at = (np.concatenate([np.frombuffer(r[i], t) for r in held]).astype(t if i == 2 else np.int64) for i, t in ((2, "<u4"), (3, "<u4"), (4, np.int64), (5, np.uint8), (6, np.uint8)))
             text = np.frombuffer(b"".join([*(r[7] for r in held), bytes(8)]), np.uint8)
@@ -373,7 +427,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
             some = np.flatnonzero(masks)
             some = some[np.argsort(unit[some], kind="stable")]
             for of in np.split(some, np.flatnonzero(np.diff(unit[some])) + 1) if len(some) else []:
-                yield pa.RecordBatch.from_arrays([pa.array([int(unit[of[0]])], pa.int64()), pa.array([place[of].astype("<u4").tobytes()], pa.binary()), pa.array([masks[of].tobytes()], pa.binary())], names=["unit", "place", "mask"])
+                yield pa.RecordBatch.from_arrays([pa.array([int(unit[of[0]])], pa.int64()), pa.array([held[0][0]], pa.int32()), pa.array([place[of].astype("<u4").tobytes()], pa.binary()), pa.array([masks[of].tobytes()], pa.binary())], names=["unit", "bucket", "place", "mask"])
 
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(8))):
@@ -385,23 +439,36 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
             yield from out()
 
     opened = units.join(verdicts, "unit", "left").select("unit", "ids", "sizes", "texts", "codes").mapInArrow(open_pieces, "bucket int, unit bigint, gram binary, place binary, doc binary, size binary, at binary, text binary")
-    found = opened.repartitionById(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(transform, "unit bigint, place binary, mask binary")
-    masks = materialize(found, "repeats-masks").groupBy("unit").agg(F.collect_list(F.struct("place", "mask")).alias("masks"))
+    found = opened.repartitionById(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(transform, "unit bigint, bucket int, place binary, mask binary")
+    masks = materialize(found, "repeats-masks").groupBy("unit").agg(F.collect_list(F.struct("bucket", "place", "mask")).alias("masks"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             for ids, sizes, texts, told, marked in zip(*(batch.column(c) for c in ("ids", "sizes", "texts", "codes", "masks"))):
-                _, data, offsets, found = _open_unit(ids, sizes, texts, length)
+                keys, data, offsets, found = _open_unit(ids, sizes, texts, length)
                 edges = np.zeros(len(data) + 1, np.int32)
 
                 def cover(first: np.ndarray, last: np.ndarray, edges: np.ndarray = edges) -> None:
                     np.add.at(edges, first, 1)
                     np.add.at(edges, last + length, -1)
 
-                settled = codes_of(found, told) == SETTLED
+                codes, marked = codes_of(found, told), marked.as_py() or []
+                settled = codes == SETTLED
                 cover(found.first[settled], found.last[settled])
-                for row in marked.as_py() or []:
+                split = np.flatnonzero(codes == SPLIT)
+                if len(split):
+                    start, text, first, second = _strings(data, found, split, length)
+                    first, _, least, which = _distinct(first, second, keys[text])
+                    places = _split(first, n_buckets)
+                    for row in marked:
+                        if row["bucket"] >= n_buckets:
+                            least[places[row["bucket"] - n_buckets]] = np.frombuffer(row["mask"], np.int64)
+                    at = start[least[which] < keys[text]]
+                    cover(at, at)
+                for row in marked:
+                    if row["bucket"] >= n_buckets:
+                        continue
                     place, mask = np.frombuffer(row["place"], "<u4"), np.frombuffer(row["mask"], "<u8")
                     for k in range(length - GRAM + 1):
                         at = found.first[place[(mask >> np.uint64(k)) & np.uint64(1) > 0]] + k
@@ -417,4 +484,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                 yield pa.RecordBatch.from_arrays([ids.values, *(pa.array([r[i] for r in out], t) for i, t in ((0, pa.int64()), (1, pa.int64()), (2, pa.int64()), (3, pa.string()), (4, spans_type)))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
     told = units.join(verdicts, "unit", "left").join(masks, "unit", "left").select("ids", "sizes", "texts", "codes", "masks")
-    return told.mapInArrow(remove, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start:bigint,end:bigint>>")
+    out = told.mapInArrow(remove, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start:bigint,end:bigint>>")
+    # the catalog forgets the table; its files, which the result is read from, stay in the shared folder
+    spark.sql(f"DROP TABLE {name}")
+    return out

@@ -163,18 +163,61 @@ def plain_removal(rows, length):
         yield i, len(x), int(gone.sum()), spans, hashlib.sha256(bytes(np.frombuffer(x, np.uint8)[~gone])).hexdigest()
 
 
-def test_remove_repeats(docs_of, awkward, monkeypatch):
+@pytest.mark.parametrize(("length", "most"), [(50, 1024), (50, 1), (24, 2), (64, 1024)])
+def test_remove_repeats(spark, docs_of, awkward, length, most):
+    """Also with nearly every gram's strings meeting one by one, and with more buckets than shuffle partitions."""
     rng = np.random.default_rng(11)
     line = lambda n: "".join(rng.choice(list("abc é"), n))
     shared = [line(k) for k in (49, 50, 51, 80, 200)]
     rows = awkward[:6] + [(50 + i, line(30) + shared[i % 5] + line(20) + shared[(i * 3) % 5]) for i in range(25)]
     rows += [(90, "a" * 300), (91, "a" * 120), (92, "ab" * 100), (None, shared[4]), (None, shared[4]), (50, shared[4]), (93, shared[4] * 3), (94, line(4000)), (95, "")]
     rows.append((96, rows[-2][1][100:3000]))
-    want = sorted(plain_removal(rows, 50), key=repr)
-    got = remove_repeats(docs_of(rows)).collect()
+    want = sorted(plain_removal(rows, length), key=repr)
+    got = remove_repeats(docs_of(rows), length, most_pieces=most, bucket_bytes=20_000 if most == 1 else 1 << 25).collect()
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got), key=repr) == want
     assert all(sum(s.end - s.start for s in r.spans) == r.n_removed for r in got)
     assert remove_repeats(docs_of(rows).limit(0)).count() == 0
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("captionlake_units")]
+    for wrong in (23, 65):
+        with pytest.raises(ValueError, match="24 to 64"):
+            remove_repeats(docs_of(rows), wrong)
+
+
+def test_repeats_over_units_and_transforms(spark):
+    """Texts of many units, and pieces of many transforms; a passage that most texts have, each with its own text after it."""
+    rng = np.random.default_rng(7)
+    letters = np.array(list("abcdefgh \n"))
+    line = lambda n: "".join(letters[rng.integers(0, 10, n)])
+    passage, lines = line(120), [line(60) for _ in range(300)]
+    rows = []
+    for i in range(1500):
+        own = [line(int(rng.integers(20, 400)))] + [lines[int(k)][: int(rng.integers(48, 61))] + line(12) for k in rng.integers(0, 300, 6)]
+        rows.append((i, "".join([*own, passage, line(30)] if i % 3 else own)))
+    rows += [(2000 + i, line(1 << 20)) for i in range(6)]  # beyond a unit, and a block
+    rows.append((3000, rows[-1][1][1000:700_000] + rows[5][1]))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeats(docs, most_pieces=500).collect())
+    # brute force by hashes of strings, whose 64 bits no two of these share
+    first: dict[int, int] = {}
+    hashes = {}
+    for i, t in rows:
+        x = np.frombuffer(t.encode(), np.uint8).astype(np.uint64)
+        h = np.zeros(max(len(x) - 49, 0), np.uint64)
+        for k in range(50):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + x[k : k + len(h)] + np.uint64(1)
+        hashes[i] = h
+        for v in np.unique(h).tolist():
+            first.setdefault(v, i)
+    want = []
+    for i, t in rows:
+        x, gone = t.encode(), np.zeros(len(t) + 1, int)
+        hit = np.flatnonzero([first[v] < i for v in hashes[i].tolist()])
+        np.add.at(gone, hit, 1)
+        np.add.at(gone, hit + 50, -1)
+        gone = np.cumsum(gone[:-1]) > 0
+        spans = int(np.count_nonzero(np.diff(np.concatenate([[0], gone.astype(int)])) == 1))
+        want.append((i, len(x), int(gone.sum()), spans, hashlib.sha256(bytes(np.frombuffer(x, np.uint8)[~gone])).hexdigest()))
+    assert got == sorted(want)
 
 
 def test_repeats_in_parts_of_long_texts():
