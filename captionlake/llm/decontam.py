@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from captionlake.llm.common import discard, materialize
+from captionlake.llm.common import discard, materialize, spread
 from captionlake.llm.textkit import ALPHANUMERIC, LOWER_BYTES, Words, blocks_of
 
 #: Fixed pattern of words, over lower-cased UTF-8 bytes.
@@ -316,6 +316,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, text_c
     windows = materialize(window_table(benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")), width), "decontam-windows")
     items_size = F.aggregate("items", F.lit(0), lambda a, x: a + F.octet_length(x) + 8)
     n, size = windows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("words") + items_size), F.lit(0))).first()
+    docs = spread(docs)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     if n <= most_windows and size <= most_bytes:
         known = Windows.of(windows)

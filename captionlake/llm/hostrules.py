@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from captionlake.llm.common import ascii_words, let, materialize
+from captionlake.llm.common import ascii_words, let, materialize, spread
 
 
 @dataclass(frozen=True)
@@ -73,10 +73,12 @@ def host_quality(docs: DataFrame, rules: HostRules = HostRules(), id_col: str =
     variance of all hosts' rates; hosts above ``max_host_rate`` lose all their documents.
 
     Null text counts as empty (no words, so the base rules fail). A null host has no verdict: its
-    documents are judged by the base rules alone. Repeated rows and ids give one row each. An empty
-    table gives an empty result. Other columns, whatever their names, are not read.
+    documents are judged by the base rules alone. Repeated rows and ids, null ones too, give one row
+    each. Very long texts are measured whole. An empty table gives an empty result. Other columns,
+    whatever their names, are not read.
     """
-    measured = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), document_measures(F.col(text_col)).alias("m")).select("doc_id", "host", "m.*")
+    rows = spread(docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(text_col).alias("text")))
+    measured = rows.select("doc_id", "host", document_measures(F.col("text")).alias("m")).select("doc_id", "host", "m.*")
     base_failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_pct * F.col("n_words"))
     failed = base_failed | (F.col("n_symbols") > rules.max_symbols_per_word * F.col("n_words")) | (F.col("n_dup_lines") > rules.max_dup_line_share * F.col("n_lines"))
     measured = measured.withColumn("base_failed", base_failed).withColumn("failed", failed).drop("n_lines")

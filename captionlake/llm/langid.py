@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from captionlake.llm.common import spread
+
 #: Hashed n-grams: so many columns. A text has a few thousand distinct n-grams, all scripts together.
 SPACE = 1 << 19
 #: Code points handled at a time; n-grams across the cut are kept by an overlap of two.
@@ -181,7 +183,7 @@ def learn(labelled: DataFrame, fit: LanguageFit = LanguageFit(), text_col: str =
 
     Rows with a null or no letter, and texts beyond the bound of n-grams, are not learned from. None if nothing is left.
     """
-    rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
+    rows = spread(labelled.select(text_col, lang_col)).where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
     if not counts:
@@ -242,4 +244,4 @@ def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text
                     langs[at + i], scores[at + i] = known.languages[b], min(1.0, max(0.0, (1 + float(s)) / 2))
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted)], names=["row", "lang_pred", "score", "accepted"])
 
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).mapInArrow(run, T.StructType(fields))
+    return spread(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).mapInArrow(run, T.StructType(fields))

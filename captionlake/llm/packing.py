@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from captionlake.llm.common import materialize
+from captionlake.llm.common import materialize, spread
 from captionlake.llm.tokens import encoder, with_end
 
 END_ID = 1
@@ -41,8 +41,8 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
                 out = [narrow(ids[e - n : e]) for n, e in zip(counts.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays([keys, parts, pa.array(starts), pa.array(counts), pa.array(out, pa.binary())], names=_IDS.names)
 
-    read = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), F.spark_partition_id().cast("bigint").alias("part"))
-    return read.mapInArrow(run, _IDS)
+    read = spread(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")))
+    return read.withColumn("part", F.spark_partition_id().cast("bigint")).mapInArrow(run, _IDS)
 
 
 def narrow(ids: np.ndarray) -> bytes:
@@ -60,8 +60,9 @@ def concatenate_and_cut(docs: DataFrame, tokenizer_path: str, length: int = 2048
 
     Every id, the end id of each document included, lies in exactly one piece. Sequences are full
     but for the last one. Null text gives the end id alone. Repeated rows and ids are packed as rows
-    of their own. An empty table gives no pieces. Other columns are not read. Order follows the
-    input partitions; it is fixed once pass one is written, so lost executors cannot change it.
+    of their own, those without an id too, and very long texts go over many sequences. An empty table
+    gives no pieces. Other columns, whatever their names, are not read. Order follows the input
+    partitions; it is fixed once pass one is written, so lost executors cannot change it.
     """
     encoded = materialize(encode_documents(docs, tokenizer_path, id_col, text_col), "packing-ids")
     # one total for each input partition, 16 bytes each: summed in order on the driver, and known to every task

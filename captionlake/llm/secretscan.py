@@ -14,7 +14,7 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from captionlake.llm.common import let
+from captionlake.llm.common import let, spread
 
 #: The base patterns, in the order in which kinds are listed.
 BASE_PATTERNS = {
@@ -211,7 +211,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     are not read.
     """
     found = secret_spans(F.coalesce(F.col(text_col), F.lit("")), allow, allow_strings)
-    return docs.select(F.col(id_col).alias("doc_id"), found.alias("s")).select("doc_id", "s.base", "s.spans")
+    rows = spread(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias(text_col)))
+    return rows.select("doc_id", found.alias("s")).select("doc_id", "s.base", "s.spans")
 
 
 def redact(text: Column, spans: Column, mask: str = "[REDACTED]") -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from captionlake.llm.common import materialize
+from captionlake.llm.common import materialize, spread
 from captionlake.llm.graph import components
 from captionlake.llm.textkit import LOWER_BYTES
 
@@ -64,7 +64,7 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``row`` (a struct of all columns), ``uid`` (a number of its own for each row) and ``fp`` (the fingerprint as a signed 64-bit integer)."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("uid"))
+    rows = spread(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("uid"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
