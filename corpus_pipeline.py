@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from captionlake.llm.common import materialize, table
+from captionlake.llm.common import materialize, spread, table
 from captionlake.llm.decontam import decontaminate
 from captionlake.llm.langid import identify, learn
 from captionlake.llm.packing import concatenate_and_cut
@@ -39,7 +39,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every secret by a mark, and counts the characters anew; documents without one, null texts among them, stay as they are."""
     spans = F.when(F.col("text").isNotNull(), secret_spans(F.col("text"))["spans"])
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), spans.alias("spans"))
+    rows = spread(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), spans.alias("spans"))
     some, text = F.size("spans") > 0, F.col("row.text")
     clean = rows.select("row", some.alias("some"), F.when(some, redact(text, F.col("spans"))).otherwise(text).alias("text"))
     changed = {"text": F.col("text"), "n_chars": F.when(F.col("some"), F.length("text").cast("bigint")).otherwise(F.col("row.n_chars"))}
