@@ -1,7 +1,7 @@
 """Language-model scores: a word unigram base, and context-tree weighting over bytes.
 
 A byte is eight binary decisions down a tree; each decision has a context tree over the bytes before
-it, from no context to ``DEPTH`` bytes. Every node holds a Krichevsky-Trofimov estimate, and nodes are
+it, from no context to ``depth`` bytes. Every node holds a Krichevsky-Trofimov estimate, and nodes are
 mixed over all depths with the weights that the training counts give them (half the node's own
 estimate, half the product of its children, from the leaves up). Texts end with byte 255, which UTF-8
 never uses; it also stands before the first.
@@ -28,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from captionlake.llm.common import discard, materialize
+from captionlake.llm.common import discard, materialize, spread
 from captionlake.llm.textkit import LOWER_BYTES, SPACED, Words, blocks_of, mix
 
-#: Bytes of the longest context; with the byte itself at most eight.
+#: Bytes of the longest context, unless a caller says otherwise; with the byte itself at most eight.
 DEPTH = 5
 #: Contexts that agree in so many nearest bytes are in one bucket.
 DEALT = 2
@@ -72,10 +72,6 @@ def contexts(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndar
     return codes[keep], offsets[:-1] + np.arange(n)
 
 
-def triples(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return contexts(data, offsets, 2)
-
-
 def _log_gamma(x: np.ndarray) -> np.ndarray:
     """log of the gamma function for x > 0, by Stirling's series after a shift of eight."""
     shift = np.zeros_like(x)
@@ -135,7 +131,7 @@ class ContextTree:
     depth: int
 
     @classmethod
-    def of(cls, codes: np.ndarray, counts: np.ndarray, depth: int = 2) -> ContextTree:
+    def of(cls, codes: np.ndarray, counts: np.ndarray, depth: int = DEPTH) -> ContextTree:
         """The model of counts by context and byte (sorted codes); without counts every decision has probability one half."""
         return cls(weigh(codes.astype(np.uint64), counts, depth, 0)[0], depth)
 
@@ -198,12 +194,12 @@ def _split(keys: np.ndarray, buckets: int) -> list[np.ndarray]:
     return np.split(order, np.cumsum(np.bincount(bucket, minlength=buckets))[:-1])
 
 
-def _dealt(codes: np.ndarray, buckets: int) -> list[np.ndarray]:
+def _dealt(codes: np.ndarray, buckets: int, depth: int) -> list[np.ndarray]:
     """For each bucket the places of its contexts, in order."""
-    return _split(mix(codes >> (8 * (DEPTH - DEALT + 1))), buckets)
+    return _split(mix(codes >> (8 * (depth - min(DEALT, depth) + 1))), buckets)
 
 
-def count_training(train: DataFrame, buckets: int) -> DataFrame:
+def count_training(train: DataFrame, buckets: int, depth: int) -> DataFrame:
     """Counts of words and, in buckets from ``buckets`` on, of contexts: one row per bucket with sorted ``keys`` and ``counts`` as bytes (packed for contexts).
 
     Contexts are summed over a task before they are sent, or over ``HELD_CONTEXTS`` of them, and like
@@ -219,7 +215,7 @@ def count_training(train: DataFrame, buckets: int) -> DataFrame:
 
         def contexts_held() -> pa.RecordBatch:
             codes, n = merge_counts(*held)
-            return sent([(buckets + i, _pack(codes[at]), _pack(n[at])) for i, at in enumerate(_dealt(codes, buckets)) if len(at)])
+            return sent([(buckets + i, _pack(codes[at]), _pack(n[at])) for i, at in enumerate(_dealt(codes, buckets, depth)) if len(at)])
 
         for batch in batches:
             for a, b, data, offsets in _units(batch.column(0)):
@@ -228,7 +224,7 @@ def count_training(train: DataFrame, buckets: int) -> DataFrame:
                 keys, counts = np.unique(np.append(words.hashes, END_TOKEN), return_counts=True)
                 counts[np.searchsorted(keys, END_TOKEN)] += b - a - 1
                 yield sent([(i, keys[at].tobytes(), counts[at].astype("<u4").tobytes()) for i, at in enumerate(_split(keys, buckets)) if len(at)])
-                for kept, new in zip(held, np.unique(contexts(data, offsets, DEPTH)[0], return_counts=True)):
+                for kept, new in zip(held, np.unique(contexts(data, offsets, depth)[0], return_counts=True)):
                     kept.append(new)
                 if sum(map(len, held[0])) > max(limit, 1 << 20):
                     codes, n = merge_counts(*held)
@@ -284,35 +280,40 @@ def _head(counts: DataFrame, buckets: int, least: int) -> tuple[np.ndarray, np.n
     return keys[order], n[order]
 
 
-def _top(counts: DataFrame, buckets: int) -> dict[int, Level]:
-    """The tree of contexts of one byte and none. A bucket sends counts and sums of logs of at most 2 ** 16 contexts and bytes each."""
+def _top(counts: DataFrame, buckets: int, depth: int) -> dict[int, Level]:
+    """The tree of contexts shorter than those that buckets share out: of one byte and none. A bucket sends counts and sums of logs of at most 2 ** 16 contexts and bytes each."""
+    dealt = min(DEALT, depth)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for keys, n in zip(batch.column(0), batch.column(1)):
                 codes, n = _unpack(keys.as_py()), _unpack(n.as_py(), np.int64)
-                _, (nodes, logs) = weigh(codes, n, DEPTH, DEALT)
-                codes, n = merge_counts([((codes >> (8 * DEPTH)) << 8) | (codes & 255)], [n])
+                _, (nodes, logs) = weigh(codes, n, depth, dealt)
+                codes, n = merge_counts([((codes >> (8 * (depth + 2 - dealt))) << 8) | (codes & 255)], [n])
                 yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (codes, n, nodes, logs)], names=["codes", "n", "nodes", "logs"])
 
     found = counts.where(F.col("bucket") >= buckets).select("keys", "counts").mapInArrow(sums, "codes binary, n binary, nodes binary, logs binary").collect()
     of = lambda name, dtype: [np.frombuffer(r[name], dtype) for r in found]
     codes, n = merge_counts(of("codes", np.uint64), of("n", np.int64))
-    return weigh(codes, n, DEALT - 1, 0, merge_counts(of("nodes", np.uint64), of("logs", np.float64)))[0]
+    return weigh(codes, n, dealt - 1, 0, merge_counts(of("nodes", np.uint64), of("logs", np.float64)))[0]
 
 
-def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` and ``bits_per_byte`` of every row of ``docs``.
 
     Tokens are lower-cased (A-Z) words between ASCII white space and one end a text; the base score
     adds 0.1 to every count. ``score`` is the context tree's log10 probability of the text's bytes,
     lower-cased too, with the end. Null texts are empty. With nothing to train on, counts are zero
     and the context tree gives each decision one half. Rows are scored one by one, so repeated rows
-    and ids get equal results; an empty table gives an empty one. Other columns are not read.
+    and ids, null ones too, get equal results; an empty table gives an empty one. Very long texts are
+    scored whole, as units of their own. Other columns, whatever their names, are not read. ``depth``:
+    1 to 7 bytes of context.
     """
+    if not 1 <= depth <= 7:
+        raise ValueError("depth must be 1 to 7")
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = count_training(train.select(F.coalesce(text_col, F.lit(""))), buckets)
+    counts = count_training(spread(train.select(F.coalesce(text_col, F.lit("")).alias("text"))), buckets, depth)
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -322,7 +323,7 @@ def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", t
     summed = counts.where(F.col("bucket") < buckets).select("counts").mapInArrow(totals, "n bigint, v bigint").agg(F.sum("n"), F.sum("v")).first()
     total, distinct = summed[0] or 0, summed[1] or 0
     head = _head(counts, buckets, max(-(-total // HEAD_WORDS), 1))
-    shared = spark.sparkContext.broadcast((head, _top(counts, buckets)))
+    shared = spark.sparkContext.broadcast((head, _top(counts, buckets, depth)))
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,8 +348,8 @@ def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", t
                 unit = base[a]
                 text = pa.compress(data, "zstd", asbytes=True)
                 rows = [(-1, unit, text, sums.tobytes(), known.astype(np.int64).tobytes())]
-                codes = np.unique(contexts(data, offsets, DEPTH)[0])
-                rows += [(buckets + i, unit, _pack(codes[of]), None, None) for i, of in enumerate(_dealt(codes, buckets)) if len(of)]
+                codes = np.unique(contexts(data, offsets, depth)[0])
+                rows += [(buckets + i, unit, _pack(codes[of]), None, None) for i, of in enumerate(_dealt(codes, buckets, depth)) if len(of)]
                 # the other words: distinct ones of the unit, how many places each has, then documents and times (split at 255)
                 word, doc, times = word[~own], doc[~own], times[~own]
                 for i, of in enumerate(_split(keys[word], buckets) if len(word) else []):
@@ -364,7 +365,7 @@ def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", t
                 lists = pa.ListArray.from_arrays(pa.array([0, n_docs] + [n_docs] * (len(rows) - 1), pa.int32()), docs_out)
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (2, 3, 4)), lists], names=["bucket", "unit", "x", "y", "z", "docs"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"), F.monotonically_increasing_id().alias("unit"))
+    rows = spread(docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))).withColumn("unit", F.monotonically_increasing_id())
     units = materialize(rows.mapInArrow(read, f"bucket int, unit bigint, x binary, y binary, z binary, docs array<struct<doc_id:{id_type},n_tokens:bigint,bytes:bigint>>"), "lm-units")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,7 +374,7 @@ def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", t
         nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
         def tree_of(codes: np.ndarray, n: np.ndarray) -> tuple[ContextTree, np.ndarray, np.ndarray]:
-            tree = ContextTree(weigh(codes, n, DEPTH, DEALT)[0] | shared.value[1], DEPTH)
+            tree = ContextTree(weigh(codes, n, depth, min(DEALT, depth))[0] | shared.value[1], depth)
             return tree, codes, tree.logs(codes)
 
         for batch in batches:
@@ -435,10 +436,10 @@ def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", t
                     d = mine.values
                     n, size = (d.field(j).to_numpy(zero_copy_only=False) for j in (1, 2))
                     data = np.frombuffer(pa.decompress(batch.column(4)[i].as_py(), int(size.sum()), "zstd", asbytes=True), np.uint8)
-                    codes, first = contexts(data, np.append(0, np.cumsum(size)), DEPTH)
+                    codes, first = contexts(data, np.append(0, np.cumsum(size)), depth)
                     codes, at = np.unique(codes, return_inverse=True)
                     each = np.zeros(len(codes))
-                    for j, of in enumerate(_dealt(codes, buckets)):
+                    for j, of in enumerate(_dealt(codes, buckets, depth)):
                         if len(of):
                             each[of] = logs[j]
                     score = np.add.reduceat(each[at], first)

@@ -320,22 +320,22 @@ def test_unigram_scores(docs_of, awkward):
     assert all(r.score < 0 and r.n_known == 0 for r in score_documents(docs, train.limit(0)).collect())
 
 
-def plain_tree(train: list[bytes], text: bytes) -> float:
+def plain_tree(train: list[bytes], text: bytes, longest: int) -> float:
     """Context-tree weighting by its recursive definition, with counts frozen after training."""
     counts: Counter = Counter()
     for t in train:
-        stream = b"\xff\xff" + t + b"\xff"
-        for i in range(2, len(stream)):
+        stream = b"\xff" * longest + t + b"\xff"
+        for i in range(longest, len(stream)):
             for bit in range(8):
                 node = (1 << bit) | stream[i] >> (8 - bit)
-                for depth in range(3):
+                for depth in range(longest + 1):
                     counts[stream[i - depth : i], node, stream[i] >> (7 - bit) & 1] += 1
     kt = lambda a, b: math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
     contexts = {c for c, _, _ in counts}
 
     def weighted(c, node):
         own = kt(counts[c, node, 0], counts[c, node, 1])
-        if len(c) == 2:
+        if len(c) == longest:
             return own
         kids = sum(weighted(k, node) for k in contexts if len(k) == len(c) + 1 and k[1:] == c)
         return math.log(0.5) + max(own, kids) + math.log1p(math.exp(-abs(own - kids)))
@@ -343,50 +343,56 @@ def plain_tree(train: list[bytes], text: bytes) -> float:
     def predict(c, node, past):
         a, b = counts[c, node, 0], counts[c, node, 1]
         own = (b + 0.5) / (a + b + 1)
-        if len(c) == 2:
+        if len(c) == longest:
             return own
         w = math.exp(math.log(0.5) + kt(a, b) - weighted(c, node))
         longer = past[len(past) - len(c) - 1 :]
         return w * own + (1 - w) * (predict(longer, node, past) if longer in contexts else 0.5)
 
-    stream, total = b"\xff\xff" + text + b"\xff", 0.0
-    for i in range(2, len(stream)):
+    stream, total = b"\xff" * longest + text + b"\xff", 0.0
+    for i in range(longest, len(stream)):
         for bit in range(8):
             p = predict(b"", (1 << bit) | stream[i] >> (8 - bit), stream[:i])
             total += math.log10(p if stream[i] >> (7 - bit) & 1 else 1 - p)
     return total
 
 
-def test_context_tree_by_definition():
-    from captionlake.llm.ctw import triples
+@pytest.mark.parametrize("depth", [1, 2, 5])
+def test_context_tree_by_definition(depth):
+    from captionlake.llm.ctw import contexts
 
     def columns(texts):
         return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])
 
     train, texts = [b"abab abc", b"", b"ba"], [b"ab", b"", b"zq\xc3\xa9", b"abab"]
-    codes, n = np.unique(triples(*columns(train))[0], return_counts=True)
-    got = ContextTree.of(codes.astype(np.int64), n).score(*columns(texts))
-    assert np.allclose(got, [plain_tree(train, t) for t in texts], rtol=1e-9)
-    blank = ContextTree.of(np.zeros(0, np.int64), np.zeros(0, np.int64)).score(*columns([b"ab"]))
+    codes, n = np.unique(contexts(*columns(train), depth)[0], return_counts=True)
+    got = ContextTree.of(codes, n, depth).score(*columns(texts))
+    assert np.allclose(got, [plain_tree(train, t, depth) for t in texts], rtol=1e-9)
+    blank = ContextTree.of(np.zeros(0, np.int64), np.zeros(0, np.int64), depth).score(*columns([b"ab"]))
     assert np.allclose(blank, 24 * math.log10(0.5))
 
 
-def test_scores_use_long_contexts(spark, docs_of, awkward):
-    from captionlake.llm.ctw import DEPTH, contexts
+@pytest.mark.parametrize("depth", [1, 3, 5, 7])
+def test_scores_use_long_contexts(spark, docs_of, awkward, depth):
+    """The distributed scores against one tree of all contexts, which another test holds against the definition."""
+    from captionlake.llm.ctw import contexts
 
     rows = [(i, t) for i, t in awkward if i is None or i not in (7, 8)]
     rows += [(40 + i, ("1abcdX 2abcdY " if i % 2 else "2abcdY 1abcdX ") * 20) for i in range(40)] + [(90, "1abcdX 1abcdX"), (91, "1abcdY 1abcdY"), (92, "never seen zq" * 5)]
     docs = docs_of(rows)
-    got = score_documents(docs, docs.where("doc_id < 80")).collect()
+    got = score_documents(docs, docs.where("doc_id < 80"), depth=depth).collect()
     texts = [low(t).encode() for i, t in rows if i is not None and i < 80]
-    codes, n = np.unique(contexts(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts]), DEPTH)[0], return_counts=True)
-    tree = ContextTree.of(codes, n, DEPTH)
+    codes, n = np.unique(contexts(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts]), depth)[0], return_counts=True)
+    tree = ContextTree.of(codes, n, depth)
     want = [(i, round(float(tree.score(np.frombuffer(low(t).encode(), np.uint8), np.array([0, len(low(t).encode())]))[0]), 3)) for i, t in rows]
-    assert DEPTH >= 4 and len(got) == len(want)
+    assert len(got) == len(want)
     for (i, a), (j, b) in zip(by_row((r.doc_id, r.score) for r in got), by_row(want)):
         assert i == j and a == pytest.approx(b, abs=2e-3, rel=1e-5)
     of = {r.doc_id: r.score for r in got}
-    assert of[90] > of[91] + 2  # only the byte before "abcd" tells X from Y
+    # only the byte before "abcd" tells X from Y
+    assert (of[90] > of[91] + 2) == (depth >= 5)
+    with pytest.raises(ValueError, match="1 to 7"):
+        score_documents(docs, docs, depth=8)
 
 
 def test_digest_of_nothing(docs_of):
