@@ -53,12 +53,15 @@ def rank_breaks(pairs: DataFrame, params: ChunkParams, ndigits: int | None = Non
     return ranked.select("*", band.alias("band"), F.max(after).over(whole).alias("threshold"), F.bround(F.col("rank") / F.col("n_pairs") * 100, 1).alias("strength_pct"))
 
 
-def choose_breaks(ranked: DataFrame, sizes: DataFrame, params: ChunkParams) -> DataFrame:
-    """(file_id, n, breaks): 0, n, all absolute breaks, and candidates from the weakest up that keep their distance."""
-    picked = ranked.where("band <> 'none'").groupBy("file_id").agg(
+def _folded(ranked: DataFrame, sizes: DataFrame, params: ChunkParams) -> DataFrame:
+    """(file_id, n, breaks, pairs, threshold): breaks in order, and by position the ranked pairs that may be breaks, of which a file has few."""
+    pair = F.struct("strength_pct", F.bround("similarity", 4).alias("cosine"), F.bround("strength", 4).alias("strength"))
+    chosen = F.col("band") != "none"
+    picked = ranked.groupBy("file_id").agg(
         F.collect_list(F.when(F.col("band") == "absolute", F.col("pos"))).alias("absolute"),
         F.array_sort(F.collect_list(F.when(F.col("band") == "candidate", F.struct((-F.col("rank")).alias("r"), F.col("pos").alias("p"))))).alias("pending"),
-    )
+        F.map_from_entries(F.collect_list(F.when(chosen, F.struct("pos", pair)))).alias("pairs"), F.max("threshold").alias("threshold"),
+    )
 
     def admit(breaks: Column, c: Column) -> Column:
         left = F.array_max(F.filter(breaks, lambda x: x <= c["p"]))
@@ -68,35 +71,33 @@ def choose_breaks(ranked: DataFrame, sizes: DataFrame, params: ChunkParams) -> D
 
     joined = picked.join(sizes, "file_id").withColumn("n", F.col("n").cast("int"))
     first = F.array_union(F.array(F.lit(0), F.col("n")), F.col("absolute").cast("array<int>"))
-    return joined.select("file_id", "n", F.array_sort(F.aggregate("pending", first, lambda b, c: admit(b, c.withField("p", c["p"].cast("int"))))).alias("breaks"))
+    breaks = F.array_sort(F.aggregate("pending", first, lambda b, c: admit(b, c.withField("p", c["p"].cast("int")))))
+    return joined.select("file_id", "n", breaks.alias("breaks"), "pairs", "threshold")
 
 
-def segments_of(breaks: DataFrame) -> DataFrame:
-    """(file_id, n, start_idx, end_idx exclusive) between consecutive breaks."""
-    order = Window.partitionBy("file_id").orderBy("start_idx")
-    rows = breaks.select("file_id", "n", F.explode("breaks").alias("start_idx"))
-    return rows.withColumn("end_idx", F.lead("start_idx").over(order)).where("end_idx IS NOT NULL")
+def choose_breaks(ranked: DataFrame, sizes: DataFrame, params: ChunkParams) -> DataFrame:
+    """(file_id, n, breaks): 0, n, all absolute breaks, and candidates from the weakest up that keep their distance."""
+    return _folded(ranked, sizes, params).select("file_id", "n", "breaks")
 
 
-def _boundary(side: str, pos: Column, n: Column) -> Column:
-    """Boundary struct of a break from its ranked pair (columns prefixed by ``side``)."""
-    at = lambda c: F.col(f"{side}_{c}")
-    label = F.when(pos == 0, FILE_START).when(pos == n, FILE_END).otherwise(F.coalesce(F.concat(at("strength_pct").cast("string"), F.lit("%")), F.lit("-")))
+def _boundary(pos: Column, n: Column, pair: Column) -> Column:
+    """Boundary struct of a break from its ranked pair."""
+    label = F.when(pos == 0, FILE_START).when(pos == n, FILE_END).otherwise(F.coalesce(F.concat(pair["strength_pct"].cast("string"), F.lit("%")), F.lit("-")))
     which = F.when(pos == 0, "left").when(pos == n, "right").otherwise("auto")
-    return F.struct(which.alias("boundary_side"), at("strength_pct").alias("strength_pct"), at("cosine").alias("cosine"), at("strength").alias("strength"), label.alias("label"))
+    return F.struct(which.alias("boundary_side"), pair["strength_pct"].alias("strength_pct"), pair["cosine"].alias("cosine"), pair["strength"].alias("strength"), label.alias("label"))
 
 
-def annotate_segments(segments: DataFrame, ranked: DataFrame) -> DataFrame:
-    """Both ends' boundary structs, and the file's strong threshold."""
-    meta = ranked.select("file_id", "pos", "strength_pct", F.bround("similarity", 4).alias("cosine"), F.bround("strength", 4).alias("strength"))
-    for side, pos in (("left", "start_idx"), ("right", "end_idx")):
-        own = meta.select("file_id", F.col("pos").alias(pos), *[F.col(c).alias(f"{side}_{c}") for c in ("strength_pct", "cosine", "strength")])
-        segments = segments.join(own, ["file_id", pos], "left")
-    thresholds = ranked.groupBy("file_id").agg(F.max("threshold").alias("threshold"))
-    rows = segments.join(thresholds, "file_id", "left")
+def cut_segments(ranked: DataFrame, sizes: DataFrame, params: ChunkParams) -> DataFrame:
+    """(file_id, n, start_idx, end_idx exclusive) between consecutive breaks, with both ends' boundary structs and the file's strong threshold.
+
+    All of a file is in its one folded row, so the ranked pairs are computed once and joined with nothing.
+    """
+    files = _folded(ranked, sizes, params)
+    ends = F.transform(F.slice("breaks", 1, F.size("breaks") - 1), lambda x, i: F.struct(x.alias("a"), F.get("breaks", i + 1).alias("b")))
+    rows = files.select("file_id", "n", "threshold", "pairs", F.explode(ends).alias("s")).select("file_id", "n", "threshold", F.col("s.a").alias("start_idx"), F.col("s.b").alias("end_idx"), F.try_element_at("pairs", F.col("s.a")).alias("l"), F.try_element_at("pairs", F.col("s.b")).alias("r"))
     return rows.select(
         "file_id", "n", "start_idx", "end_idx", (F.col("end_idx") - F.col("start_idx")).alias("entry_count"), "threshold",
-        _boundary("left", F.col("start_idx"), F.col("n")).alias("left_boundary"), _boundary("right", F.col("end_idx"), F.col("n")).alias("right_boundary"),
+        _boundary(F.col("start_idx"), F.col("n"), F.col("l")).alias("left_boundary"), _boundary(F.col("end_idx"), F.col("n"), F.col("r")).alias("right_boundary"),
     )
 
 
@@ -124,7 +125,7 @@ def smart_merge(entries: DataFrame, vectors: DataFrame, params: ChunkParams = Ch
     pairs = F.greatest(F.lit(0), F.col("n") - 2 * w + 1)
     kinds = kinds.withColumn("kind", F.when(F.col("n") < w, "single").when(F.col("valid") < 5, "failed").when(pairs == 0, "single").otherwise("semantic"))
     semantic = kinds.where("kind = 'semantic'").select("file_id", "n")
-    cut = noise_filter(annotate_segments(segments_of(choose_breaks(ranked, semantic, params)), ranked), params)
+    cut = noise_filter(cut_segments(ranked, semantic, params), params)
     single = kinds.where("kind = 'single'").select("file_id", F.lit(0).alias("start_idx"), F.col("n").alias("end_idx"))
     spans = cut.withColumn("boundary_type", F.lit("semantic")).unionByName(single.withColumn("boundary_type", F.lit("single_chunk")), allowMissingColumns=True)
     # entries find their segment by a running count of starts: equal keys, no range join

@@ -110,9 +110,7 @@ segments AS (SELECT s.file_id, start_idx, end_idx, CAST(end_idx - start_idx AS I
 
 
 def _segments(spark, d):
-    ranked = _ranked(spark, d)
-    breaks = chunking.choose_breaks(ranked, _vector_sizes(spark, d), MERGE)
-    return chunking.annotate_segments(chunking.segments_of(breaks), ranked)
+    return chunking.cut_segments(_ranked(spark, d), _vector_sizes(spark, d), MERGE)
 
 
 @query(f"WITH {_SEGMENTS} SELECT CAST(file_id AS VARCHAR) || '_' || CAST(start_idx AS VARCHAR) AS chunk_id, start_idx, end_idx, entry_count, left_label, right_label, left_strength, right_strength FROM segments")
