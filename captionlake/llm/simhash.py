@@ -24,7 +24,7 @@ from captionlake.llm.textkit import LOWER_BYTES
 
 SEED = 42
 RADIUS = 3
-#: Fingerprints of a bucket that one task compares; larger buckets are dealt out in pairs of tiles of half this size.
+#: Fingerprints of a bucket that one task compares. Larger buckets are split by further bits; what is larger still is dealt out in pairs of tiles of half this size.
 TILE = 16_384
 #: Rows of the table of oversized buckets that may be broadcast.
 BROADCAST_BUCKETS = 100_000
@@ -190,19 +190,42 @@ def scheme(n: int) -> list[int]:
     return [sum(chosen) for chosen in combinations(parts, blocks - RADIUS)]
 
 
+def open_parts(mask: int) -> list[int]:
+    """Four masks that share out the bits beyond ``mask``, as signed numbers: of two linked fingerprints that agree on ``mask``, one leaves no difference."""
+    bits = [b for b in range(64) if not mask >> b & 1]
+    cuts = [len(bits) * i // (RADIUS + 1) for i in range(RADIUS + 2)]
+    found = [sum(1 << b for b in bits[x:y]) for x, y in zip(cuts, cuts[1:])]
+    return [m - (1 << 64) if m >> 63 else m for m in found]
+
+
 def _links(distinct: DataFrame, n: int, tile: int) -> DataFrame:
     """Edges between representatives (``fp``, ``rep``) that join the components within every bucket."""
     spark = distinct.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     masks = [m - (1 << 64) if m >= 1 << 63 else m for m in scheme(n)]
     keys = distinct.select("rep", "fp", F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks)])).alias("k")).select("rep", "fp", "k.c", "k.key")
-    large = materialize(keys.groupBy("c", "key").agg(F.count("*").alias("n")).where(F.col("n") > tile).select("c", "key", F.ceil(F.col("n") / (tile // 2)).cast("int").alias("t")), "simhash-large")
-    n_large = large.count()
+
+    def oversized(rows: DataFrame) -> tuple[DataFrame, int]:
+        """Buckets of more than a tile with ``t``, the number of half tiles that they fill."""
+        found = rows.groupBy("c", "key").agg(F.count("*").alias("n")).where(F.col("n") > tile)
+        found = materialize(found.select("c", "key", F.ceil(F.col("n") / (tile // 2)).cast("int").alias("t")), "simhash-large")
+        n = found.count()
+        return (F.broadcast(found) if n <= BROADCAST_BUCKETS else found), n
+
+    large, n_large = oversized(keys)
+    if n_large:
+        # the fingerprints of an oversized bucket agree on one of four parts of the bits that it leaves open
+        parts_of = F.array(*[F.array(*[F.lit(x).cast("bigint") for x in open_parts(m)]) for m in masks])
+        flagged = keys.join(large, ["c", "key"], "left")
+        sub = F.transform(F.get(parts_of, F.col("c")), lambda m, i: F.xxhash64("key", i, F.col("fp").bitwiseAND(m)))
+        keys = flagged.withColumn("split", F.col("t").isNotNull()).withColumn("key", F.explode(F.when(F.col("t").isNotNull(), sub).otherwise(F.array("key")))).drop("t")
+        large, n_large = oversized(keys.where("split"))
+        keys = keys.drop("split")
     if n_large:
         own = F.pmod(F.xxhash64("rep", "fp"), F.col("t")).cast("int")
         others = F.filter(F.sequence(F.lit(0), F.col("t") - 1), lambda j: j != F.col("own"))
         pairs = F.transform(others, lambda j: F.least(j, F.col("own")).cast("bigint") * (1 << 31) + F.greatest(j, F.col("own")))
-        keys = keys.join(F.broadcast(large) if n_large <= BROADCAST_BUCKETS else large, ["c", "key"], "left")
+        keys = keys.join(large, ["c", "key"], "left")
         keys = keys.withColumn("own", F.coalesce(own, F.lit(0))).withColumn("pair", F.explode(F.when(F.col("t").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(pairs)))
     else:
         keys = keys.withColumn("pair", F.lit(0).cast("bigint"))

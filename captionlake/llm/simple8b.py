@@ -136,13 +136,15 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_i
 
     Columns: ``part`` and ``seq`` (the order of segments), ``n_ids``, ``doc_ids`` and ``doc_tokens``
     (arrays), ``payload``. Null texts are empty; every document ends with the end id. Null ids come
-    first; rows with the same id follow each other by the hash of their texts. An empty table gives
-    no segments. Ranges are dealt by id and text hash, so many rows of one id are split.
+    first; rows with the same id follow each other by the hash of their texts. Very long texts are
+    encoded whole, as segments of their own. An empty table gives no segments. Other columns, whatever
+    their names, are not read. Ranges are dealt by id, text hash and place in the input, so many rows of
+    one id, and repeated rows, are split.
     """
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.xxhash64(text_col).alias("h"))
-    rows = rows.repartitionByRange(n, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text", F.spark_partition_id().cast("bigint").alias("part"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.xxhash64(text_col).alias("h"), F.monotonically_increasing_id().alias("row"))
+    rows = rows.repartitionByRange(n, "doc_id", "h", "row").sortWithinPartitions("doc_id", "h", "row").select("doc_id", "text", F.spark_partition_id().cast("bigint").alias("part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_text, seq, part = encoder(tokenizer_path), 0, 0

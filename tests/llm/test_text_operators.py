@@ -398,3 +398,17 @@ def test_scores_use_long_contexts(spark, docs_of, awkward, depth):
 def test_digest_of_nothing(docs_of):
     row = scan_secrets(docs_of([(1, "")])).select(F.sha2(spans_string(F.col("base")), 256).alias("h")).first()
     assert row.h == hashlib.sha256(b"").hexdigest()
+
+
+def test_spread_of_a_single_split(spark, tmp_path):
+    from captionlake.llm.common import SPREAD_BYTES, spread
+
+    rng = np.random.default_rng(1)
+    rows = [(i if i % 3 else None, rng.bytes(SPREAD_BYTES // 200).hex()) for i in range(300)]
+    spark.createDataFrame([*rows, rows[1]], "doc_id bigint, text string").coalesce(1).write.parquet(str(tmp_path / "one"))
+    docs = spark.read.parquet(str(tmp_path / "one"))
+    dealt = spread(docs)
+    assert dealt.rdd.getNumPartitions() > 1 and dealt.columns == docs.columns
+    assert Counter(map(tuple, dealt.collect())) == Counter([*rows, rows[1]])
+    few = docs.limit(3)
+    assert spread(few) is few and spread(dealt) is dealt
