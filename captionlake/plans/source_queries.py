@@ -310,16 +310,18 @@ def error_document(spark, d):
     return found.select(F.array_join(F.transform("by_status", lambda x: F.concat_ws("=", x["status"], x["n"].cast("string"))), ",").alias("by_status"), "total", "done", F.size("patterns").alias("patterns"))
 
 
-@query("SELECT 6 AS scores, 'A' AS first_letter, 'CRITICAL' AS first_severity, 3 AS issues, 0 AS exit_code")
+@query("SELECT 6 AS scores, 'A' AS first_letter, 'CRITICAL,WARN,INFO,INFO' AS severities, 2 AS infos, 0 AS exit_code")
 def audit_report(spark, d):
-    """The audit as one document, worst issues first."""
+    """The audit as a summary, and its issues with the worst first."""
     files = rows_of(spark, "batch string, file_id bigint", [("b", 1)])
     scores = rows_of(spark, "batch string, letter string, score double, issue_count bigint", [("b", x, 95.0, 1) for x in "ABCDEF"])
-    issues = rows_of(spark, "batch string, file_id bigint, severity string, check string, msg string", [("b", 1, "INFO", "F0", "x"), ("b", 1, "CRITICAL", "A0", "x"), ("b", 1, "WARN", "A2", "x")])
+    issues = rows_of(spark, "batch string, file_id bigint, severity string, check string, msg string", [("b", 1, "INFO", "F0", "x"), ("b", 1, "CRITICAL", "A0", "x"), ("b", 1, "WARN", "A2", "x"), ("b", 2, "INFO", "F0", "x")])
     path = fresh_path(spark, "audit")
-    reports.write_json(reports.audit_document(files, issues, scores), path)
-    found = spark.read.json(path)
-    return found.select(F.size("scores").alias("scores"), F.col("scores")[0]["letter"].alias("first_letter"), F.col("issues")[0]["severity"].alias("first_severity"), F.size("issues").alias("issues"), F.col("exit_code").cast("int").alias("exit_code"))
+    reports.write_audit(files, issues, scores, path)
+    listed = spark.read.json(f"{path}/issues").select("severity", F.col("_metadata.file_name").alias("f"), F.monotonically_increasing_id().alias("at"))
+    said = listed.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("f", "at", "severity"))), lambda x: x["severity"]), ",").alias("severities"))
+    found = spark.read.json(f"{path}/summary").select(F.size("scores").alias("scores"), F.col("scores")[0]["letter"].alias("first_letter"), F.col("issue_counts.INFO").cast("int").alias("infos"), F.col("exit_code").cast("int").alias("exit_code"))
+    return found.crossJoin(said)
 
 
 # --- streams -------------------------------------------------------------------------------------
