@@ -244,7 +244,7 @@ def transition_outcome(spark, d):
 SELECT phase, file_id, CAST(place AS INTEGER) AS place, place <= 3 AS granted FROM w""")
 def slot_allocation(spark, d):
     waiting = b.table(spark, d, "events").select(F.col("event_type").alias("phase"), F.col("event_id").alias("file_id"), F.col("ts").alias("arrival"))
-    return status.slot_allocation(waiting, 3).drop("arrival")
+    return status.slot_allocation(waiting, 3).drop("arrival").withColumn("place", F.col("place").cast("int"))
 
 
 @query(f"WITH {b.CHUNKS} SELECT file_id, chunk_id, retry_count FROM chunks WHERE status = 'failed' AND retry_count < 3")
