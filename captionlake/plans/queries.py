@@ -17,6 +17,7 @@ from captionlake.schemas import TRANSITIONS
 from captionlake.sources.manifest import preflight
 from captionlake.sources.srt import parse_srt, write_srt
 from captionlake.sources.tables import merge_upsert
+from captionlake.workspace import materialize
 
 #: Smart merge over the embeddings: windows of three, wide bands, short distances.
 MERGE = ChunkParams(window_size=3, min_sentences=4, high_pct=0.3, low_pct=0.05)
@@ -371,7 +372,7 @@ UNION ALL SELECT DISTINCT x.batch, NULL, 'INFO', 'F2' FROM (SELECT DISTINCT batc
 
 
 def _audit_issues(spark, d):
-    files = audit_inputs(spark, d)
+    files = materialize(audit_inputs(spark, d), "audit-files")
     manifest = files.select("file_id").where("file_id % 10 <> 9")
     return files, audit.audit_issues(files, b.as_of(spark, d), manifest)
 
