@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,6 +27,8 @@ class RateParams:
     down: float = 0.5
     min_latencies: int = 10
     good_ms: float = 1000.0
+    #: Latencies that the mean is of, the last ones; None for all of a key.
+    keep: int | None = 100
 
 
 class Breaker:
@@ -60,15 +63,19 @@ class Breaker:
 
 class Throttle:
     def __init__(self, p: RateParams):
-        self.p, self.rate, self.seen = p, p.start, []
+        self.p, self.rate, self.seen, self.n, self.total = p, p.start, deque(maxlen=p.keep), 0, 0.0
 
     def call(self, latency_ms: float, ok: bool) -> float:
         if not ok:
             self.rate = max(self.p.low, self.rate * self.p.down)
             return self.rate
-        self.seen = [*self.seen[-99:], latency_ms]
-        if len(self.seen) >= self.p.min_latencies:
-            fast = sum(self.seen) / len(self.seen) < self.p.good_ms
+        if self.p.keep is None:  # of all of them, a sum in order is enough
+            self.n, self.total = self.n + 1, self.total + latency_ms
+        else:
+            self.seen.append(latency_ms)
+            self.n, self.total = len(self.seen), sum(self.seen)
+        if self.n >= self.p.min_latencies:
+            fast = self.total / self.n < self.p.good_ms
             self.rate = min(self.p.high, self.rate * self.p.up) if fast else max(self.p.low, self.rate * self.p.down)
         return self.rate
 

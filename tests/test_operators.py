@@ -226,3 +226,22 @@ def test_breaker_and_throttle(spark):
             state, through = b.call(at, ok)
             want.append((i, state, through, t.call(ms, ok) if through else t.rate))
         assert sorted((r.seq, r.state, r.let_through, r.rate) for r in got if r.key == k) == want
+
+
+def test_adaptive_rate_of_keys_with_many_calls(spark, tmp_path):
+    """Of one key's 400 calls the first 150 are slow: the mean is of all so far, as in the SQL, not of the last hundred."""
+    import duckdb
+
+    from captionlake.plans import gate_queries
+    from captionlake.plans.registry import SQL
+
+    start = dt.datetime(2026, 1, 1)
+    rows = [(i, start + dt.timedelta(seconds=i), 7, "click", 100.0 if i < 150 else i % 10 / 8) for i in range(400)]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    got = sorted(map(tuple, gate_queries.adaptive_rate(spark, str(tmp_path)).collect()))
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert got == sorted(db.sql(SQL["adaptive_rate"]).fetchall())
+    assert {r[2] for r in got[150:260]} == {1.0} and got[-1][2] == 50.0
+    last = resilience.Throttle(resilience.RateParams(good_ms=1200.0))
+    assert [last.call(r[4] * 25, True) for r in rows][259] == 50.0
