@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from captionlake.config import AuditParams
+from captionlake.functions.rows import each
 from captionlake.functions.text import age_seconds, per_second, utc_timestamp
 from captionlake.operators.ordered import place
 from captionlake.schemas import ACTIVE, CHUNK_STATES, FAILED, STATES, TERMINAL
@@ -151,7 +152,7 @@ def audit_issues(files: DataFrame, as_of: Column, manifest: DataFrame | None = N
     per_chunk = F.flatten(F.transform("chunks", lambda c, i: F.array(*_chunk_issues(c, i, params))))
     found = F.concat(F.array(*_file_issues(F.col("_age"), params), _sum_issue()), per_chunk, _duplicate_issues(), F.coalesce(_mismatch_issues(), blank))
     aged = files.withColumn("_age", age_seconds(utc_timestamp(F.col("last_updated")), as_of))
-    own = aged.select("batch", "file_id", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("x")).select("batch", "file_id", "x.*")
+    own = each(aged, F.filter(found, lambda x: x.isNotNull()), "x", "batch", "file_id").select("batch", "file_id", "x.*")
     nobody = F.lit(None).cast(files.schema["file_id"].dataType).alias("file_id")
     out = [own, _model_issues(files, params).select("batch", nobody, "x.*")]
     if manifest is None:
@@ -165,7 +166,7 @@ def audit_issues(files: DataFrame, as_of: Column, manifest: DataFrame | None = N
 
 
 def _model_issues(files: DataFrame, params: AuditParams) -> DataFrame:
-    chunks = files.select("batch", F.explode("chunks").alias("c")).where("c.is_object")
+    chunks = each(files, "chunks", "c", "batch").where("c.is_object")
     status = F.coalesce("c.status", F.lit(""))
     by_model = chunks.groupBy("batch", F.coalesce("c.model_used", F.lit("?")).alias("m")).agg(F.count_if(status == "done").alias("ok"), F.count_if(status.isin(FAILED)).alias("bad"))
     rows = by_model.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("m", "ok", "bad"))).alias("models"), F.sum("ok").alias("ok"), F.sum("bad").alias("bad"))

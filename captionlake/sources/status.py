@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from captionlake.functions.rows import each
 from captionlake.operators.audit import REQUIRED
 from captionlake.schemas import CHUNK_STATUS, DIAGNOSTICS, FILE_STATUS
 
@@ -16,11 +19,13 @@ def read_status(spark: SparkSession, path: str, pattern: str = "batch_status_*.j
 
 
 def status_problems(docs: DataFrame) -> DataFrame:
+    # of a document that is no list the files are what it needs a schema for
     parsed = F.try_parse_json("raw")
-    shape = F.schema_of_variant(parsed)
-    listed = F.startswith(shape, F.lit("ARRAY")) | F.contains(shape, F.lit("files: ARRAY"))
-    problem = F.when(parsed.isNull(), "not JSON").when(~listed, "not a list").when(F.regexp_replace("raw", r"\s", "").isin("[]", '{"files":[]}'), "empty")
-    return docs.withColumn("problem", problem)
+    is_list = F.startswith(F.trim("raw"), F.lit("["))
+    shape = F.when(is_list, F.when(parsed.isNotNull(), "ARRAY")).otherwise(F.schema_of_variant(parsed))
+    listed = F.startswith("_shape", F.lit("ARRAY")) | F.contains("_shape", F.lit("files: ARRAY"))
+    problem = F.when(F.col("_shape").isNull(), "not JSON").when(~listed, "not a list").when(F.rlike("raw", F.lit(r'\A\s*(\[\s*\]|\{\s*"files"\s*:\s*\[\s*\]\s*\})\s*\z')), "empty")
+    return docs.withColumn("_shape", shape).withColumn("problem", problem).drop("_shape")
 
 
 def document_issues(docs: DataFrame) -> DataFrame:
@@ -35,13 +40,22 @@ def _filled(json: Column) -> Column:
     return ~F.coalesce(F.regexp_replace(json, r"\s", ""), F.lit("")).isin("", "null", "[]", "{}", '""', "0", "false")
 
 
+def _bound(value: Column, f) -> Column:
+    """``f`` of a value that is computed once: Spark computes a plain expression as often as it occurs."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def chunk_errors(errors: Column, error: Column, model: Column) -> Column:
     """Errors of a chunk as (model, message), from a list of objects or texts, or a text; ``error`` counts where ``errors`` is empty."""
-    json = F.when(_filled(errors), errors).when(_filled(error), error)
     message = lambda x: F.coalesce(F.get_json_object(x, "$.message"), x)
-    one = lambda x: F.struct(F.coalesce(F.get_json_object(x, "$.model"), model).alias("model"), F.when(F.startswith(F.trim(x), F.lit("{")), message(x)).otherwise(x).alias("message"))
-    listed = F.when(F.startswith(F.trim(json), F.lit("[")), F.from_json(json, "array<string>")).when(json.isNotNull(), F.array(json))
-    return F.transform(F.coalesce(listed, F.array().cast("array<string>")), one)
+    is_object = lambda x: F.startswith(F.trim(x), F.lit("{"))
+    # a text that is no object has no fields
+    named = lambda x: F.coalesce(F.when(is_object(x), F.get_json_object(x, "$.model")), model)
+    one = lambda x: F.struct(named(x).alias("model"), F.when(is_object(x), message(x)).otherwise(x).alias("message"))
+    none = F.array().cast("array<string>")
+    listed = lambda json: F.coalesce(F.when(F.startswith(F.trim(json), F.lit("[")), F.from_json(json, "array<string>")).when(json.isNotNull(), F.array(json)), none)
+    json = F.when(_filled(errors), errors).when(_filled(error), error)
+    return F.transform(F.when(errors.isNull() & error.isNull(), none).otherwise(_bound(json, listed)), one)
 
 
 def file_facts(docs: DataFrame) -> DataFrame:
@@ -53,21 +67,24 @@ def file_facts(docs: DataFrame) -> DataFrame:
     """
     is_list = F.startswith(F.col("raw"), F.lit("["))
     texts = F.when(is_list, F.from_json("raw", "array<string>")).otherwise(F.from_json("raw", "struct<files:array<string>>")["files"])
-    items = docs.where("problem IS NULL").select("batch", F.explode(texts).alias("item"))
+    items = each(docs, F.when(F.col("problem").isNull(), texts), "item", "batch")
     keys = F.coalesce(F.json_object_keys("item"), F.array().cast("array<string>"))
-    rows = items.select("batch", F.array_except(F.array(*[F.lit(x) for x in REQUIRED]), keys).alias("missing"), F.from_json("item", FILE_STATUS).alias("f"))
+    absent = F.array_except(F.array(*[F.lit(x) for x in REQUIRED]), keys)
+    # what has a value is there: keys are looked at only where one lacks
+    whole = reduce(Column.__and__, [F.col(f"f.{x}").isNotNull() for x in REQUIRED])
+    rows = items.withColumn("f", F.from_json("item", FILE_STATUS)).select("batch", F.when(whole, F.array().cast("array<string>")).otherwise(absent).alias("missing"), "f")
     listed = F.startswith(F.trim("f.chunks"), F.lit("["))
     elements = F.when(listed, F.from_json("f.chunks", "array<string>")).otherwise(F.array().cast("array<string>"))
 
     def read(text: Column) -> Column:
         is_object = F.coalesce(F.startswith(F.trim(text), F.lit("{")), F.lit(False))
-        has_id = F.coalesce(F.array_contains(F.json_object_keys(text), "chunk_id"), F.lit(False))
-        return F.struct(F.from_json(F.when(is_object, text), CHUNK_STATUS).alias("c"), is_object.alias("is_object"), has_id.alias("has_id"))
+        return F.struct(F.from_json(F.when(is_object, text), CHUNK_STATUS).alias("c"), is_object.alias("is_object"), text.alias("text"))
 
     def chunk(x: Column) -> Column:
         c = x["c"]
         kept = [c[n].alias(n) for n in ("chunk_id", "status", "model_used", "retry_count", "char_count", "elapsed_sec", "summary_preview")]
-        return F.struct(*kept, x["is_object"].alias("is_object"), x["has_id"].alias("has_id"), chunk_errors(c["errors"], c["error"], c["model_used"]).alias("errors"))
+        has_id = c["chunk_id"].isNotNull() | F.coalesce(F.array_contains(F.json_object_keys(x["text"]), "chunk_id"), F.lit(False))
+        return F.struct(*kept, x["is_object"].alias("is_object"), has_id.alias("has_id"), chunk_errors(c["errors"], c["error"], c["model_used"]).alias("errors"))
 
     read_chunks = F.transform(F.transform(elements, read), chunk)
     with_flag = F.transform(read_chunks, lambda c: c.withField("has_error", F.size(c["errors"]) > 0))

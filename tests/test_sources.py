@@ -7,12 +7,16 @@ import json
 import subprocess
 import sys
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from captionlake.config import WatchParams
+from captionlake.functions.rows import each
 from captionlake.operators.audit import audit_issues
 from captionlake.operators.summaries import GateError
+from captionlake.plans import audit_queries
+from captionlake.plans.registry import SQL
 from captionlake.schemas import RECORD
 from captionlake.sources import manifest as mf
 from captionlake.sources.srt import parse_srt, read_srt, write_srt
@@ -168,3 +172,36 @@ def test_core_does_without_the_training_data_package(tmp_path):
     """Nothing outside it imports the subpackage."""
     code = "import sys; sys.modules['captionlake.llm'] = None; import __spark_entry__ as e; q = e.queries(); assert q and not any(k.startswith('op') for k in q) and 'pipeline' not in q; e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], check=True)
+
+
+def orders_and_lines(spark, folder, orders):
+    spark.createDataFrame([(i,) for i in orders], "o_orderkey bigint").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame([(i, k) for i in orders for k in range(1, i % 4 + 1)], "l_orderkey bigint, l_linenumber int").write.parquet(f"{folder}/lineitem.parquet")
+
+
+def test_documents_are_parsed_once(spark, tmp_path):
+    """Spark pushes what it infers from an explode below the parser's projections; reading then grows with each time a column is named."""
+    orders_and_lines(spark, tmp_path, range(40))
+    found = audit_queries.audit_file_reports(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") <= 8
+    db = duckdb.connect()
+    for name in ("orders", "lineitem"):
+        db.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    assert sorted(map(tuple, found.collect())) == sorted(db.sql(SQL["audit_file_reports"]).fetchall())
+
+
+def test_each_keeps_null_elements(spark):
+    rows = spark.createDataFrame([(1, [5, None]), (2, []), (3, None)], "k int, a array<int>")
+    assert sorted(map(tuple, each(rows, "a", "x", "k").collect()), key=str) == [(1, 5), (1, None)]
+
+
+def test_shapes_of_errors(spark, tmp_path):
+    """Chunk errors as objects, texts, an empty list with a text, and blank; an id that is null is there."""
+    errors = [{"errors": [{"model": "a", "message": "x"}, "y", {"message": "z"}]}, {"errors": "one"}, {"errors": [], "error": "two"}, {"errors": " ", "error": {"model": "b", "message": "w"}}, {"error": ""}, {}]
+    chunks = [{"chunk_id": None, "model_used": "m", **e} for e in errors] + ["no object", {"status": "done"}]
+    (tmp_path / "batch_status_1.json").write_text(json.dumps([{"file_id": 1, "chunks": chunks}, None, 7]))
+    facts = sorted(file_facts(read_status(spark, str(tmp_path))).collect(), key=lambda r: len(r.missing))
+    assert [r.file_id for r in facts] == [1, None, None] and [len(r.missing) for r in facts] == [3, 5, 5]
+    assert [[tuple(e) for e in c.errors] for c in facts[0].chunks] == [[("a", "x"), ("m", "y"), ("m", "z")], [("m", "one")], [("m", "two")], [("b", "w")], [], [], [], []]
+    assert [c.has_id for c in facts[0].chunks] == [True] * 6 + [False] * 2 and [c.is_object for c in facts[0].chunks] == [True] * 6 + [False, True]
