@@ -205,3 +205,16 @@ def test_shapes_of_errors(spark, tmp_path):
     assert [r.file_id for r in facts] == [1, None, None] and [len(r.missing) for r in facts] == [3, 5, 5]
     assert [[tuple(e) for e in c.errors] for c in facts[0].chunks] == [[("a", "x"), ("m", "y"), ("m", "z")], [("m", "one")], [("m", "two")], [("b", "w")], [], [], [], []]
     assert [c.has_id for c in facts[0].chunks] == [True] * 6 + [False] * 2 and [c.is_object for c in facts[0].chunks] == [True] * 6 + [False, True]
+
+
+def test_documents_do_not_grow_with_the_orders(spark, tmp_path, monkeypatch):
+    """More orders are more documents of the same batches, and the score over all of them is the SQL's."""
+    orders_and_lines(spark, tmp_path, range(97 * 5))
+    monkeypatch.setattr(audit_queries, "_IN_ONE", 2)
+    docs = audit_queries.status_documents(spark, str(tmp_path)).where("batch NOT LIKE '%\\_x.json' AND batch NOT LIKE '%\\_y.json' AND batch NOT LIKE '%\\_z.json'")
+    sizes = [(r.batch, len(x["files"] if isinstance(x := json.loads(r.raw), dict) else x)) for r in docs.collect()]
+    assert len({b for b, _ in sizes}) == 97 and max(n for _, n in sizes) == 2 and sum(n for _, n in sizes) == 97 * 5
+    db = duckdb.connect()
+    for name in ("orders", "lineitem"):
+        db.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    assert list(map(tuple, audit_queries.audit_overall(spark, str(tmp_path)).collect())) == db.sql(SQL["audit_overall"]).fetchall()
