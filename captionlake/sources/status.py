@@ -58,21 +58,25 @@ def chunk_errors(errors: Column, error: Column, model: Column) -> Column:
     return F.transform(F.when(errors.isNull() & error.isNull(), none).otherwise(_bound(json, listed)), one)
 
 
-def file_facts(docs: DataFrame) -> DataFrame:
+def file_facts(docs: DataFrame, problems: bool = False) -> DataFrame:
     """Rows for :func:`captionlake.operators.audit.audit_issues`; both list and ``{"files": [...]}`` documents.
 
+    With ``problems`` also a row for each document that has one, with its ``batch`` and ``problem``, which is
+    null for files: so one reading gives both, and whole documents, which can be long, need not be written.
     ``chunks_listed`` is false where ``chunks`` is there but no list; such a file, like one without
     chunks, has none. A chunk that is no object has ``is_object`` false and else nulls. An item that is
     no object lacks all fields.
     """
     is_list = F.startswith(F.col("raw"), F.lit("["))
     texts = F.when(is_list, F.from_json("raw", "array<string>")).otherwise(F.from_json("raw", "struct<files:array<string>>")["files"])
-    items = each(docs, F.when(F.col("problem").isNull(), texts), "item", "batch")
+    kept = ["batch", "problem"] if problems else ["batch"]
+    readable = F.when(F.col("problem").isNull(), texts)
+    items = each(docs, readable.otherwise(F.array(F.lit(None).cast("string"))) if problems else readable, "item", *kept)
     keys = F.coalesce(F.json_object_keys("item"), F.array().cast("array<string>"))
     absent = F.array_except(F.array(*[F.lit(x) for x in REQUIRED]), keys)
     # what has a value is there: keys are looked at only where one lacks
     whole = reduce(Column.__and__, [F.col(f"f.{x}").isNotNull() for x in REQUIRED])
-    rows = items.withColumn("f", F.from_json("item", FILE_STATUS)).select("batch", F.when(whole, F.array().cast("array<string>")).otherwise(absent).alias("missing"), "f")
+    rows = items.withColumn("f", F.from_json("item", FILE_STATUS)).select(*kept, F.when(whole, F.array().cast("array<string>")).otherwise(absent).alias("missing"), "f")
     listed = F.startswith(F.trim("f.chunks"), F.lit("["))
     elements = F.when(listed, F.from_json("f.chunks", "array<string>")).otherwise(F.array().cast("array<string>"))
 
@@ -82,16 +86,16 @@ def file_facts(docs: DataFrame) -> DataFrame:
 
     def chunk(x: Column) -> Column:
         c = x["c"]
-        kept = [c[n].alias(n) for n in ("chunk_id", "status", "model_used", "retry_count", "char_count", "elapsed_sec", "summary_preview")]
+        fields = [c[n].alias(n) for n in ("chunk_id", "status", "model_used", "retry_count", "char_count", "elapsed_sec", "summary_preview")]
         has_id = c["chunk_id"].isNotNull() | F.coalesce(F.array_contains(F.json_object_keys(x["text"]), "chunk_id"), F.lit(False))
-        return F.struct(*kept, x["is_object"].alias("is_object"), has_id.alias("has_id"), chunk_errors(c["errors"], c["error"], c["model_used"]).alias("errors"))
+        return F.struct(*fields, x["is_object"].alias("is_object"), has_id.alias("has_id"), chunk_errors(c["errors"], c["error"], c["model_used"]).alias("errors"))
 
     read_chunks = F.transform(F.transform(elements, read), chunk)
     with_flag = F.transform(read_chunks, lambda c: c.withField("has_error", F.size(c["errors"]) > 0))
     has = lambda c: F.coalesce(c, F.lit(False))
     known = F.from_json("f.diagnostics", DIAGNOSTICS)
     return rows.select(
-        "batch", "f.file_id", "f.filename_srt", "f.filename_mp3", "f.status", "f.last_updated", "f.retry_count", "f.total_chunks", "missing", with_flag.alias("chunks"), F.coalesce(listed, F.lit(True)).alias("chunks_listed"),
+        *kept, "f.file_id", "f.filename_srt", "f.filename_mp3", "f.status", "f.last_updated", "f.retry_count", "f.total_chunks", "missing", with_flag.alias("chunks"), F.coalesce(listed, F.lit(True)).alias("chunks_listed"),
         "f.error_log", has(F.size("f.error_log") > 0).alias("has_error_log"), _filled(F.col("f.diagnostics")).alias("has_diagnostics"), _filled(known["summary"]).alias("has_summary"), known["models"].alias("models"),
     )
 

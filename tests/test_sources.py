@@ -20,7 +20,7 @@ from captionlake.plans.registry import SQL
 from captionlake.schemas import RECORD
 from captionlake.sources import manifest as mf
 from captionlake.sources.srt import parse_srt, read_srt, write_srt
-from captionlake.sources.status import document_issues, file_facts, initial_chunk_status, read_status
+from captionlake.sources.status import document_issues, file_facts, initial_chunk_status, read_status, status_problems
 from captionlake.sources.tables import VersionedTable, load_records, merge_upsert, write_backup
 from captionlake.streaming.watch import event_stream, idle_files, upsert_stream, windowed_counts
 
@@ -218,3 +218,24 @@ def test_documents_do_not_grow_with_the_orders(spark, tmp_path, monkeypatch):
     for name in ("orders", "lineitem"):
         db.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
     assert list(map(tuple, audit_queries.audit_overall(spark, str(tmp_path)).collect())) == db.sql(SQL["audit_overall"]).fetchall()
+
+
+def test_audit_writes_no_whole_documents(spark, tmp_path, monkeypatch):
+    """A page of whole documents takes a hundred times the longest; files and problems are written instead, and all issues are the SQL's."""
+    orders_and_lines(spark, tmp_path, range(97 * 2))
+    written, write = [], audit_queries.materialize
+    monkeypatch.setattr(audit_queries, "materialize", lambda df, label: (written.append(df.columns), write(df, label))[1])
+    found = audit_queries.audit_documents(spark, str(tmp_path)).collect()
+    assert written and not any("raw" in columns for columns in written)
+    db = duckdb.connect()
+    for name in ("orders", "lineitem"):
+        db.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    assert sorted(map(tuple, found), key=str) == sorted(db.sql(SQL["audit_documents"]).fetchall(), key=str)
+
+
+def test_files_and_problems_in_one_reading(spark):
+    docs = status_problems(spark.createDataFrame([("a", '[{"file_id": 1}, null]'), ("b", "[{"), ("c", '{"x": 1}'), ("d", "[ ]"), ("e", '{"files": [{"file_id": 2}]}')], "batch string, raw string"))
+    rows = file_facts(docs, problems=True)
+    assert sorted(map(tuple, rows.select("batch", "problem", "file_id").collect()), key=str) == [("a", None, 1), ("a", None, None), ("b", "not JSON", None), ("c", "not a list", None), ("d", "empty", None), ("e", None, 2)]
+    plain = rows.where("problem IS NULL").drop("problem")
+    assert plain.columns == file_facts(docs).columns and sorted(map(str, plain.collect())) == sorted(map(str, file_facts(docs).collect()))
