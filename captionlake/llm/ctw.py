@@ -38,6 +38,8 @@ DEALT = 2
 END = 255
 #: Bytes of text in a unit of documents, and documents in it at most.
 UNIT_BYTES, UNIT_DOCS = 4 << 20, 1 << 16
+#: Bytes of text whose contexts are held one by one; for each byte they and what sorts them take some 70.
+RUN_BYTES = 1 << 18
 #: A word is broadcast if it makes up one in this many training tokens, so no more than this many words are.
 HEAD_WORDS = 100_000
 END_TOKEN = np.uint64(0)
@@ -72,6 +74,38 @@ def contexts(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndar
     return codes[keep], offsets[:-1] + np.arange(n)
 
 
+def _runs(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Texts in runs of about ``RUN_BYTES``; a longer one is a run of its own."""
+    a, n = 0, len(offsets) - 1
+    while a < n:
+        b = min(max(int(np.searchsorted(offsets, offsets[a] + RUN_BYTES, "right")) - 1, a + 1), n)
+        yield data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+        a = b
+
+
+def distinct_contexts(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct contexts of texts with their bytes, in order, and how often each occurs."""
+    found = [np.unique(contexts(*run, depth)[0], return_counts=True) for run in _runs(data, offsets)]
+    return merge_counts([codes for codes, _ in found], [n for _, n in found])
+
+
+def unit_scores(data: np.ndarray, offsets: np.ndarray, depth: int, buckets: int, logs: dict[int, np.ndarray]) -> np.ndarray:
+    """log10 probabilities of a unit's texts, from the ``logs`` of its distinct contexts in order in each bucket."""
+    runs = []
+    for run in _runs(data, offsets):
+        codes, first = contexts(*run, depth)
+        own, at = np.unique(codes, return_inverse=True)
+        runs.append((own, at.astype(np.uint32), first))
+    if not runs:
+        return np.zeros(0)
+    codes = np.unique(np.concatenate([own for own, _, _ in runs]))
+    each = np.zeros(len(codes))
+    for j, of in enumerate(_dealt(codes, buckets, depth)):
+        if len(of):
+            each[of] = logs[j]
+    return np.concatenate([np.add.reduceat(each[np.searchsorted(codes, own)][at], first) for own, at, first in runs])
+
+
 def _log_gamma(x: np.ndarray) -> np.ndarray:
     """log of the gamma function for x > 0, by Stirling's series after a shift of eight."""
     shift = np.zeros_like(x)
@@ -199,6 +233,39 @@ def _dealt(codes: np.ndarray, buckets: int, depth: int) -> list[np.ndarray]:
     return _split(mix(codes >> (8 * (depth - min(DEALT, depth) + 1))), buckets)
 
 
+def unit_rows(data: np.ndarray, offsets: np.ndarray, unit: int, head_keys: np.ndarray, head_counts: np.ndarray, buckets: int, depth: int) -> tuple[list[tuple], np.ndarray]:
+    """Rows (bucket, unit, x, y, z) of a unit, its text in bucket -1, and the number of words of each text. What lies between ends with the call, not with the next unit."""
+    data = np.frombuffer(data.tobytes().translate(LOWER_BYTES), np.uint8)
+    words = Words(data, offsets, SPACED)
+    n_docs, weight = len(offsets) - 1, np.log10(head_counts + 0.1)
+    keys = np.concatenate([words.hashes, np.full(n_docs, END_TOKEN)])
+    owner = np.concatenate([words.texts, np.arange(n_docs)])
+    keys, which = np.unique(keys, return_inverse=True)
+    pairs, times = np.unique(which.astype(np.int64) * n_docs + owner, return_counts=True)
+    word, doc = pairs // n_docs, pairs % n_docs
+    at = np.minimum(np.searchsorted(head_keys, keys), max(len(head_keys) - 1, 0))
+    is_head = head_keys[at] == keys if len(head_keys) else np.zeros(len(keys), bool)
+    own = is_head[word]
+    sums = np.bincount(doc[own], times[own] * weight[at[word[own]]], n_docs)
+    known = np.bincount(doc[own], times[own], n_docs)
+    text = pa.compress(data, "zstd", asbytes=True)
+    rows = [(-1, unit, text, sums.tobytes(), known.astype(np.int64).tobytes())]
+    codes = distinct_contexts(data, offsets, depth)[0]
+    rows += [(buckets + i, unit, _pack(codes[of]), None, None) for i, of in enumerate(_dealt(codes, buckets, depth)) if len(of)]
+    # the other words: distinct ones of the unit, how many places each has, then documents and times (split at 255)
+    word, doc, times = word[~own], doc[~own], times[~own]
+    for i, of in enumerate(_split(keys[word], buckets) if len(word) else []):
+        if len(of):
+            w, d, t = word[of], doc[of], times[of]
+            split = (t + 254) // 255
+            w, d = np.repeat(w, split), np.repeat(d, split)
+            t = np.minimum(255, np.repeat(t, split) - 255 * (np.arange(len(w)) - np.repeat(np.cumsum(split) - split, split)))
+            distinct_words, places = np.unique(w, return_counts=True)
+            d = _pack(d.astype("<u2"))
+            rows.append((i, unit, _pack(keys[distinct_words]), _squeeze(places.astype("<u4")), len(d).to_bytes(4, "little") + d + _squeeze(t.astype(np.uint8))))
+    return rows, words.counts
+
+
 def count_training(train: DataFrame, buckets: int, depth: int) -> DataFrame:
     """Counts of words and, in buckets from ``buckets`` on, of contexts: one row per bucket with sorted ``keys`` and ``counts`` as bytes (packed for contexts).
 
@@ -220,11 +287,10 @@ def count_training(train: DataFrame, buckets: int, depth: int) -> DataFrame:
         for batch in batches:
             for a, b, data, offsets in _units(batch.column(0)):
                 data = np.frombuffer(data.tobytes().translate(LOWER_BYTES), np.uint8)
-                words = Words(data, offsets, SPACED)
-                keys, counts = np.unique(np.append(words.hashes, END_TOKEN), return_counts=True)
+                keys, counts = np.unique(np.append(Words(data, offsets, SPACED).hashes, END_TOKEN), return_counts=True)
                 counts[np.searchsorted(keys, END_TOKEN)] += b - a - 1
                 yield sent([(i, keys[at].tobytes(), counts[at].astype("<u4").tobytes()) for i, at in enumerate(_split(keys, buckets)) if len(at)])
-                for kept, new in zip(held, np.unique(contexts(data, offsets, depth)[0], return_counts=True)):
+                for kept, new in zip(held, distinct_contexts(data, offsets, depth)):
                     kept.append(new)
                 if sum(map(len, held[0])) > max(limit, 1 << 20):
                     codes, n = merge_counts(*held)
@@ -328,40 +394,12 @@ def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", t
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head_keys, head_counts = shared.value[0]
-        weight = np.log10(head_counts + 0.1)
         for batch in batches:
             base = batch.column("unit").to_pylist()
             for a, b, data, offsets in _units(batch.column("text")):
-                data = np.frombuffer(data.tobytes().translate(LOWER_BYTES), np.uint8)
-                words = Words(data, offsets, SPACED)
                 n_docs = b - a
-                keys = np.concatenate([words.hashes, np.full(n_docs, END_TOKEN)])
-                owner = np.concatenate([words.texts, np.arange(n_docs)])
-                keys, which = np.unique(keys, return_inverse=True)
-                pairs, times = np.unique(which.astype(np.int64) * n_docs + owner, return_counts=True)
-                word, doc = pairs // n_docs, pairs % n_docs
-                at = np.minimum(np.searchsorted(head_keys, keys), max(len(head_keys) - 1, 0))
-                is_head = head_keys[at] == keys if len(head_keys) else np.zeros(len(keys), bool)
-                own = is_head[word]
-                sums = np.bincount(doc[own], times[own] * weight[at[word[own]]], n_docs)
-                known = np.bincount(doc[own], times[own], n_docs)
-                unit = base[a]
-                text = pa.compress(data, "zstd", asbytes=True)
-                rows = [(-1, unit, text, sums.tobytes(), known.astype(np.int64).tobytes())]
-                codes = np.unique(contexts(data, offsets, depth)[0])
-                rows += [(buckets + i, unit, _pack(codes[of]), None, None) for i, of in enumerate(_dealt(codes, buckets, depth)) if len(of)]
-                # the other words: distinct ones of the unit, how many places each has, then documents and times (split at 255)
-                word, doc, times = word[~own], doc[~own], times[~own]
-                for i, of in enumerate(_split(keys[word], buckets) if len(word) else []):
-                    if len(of):
-                        w, d, t = word[of], doc[of], times[of]
-                        split = (t + 254) // 255
-                        w, d = np.repeat(w, split), np.repeat(d, split)
-                        t = np.minimum(255, np.repeat(t, split) - 255 * (np.arange(len(w)) - np.repeat(np.cumsum(split) - split, split)))
-                        distinct_words, places = np.unique(w, return_counts=True)
-                        d = _pack(d.astype("<u2"))
-                        rows.append((i, unit, _pack(keys[distinct_words]), _squeeze(places.astype("<u4")), len(d).to_bytes(4, "little") + d + _squeeze(t.astype(np.uint8))))
-                docs_out = pa.StructArray.from_arrays([batch.column("doc_id").slice(a, n_docs), pa.array(words.counts + 1, pa.int64()), pa.array(np.diff(offsets).astype(np.int64))], names=["doc_id", "n_tokens", "bytes"])
+                rows, n_words = unit_rows(data, offsets, base[a], head_keys, head_counts, buckets, depth)
+                docs_out = pa.StructArray.from_arrays([batch.column("doc_id").slice(a, n_docs), pa.array(n_words + 1, pa.int64()), pa.array(np.diff(offsets).astype(np.int64))], names=["doc_id", "n_tokens", "bytes"])
                 lists = pa.ListArray.from_arrays(pa.array([0, n_docs] + [n_docs] * (len(rows) - 1), pa.int32()), docs_out)
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (2, 3, 4)), lists], names=["bucket", "unit", "x", "y", "z", "docs"])
 
@@ -436,13 +474,7 @@ def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", t
                     d = mine.values
                     n, size = (d.field(j).to_numpy(zero_copy_only=False) for j in (1, 2))
                     data = np.frombuffer(pa.decompress(batch.column(4)[i].as_py(), int(size.sum()), "zstd", asbytes=True), np.uint8)
-                    codes, first = contexts(data, np.append(0, np.cumsum(size)), depth)
-                    codes, at = np.unique(codes, return_inverse=True)
-                    each = np.zeros(len(codes))
-                    for j, of in enumerate(_dealt(codes, buckets, depth)):
-                        if len(of):
-                            each[of] = logs[j]
-                    score = np.add.reduceat(each[at], first)
+                    score = unit_scores(data, np.append(0, np.cumsum(size)), depth, buckets, logs)
                     bits = -score / math.log10(2) / np.maximum(size, 1)
                     yield pa.RecordBatch.from_arrays([d.field(0), d.field(1), pa.array(known), pa.array(np.full(len(n), total), pa.int64()), pa.array(sums - n * log_all), pa.array(score), pa.array(bits)], names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
 
