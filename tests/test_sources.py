@@ -239,3 +239,16 @@ def test_files_and_problems_in_one_reading(spark):
     assert sorted(map(tuple, rows.select("batch", "problem", "file_id").collect()), key=str) == [("a", None, 1), ("a", None, None), ("b", "not JSON", None), ("c", "not a list", None), ("d", "empty", None), ("e", None, 2)]
     plain = rows.where("problem IS NULL").drop("problem")
     assert plain.columns == file_facts(docs).columns and sorted(map(str, plain.collect())) == sorted(map(str, file_facts(docs).collect()))
+
+
+def test_overall_score_without_whole_documents(spark, tmp_path, monkeypatch):
+    """The score comes from one written table of files and problems, and equals the SQL's."""
+    orders_and_lines(spark, tmp_path, range(97))
+    written, write = [], audit_queries.materialize
+    monkeypatch.setattr(audit_queries, "materialize", lambda df, label: (written.append(df.columns), write(df, label))[1])
+    found = audit_queries.audit_overall(spark, str(tmp_path)).collect()
+    assert len(written) == 1 and "problem" in written[0] and "raw" not in written[0]
+    db = duckdb.connect()
+    for name in ("orders", "lineitem"):
+        db.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    assert list(map(tuple, found)) == db.sql(SQL["audit_overall"]).fetchall()
