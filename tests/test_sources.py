@@ -11,9 +11,9 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from captionlake.config import WatchParams
+from captionlake.config import AuditParams, WatchParams
 from captionlake.functions.rows import each
-from captionlake.operators.audit import audit_issues
+from captionlake.operators.audit import audit_issues, audit_scores, overall_score, tally_scores
 from captionlake.operators.summaries import GateError
 from captionlake.plans import audit_queries
 from captionlake.plans.registry import SQL
@@ -252,3 +252,23 @@ def test_overall_score_without_whole_documents(spark, tmp_path, monkeypatch):
     for name in ("orders", "lineitem"):
         db.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
     assert list(map(tuple, found)) == db.sql(SQL["audit_overall"]).fetchall()
+
+
+def test_overall_score_writes_counts_only(spark, tmp_path, monkeypatch):
+    """No file is written on the way to the score, only counts; the scores from them are those from issues."""
+    orders_and_lines(spark, tmp_path, range(97 * 3))
+    written, write = [], audit_queries.materialize
+    monkeypatch.setattr(audit_queries, "materialize", lambda df, label: (written.append(write(df, label)), written[-1])[1])
+    found = audit_queries.audit_overall(spark, str(tmp_path)).collect()
+    assert [t.columns for t in written] == [["batch", "problem", "what", "of", "n"]]
+    assert {(r.problem, r.what, r.of, r.n) for r in written[0].where("problem IS NOT NULL").collect()} == {("not JSON", "A0", "CRITICAL", 1), ("empty", "A0", "WARN", 1), ("not a list", "A0", "CRITICAL", 1)}
+    rows = write(file_facts(status_problems(audit_queries.status_documents(spark, str(tmp_path))), problems=True), "test")
+    files, as_of, clamp = rows.where("problem IS NULL").drop("problem"), F.lit(dt.datetime(2026, 1, 1)), AuditParams(fix_clamp=True)
+    issues = write(audit_issues(files, as_of), "test")
+    crossed = issues.where("check LIKE 'F%'")
+    for params in (AuditParams(), clamp):
+        by_issues, by_counts = audit_scores(files, issues, as_of, params), tally_scores(written[0], params, crossed)
+        assert sorted(map(tuple, by_issues.collect())) == sorted(map(tuple, by_counts.collect()))
+    assert list(map(tuple, overall_score(tally_scores(written[0])).collect())) == [(r.overall, r.exit_code) for r in found]
+    with pytest.raises(ValueError):
+        tally_scores(written[0], clamp)
